@@ -1,0 +1,253 @@
+from datetime import date
+
+import pytest
+from samples import EUROPE, RATES, countries, line, rates, sales, utc
+
+from basketry.functions.keys import HASHED, row_hash
+from basketry.operators.clean import clean_counters, clean_sales
+from basketry.operators.enrich import (
+    country_join_misses,
+    enrich_with_countries,
+    normalize_countries,
+    normalize_sales,
+)
+from basketry.operators.fact import build_fact_records, without_key_text
+from basketry.operators.fx import apply_fx_historical, fx_asof, fx_fallback_rows, fx_missing_days, invoice_days
+from basketry.operators.quality import build_quality_report
+from basketry.plans.transform import to_fact
+from pyspark.sql import functions as F
+
+
+def by_invoice(df):
+    return {row["InvoiceNo"]: row for row in df.collect()}
+
+
+def test_clean_keeps_valid_lines(spark):
+    assert set(by_invoice(clean_sales(sales(spark)))) == {"A1", "A5"}
+
+
+def test_counters_name_the_first_broken_rule_and_add_up(spark):
+    counters = clean_counters(sales(spark)).first().asDict()
+    assert counters == {
+        "rows_in": 5,
+        "dropped_missing_customer_id": 1,
+        "dropped_non_positive_quantity": 1,
+        "dropped_non_positive_price": 1,
+        "rows_out": 2,
+    }
+
+
+def test_counters_add_up_with_nulls_and_nan(spark):
+    odd = [
+        line("B1", UnitPrice=float("nan")),
+        line("B2", UnitPrice=None),
+        line("B3", Quantity=None),
+        line("B4", CustomerID=None, Quantity=None),
+        line("B5", CustomerID="   "),
+        line("B6"),
+    ]
+    raw = sales(spark, odd)
+    counters = clean_counters(raw).first()
+    assert counters["dropped_missing_customer_id"] == 1
+    assert counters["dropped_non_positive_quantity"] == 1
+    assert counters["dropped_non_positive_price"] == 2
+    assert sum(counters[1:]) == counters["rows_in"] == 6
+    kept = normalize_sales(clean_sales(raw))
+    assert {r["InvoiceNo"]: r["CustomerID"] for r in kept.collect()} == {"B5": "", "B6": "c1"}
+
+
+def test_counters_of_no_rows(spark):
+    assert list(clean_counters(sales(spark, [])).first()) == [0, 0, 0, 0, 0]
+
+
+def test_normalize_strips_and_lowers(spark):
+    row = by_invoice(normalize_sales(clean_sales(sales(spark))))["A5"]
+    assert (row["Country"], row["CustomerID"]) == ("united kingdom", "c5")
+
+
+def test_normalize_strips_every_white_space(spark):
+    row = normalize_sales(sales(spark, [line(Country="\t EIRE \n", CustomerID="\x1fC 1\x85")])).first()
+    assert (row["Country"], row["CustomerID"], row["country_key"]) == ("eire", "c 1", "ireland")
+
+
+@pytest.mark.parametrize(
+    "name, key",
+    [
+        ("EIRE", "ireland"),
+        ("USA", "united states"),
+        ("Channel Islands", "jersey"),
+        ("RSA", "south africa"),
+        ("Czech Republic", "czechia"),
+        ("Unspecified", "unspecified"),
+        (None, None),
+    ],
+)
+def test_aliases(spark, name, key):
+    assert normalize_sales(sales(spark, [line(Country=name)])).first()["country_key"] == key
+
+
+def enriched(spark, raw, listed=EUROPE, **options):
+    return enrich_with_countries(
+        normalize_sales(sales(spark, raw)), normalize_countries(countries(spark, listed)), **options
+    )
+
+
+def test_alias_gets_its_region(spark):
+    row = enriched(spark, [line(Country="EIRE")], [("Ireland", "Europe", 5_000_000)]).first()
+    assert (row["region"], row["population"]) == ("Europe", 5_000_000)
+
+
+@pytest.mark.parametrize("limit_bytes", [64 << 20, 0])
+def test_unmatched_lines_are_kept(spark, limit_bytes):
+    names = ["Unspecified", "European Community", "Atlantis", None]
+    raw = [line(f"U{i}", Country=name) for i, name in enumerate(names)] + [line("K")]
+    rows = by_invoice(enriched(spark, raw, limit_bytes=limit_bytes))
+    assert {k: (r["region"], r["population"]) for k, r in rows.items()} == {
+        "U0": ("unknown", 0), "U1": ("unknown", 0), "U2": ("unknown", 0), "U3": ("unknown", 0),
+        "K": ("Europe", 67_000_000),
+    }
+    misses = country_join_misses(normalize_sales(sales(spark, raw)), normalize_countries(countries(spark)))
+    assert tuple(misses.first()) == (4, 5)
+
+
+def test_large_countries_side_is_not_broadcast(spark):
+    def plan(limit_bytes):
+        joined = enriched(spark, [line()], limit_bytes=limit_bytes)
+        return joined._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "strategy=broadcast" in plan(64 << 20)
+    assert "strategy=broadcast" not in plan(10)
+
+
+def test_region_not_given_differs_from_no_match(spark):
+    fact = to_fact(
+        sales(spark, [line("R1"), line("R2", Country="Atlantis")]),
+        countries(spark, [("United Kingdom", "Unknown", 1)]),
+        rates(spark),
+    )
+    report = build_quality_report(clean_counters(sales(spark)), fact).first()
+    assert report["rows_with_unknown_region"] == 1
+
+
+def test_repeated_country_multiplies_its_lines(spark):
+    twice = EUROPE + [(" FRANCE", "Elsewhere", 1)]
+    assert enriched(spark, [line(Country="France"), line(Country="Spain")], twice).count() == 3
+
+
+def converted(spark, raw, listed=RATES):
+    return apply_fx_historical(normalize_sales(sales(spark, raw)), rates(spark, listed))
+
+
+def test_each_day_has_its_rate(spark):
+    rows = by_invoice(
+        converted(spark, [line("A1", Quantity=2), line("A5", UnitPrice=4.0, InvoiceDate=utc("2011-01-05T23:59:59"))])
+    )
+    assert (rows["A1"]["fx_rate_gbp_eur"], rows["A1"]["revenue_eur"]) == (1.17, 23.4)
+    assert (rows["A5"]["fx_rate_gbp_eur"], rows["A5"]["revenue_eur"]) == (1.19, 4.76)
+
+
+def test_gap_takes_the_earlier_day(spark):
+    listed = [(date(2011, 1, 7), 1.20), (date(2011, 1, 12), 1.30)]
+    days = ["2011-01-07", "2011-01-08", "2011-01-11", "2011-01-12", "2031-01-01"]
+    raw = [line(day, InvoiceDate=utc(day)) for day in days]
+    found = {k: r["fx_rate_gbp_eur"] for k, r in by_invoice(converted(spark, raw, listed)).items()}
+    assert found == dict(zip(days, [1.20, 1.20, 1.20, 1.30, 1.30]))
+
+
+def test_day_before_the_first_rate_takes_the_median_of_the_table(spark):
+    listed = [(date(2011, 1, 7), 1.0), (date(2011, 1, 8), 1.2), (date(2011, 1, 9), 1.6), (date(2011, 1, 10), 1.7)]
+    raw = [line("early", InvoiceDate=utc("2010-12-31")), line("late", InvoiceDate=utc("2011-01-10"))]
+    found = by_invoice(converted(spark, raw, listed))
+    assert found["early"]["fx_rate_gbp_eur"] == pytest.approx(1.4)
+    counted = fx_fallback_rows(sales(spark, raw), rates(spark, listed)).first()
+    assert (counted["missing_rows"], counted["total_rows"]) == (1, 2)
+    assert counted["fallback_rate"] == pytest.approx(1.4)
+
+
+@pytest.mark.parametrize("missing", [None, float("nan")])
+def test_row_without_a_rate_leads_to_the_median_not_to_the_earlier_rate(spark, missing):
+    listed = [(date(2011, 1, 1), 1.0), (date(2011, 1, 3), missing), (date(2011, 1, 6), 1.5)]
+    days = ["2011-01-02", "2011-01-03", "2011-01-05", "2011-01-06"]
+    raw = [line(day, InvoiceDate=utc(day)) for day in days]
+    found = {k: r["fx_rate_gbp_eur"] for k, r in by_invoice(converted(spark, raw, listed)).items()}
+    assert found == dict(zip(days, [1.0, 1.25, 1.25, 1.5]))
+
+
+def test_no_rates_at_all(spark):
+    row = converted(spark, [line()], []).first()
+    assert row["revenue_gbp"] == 10.0 and row["fx_rate_gbp_eur"] is None and row["revenue_eur"] is None
+
+
+def test_day_rated_twice_fails(spark):
+    listed = [(date(2011, 1, 1), 1.0), (date(2011, 1, 1), 1.1)]
+    with pytest.raises(Exception, match="several rates: 2011-01-01"):
+        converted(spark, [line()], listed).collect()
+
+
+def test_asof_agrees_with_brute_force(spark):
+    listed = [(date(2011, 1, d), 1 + d / 100) for d in (4, 5, 9, 17, 28)]
+    days = [date(2011, 1, d) for d in range(1, 32)] + [date(2012, 5, 5)]
+    frame = spark.createDataFrame([(d,) for d in days], "invoice_day date")
+    found = {r["invoice_day"]: r for r in fx_asof(frame, rates(spark, listed)).collect()}
+    for day in days:
+        before = [rate for d, rate in listed if d <= day]
+        assert found[day]["is_fallback"] == (not before)
+        assert found[day]["fx_rate_gbp_eur"] == (before[-1] if before else 1.09)
+
+
+def test_needed_days_come_from_uncleaned_sales(spark):
+    assert invoice_days(sales(spark)).count() == 5
+    missing = fx_missing_days(sales(spark), rates(spark, RATES[:3]))
+    assert {r[0] for r in missing.collect()} == {date(2011, 1, 4), date(2011, 1, 5)}
+
+
+def fact_of(spark, raw=None):
+    raw = sales(spark) if raw is None else sales(spark, raw)
+    return to_fact(raw, countries(spark), rates(spark))
+
+
+def test_golden_hashes(spark):
+    hashes = {r["invoice_no"]: r["row_hash"] for r in fact_of(spark).collect()}
+    assert hashes == {"A1": "31a29b4ab796", "A5": "93b5100d4923"}
+    assert fact_of(spark, [line("A1")]).first()["row_hash"] == "8dabcd508d65"
+
+
+def test_key_is_unique_and_stable(spark):
+    first, second = ([r["_bk"] for r in fact_of(spark).orderBy("_bk").collect()] for _ in range(2))
+    assert first == second == ["A1|X|c1|31a29b4ab796", "A5|V|c5|93b5100d4923"]
+
+
+def test_key_separates_quantities(spark):
+    fact = fact_of(spark, [line(Quantity=1), line(Quantity=2)])
+    assert fact.select("_bk").distinct().count() == 2
+
+
+def test_missing_parts_do_not_collide(spark):
+    raw = [line(None, StockCode="X"), line("X", StockCode=None)]
+    hashes = sales(spark, raw).select(row_hash(*[F.col(c) for c in HASHED]).alias("h"))
+    assert hashes.distinct().count() == 2
+    fact = fact_of(spark, raw)
+    assert {r["_bk"].rsplit("|", 1)[0] for r in fact.collect()} == {"<NA>|X|c1", "X|<NA>|c1"}
+
+
+def test_feed_without_descriptions(spark):
+    fact = to_fact(sales(spark).drop("Description"), countries(spark), rates(spark))
+    assert {r["description"] for r in fact.collect()} == {""}
+    assert "_bk" not in without_key_text(fact).columns
+
+
+def test_report(spark):
+    report = build_quality_report(clean_counters(sales(spark)), fact_of(spark)).first().asDict()
+    assert report == {
+        "rows_input": 5, "rows_output": 2, "kept_pct": 40.0, "dropped_missing_customer_id": 1,
+        "dropped_missing_customer_id_pct": 20.0, "dropped_non_positive_quantity": 1,
+        "dropped_non_positive_price": 1, "rows_with_unknown_region": 0, "unique_customers": 2,
+        "unique_invoices": 2, "unique_countries": 1, "revenue_eur_total": 28.16,
+        "revenue_eur_min": 4.76, "revenue_eur_max": 23.4,
+    }
+
+
+def test_report_of_no_rows(spark):
+    nothing = sales(spark, [])
+    report = build_quality_report(clean_counters(nothing), fact_of(spark, [])).first()
+    assert (report["rows_input"], report["kept_pct"], report["revenue_eur_total"]) == (0, 0.0, 0.0)

@@ -1,0 +1,206 @@
+import json
+from datetime import date, datetime
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from basketry.operators.contracts import ContractViolation, check_sales, check_unique_key
+from basketry.schemas import SALES
+from basketry.sources.reference import (
+    count_unnamed,
+    fx_rate_stats,
+    parse_countries,
+    read_countries,
+    read_fx_rates,
+)
+from basketry.sources.sales import read_sales_csv, read_sales_parquet
+from basketry.sources.watermark import get_last_watermark, update_watermark
+from samples import fact_row, facts, line, sales, utc
+
+HEADER = "InvoiceNo,StockCode,Description,Quantity,UnitPrice,InvoiceDate,CustomerID,Country"
+
+
+def csv_file(folder, *rows, header=HEADER, name="sales.csv"):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_bytes("\n".join([header, *rows, ""]).encode("ISO-8859-1"))
+    return str(folder)
+
+
+def plain(n, day, quantity="1", price="10.0", customer="c1"):
+    return f"A{n},X,d,{quantity},{price},{day},{customer},UK"
+
+
+def test_full_scan(spark, tmp_path):
+    path = csv_file(tmp_path / "s", *[plain(i, f"2011-01-0{i}") for i in range(1, 6)])
+    found = read_sales_csv(spark, path)
+    assert found.schema == SALES
+    assert found.count() == 5
+    assert found.filter("InvoiceNo = 'A2'").first()["InvoiceDate"] == datetime(2011, 1, 2)
+
+
+@pytest.mark.parametrize("mark", [datetime(2011, 1, 4), utc("2011-01-04"), utc("2011-01-01")])
+def test_only_lines_newer_than_the_mark(spark, tmp_path, mark):
+    path = csv_file(tmp_path / "s", plain(1, "2011-01-01"), plain(2, "2011-01-05"), plain(3, "2011-01-10"))
+    assert {r["InvoiceNo"] for r in read_sales_csv(spark, path, mark).collect()} == {"A2", "A3"}
+
+
+def test_columns_are_found_by_header_name(spark, tmp_path):
+    header = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country"
+    path = csv_file(tmp_path / "s", "536365,85123A,HOLDER,6,12/1/2010 8:26,2.55,17850,UK", header=header)
+    row = read_sales_csv(spark, path, timestamp_format="M/d/yyyy H:mm").first()
+    assert (row["Quantity"], row["UnitPrice"], row["InvoiceDate"]) == (6, 2.55, datetime(2010, 12, 1, 8, 26))
+
+
+def test_several_files_are_one_feed_but_need_one_header(spark, tmp_path):
+    csv_file(tmp_path / "s", plain(1, "2011-01-01"), name="a.csv")
+    path = csv_file(tmp_path / "s", plain(2, "2011-01-02"), name="b.csv")
+    assert read_sales_csv(spark, path).count() == 2
+    csv_file(tmp_path / "s", "x", header="InvoiceNo,Country", name="c.csv")
+    with pytest.raises(Exception):
+        read_sales_csv(spark, path).collect()
+
+
+def test_encoding_quotes_and_line_breaks(spark, tmp_path):
+    path = csv_file(tmp_path / "s", 'A1,X,"caf\xe9 ""A"", \xa35\nbox",1,10.0,2011-01-01,c1,UK', plain(2, "2011-01-02"))
+    rows = {r["InvoiceNo"]: r["Description"] for r in read_sales_csv(spark, path).collect()}
+    assert rows == {"A1": 'caf\xe9 "A", \xa35\nbox', "A2": "d"}
+
+
+def test_missing_markers(spark, tmp_path):
+    path = csv_file(tmp_path / "s", "A1,NA,null,1,NaN,2011-01-01,,N/A", "A2,X,d,1,1,2011-01-01,   ,UK")
+    first, second = read_sales_csv(spark, path).orderBy("InvoiceNo").collect()
+    assert first[1:] == (None, None, 1, None, datetime(2011, 1, 1), None, None)
+    assert second["CustomerID"] == "   "
+
+
+@pytest.mark.parametrize("bad", [{"quantity": ""}, {"quantity": "two"}, {"quantity": "1.5"}, {"price": "cheap"},
+                                 {"day": "soon"}])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_unreadable_values_fail(spark, tmp_path, bad, ansi):
+    path = csv_file(tmp_path / "s", plain(1, **{"day": "2011-01-01", **bad}))
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="not readable|missing values"):
+            read_sales_csv(spark, path).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_missing_file_fails(spark, tmp_path):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_sales_csv(spark, str(tmp_path / "none.csv"))
+
+
+def test_zoneless_parquet_times_are_utc(spark, tmp_path):
+    path = str(tmp_path / "p")
+    sales(spark).selectExpr("* except (InvoiceDate)", "cast(InvoiceDate as timestamp_ntz) InvoiceDate").write.parquet(path)
+    staged = read_sales_parquet(spark, path)
+    assert dict(staged.dtypes)["InvoiceDate"] == "timestamp"
+    assert staged.filter("InvoiceNo = 'A1'").first()["InvoiceDate"] == datetime(2011, 1, 1)
+
+
+def json_file(folder, value):
+    folder.mkdir(exist_ok=True)
+    (folder / "data.json").write_text(json.dumps(value))
+    return str(folder)
+
+
+def country(i, **more):
+    return {"name": {"common": f"Country{i}"}, "region": "Europe", "population": 1000, **more}
+
+
+def test_countries(spark, tmp_path):
+    found = read_countries(spark, json_file(tmp_path / "c", [country(i) for i in range(150)]))
+    assert found.dtypes == [("country", "string"), ("region", "string"), ("population", "bigint")]
+    assert found.count() == 150
+
+
+def test_too_few_countries_fail(spark, tmp_path):
+    with pytest.raises(ValueError, match="expected at least 100"):
+        read_countries(spark, json_file(tmp_path / "c", [country(1)]))
+
+
+def test_countries_must_be_a_list(spark, tmp_path):
+    with pytest.raises(Exception, match="non-list"):
+        read_countries(spark, json_file(tmp_path / "c", {"oops": True}))
+
+
+def test_country_defaults(spark, tmp_path):
+    listed = [
+        {"name": {"common": "absent"}},
+        {"name": {"common": "null"}, "region": None, "population": 2.9},
+        {"name": {"common": ""}, "region": "x"},
+        {"name": {"common": None}},
+        {"name": None},
+        {"region": "nowhere"},
+    ]
+    path = json_file(tmp_path / "c", listed)
+    rows = {r["country"]: (r["region"], r["population"]) for r in parse_countries(spark, path).collect()}
+    assert rows == {"absent": ("Unknown", 0), "null": (None, 2)}
+    assert count_unnamed(spark, path) == 4
+
+
+def test_null_population_fails(spark, tmp_path):
+    path = json_file(tmp_path / "c", [country(1, population=None)])
+    with pytest.raises(Exception, match="population is null: Country1"):
+        parse_countries(spark, path).collect()
+
+
+def fx_files(folder, *days):
+    folder.mkdir(exist_ok=True)
+    for i, day in enumerate(days):
+        (folder / f"{i}.json").write_text(json.dumps(day))
+    return str(folder)
+
+
+def rated(day, rate, currency="EUR"):
+    return {"amount": 1.0, "base": "GBP", "date": day, "rates": {currency: rate}}
+
+
+def test_one_rate_per_day(spark, tmp_path):
+    days = [rated(f"2011-01-0{i}", 1.16 + i / 100) for i in (1, 2, 3)]
+    found = read_fx_rates(spark, fx_files(tmp_path / "f", *days, days[0]))
+    assert {tuple(r) for r in found.collect()} == {
+        (date(2011, 1, i), 1.16 + i / 100) for i in (1, 2, 3)
+    }
+    assert tuple(fx_rate_stats(found).first()) == (3, 1.17, 1.19)
+
+
+@pytest.mark.parametrize("rate", [0.5, 2.5])
+def test_bounds_are_included(spark, tmp_path, rate):
+    assert read_fx_rates(spark, fx_files(tmp_path / "f", rated("2011-01-01", rate))).count() == 1
+
+
+@pytest.mark.parametrize("rate, currency", [(9.99, "EUR"), (0.49, "EUR"), (None, "EUR"), (1.17, "USD")])
+def test_rates_out_of_bounds_fail(spark, tmp_path, rate, currency):
+    with pytest.raises(ContractViolation, match="sanity bounds"):
+        read_fx_rates(spark, fx_files(tmp_path / "f", rated("2011-01-01", rate, currency)))
+
+
+def test_day_with_two_rates_fails(spark, tmp_path):
+    path = fx_files(tmp_path / "f", rated("2011-01-01", 1.1), rated("2011-01-01", 1.2))
+    with pytest.raises(ContractViolation, match="several rates"):
+        read_fx_rates(spark, path)
+
+
+def test_sales_contract(spark):
+    check_sales(sales(spark))
+    broken = sales(spark, [line(InvoiceDate=None), line(Quantity=None)])
+    with pytest.raises(ContractViolation, match="Quantity has missing values; InvoiceDate has missing values"):
+        check_sales(broken)
+
+
+def test_unique_key_contract(spark):
+    check_unique_key(facts(spark, [fact_row(), fact_row(row_hash="def456")]))
+    with pytest.raises(ContractViolation, match="not unique"):
+        check_unique_key(facts(spark, [fact_row(), fact_row(description="b")]))
+
+
+def test_mark_round_trip(spark, tmp_path):
+    path = str(tmp_path / "meta")
+    assert get_last_watermark(spark, path) is None
+    update_watermark(spark, path, datetime(2011, 12, 9, 12, 50))
+    assert get_last_watermark(spark, path) == utc("2011-12-09T12:50:00")
+    aware = utc("2011-12-10T00:00:00.000005")
+    update_watermark(spark, path, aware)
+    assert get_last_watermark(spark, path) == aware

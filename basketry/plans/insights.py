@@ -119,36 +119,20 @@ def home_market_share(lines: DataFrame, home: str = HOME_MARKET) -> DataFrame:
         home_revenue=F.sum(F.when(is_home, F.col("revenue"))),
         total=F.sum("revenue"),
     )
-    next5 = (
-        countries.filter(F.col("country") != home)
-        .orderBy(F.desc("revenue"), "country")
-        .limit(5)
-        .agg(
-            F.sum("revenue").alias("next5_revenue"),
-            F.collect_list(F.struct("revenue", "country")).alias("markets"),
+    best = countries.filter(F.col("country") != home).orderBy(F.desc("revenue"), "country").limit(5)
+    next5 = best.agg(
+        F.struct(
+            F.sum("revenue").alias("revenue"),
+            F.array_sort(F.collect_list(F.struct((-F.col("revenue")).alias("order"), "country"))).alias("markets"),
         )
     )
-    # Five entries: order them by revenue, the name breaking ties as above.
-    ordered = F.array_sort(
-        "markets",
-        lambda a, b: F.when(a["revenue"] > b["revenue"], -1)
-        .when(a["revenue"] < b["revenue"], 1)
-        .when(a["country"] < b["country"], -1)
-        .otherwise(1),
-    )
-    names = F.array_join(F.transform(ordered, lambda m: m["country"]), ", ")
-    one = F.lit(1).alias("one")
-    return (
-        totals.select("*", one)
-        .join(next5.select("next5_revenue", names.alias("next5_markets"), one), "one")
-        .select(
-            F.lit(home).alias("home_market"),
-            F.col("home_revenue").cast("double").alias("home_revenue"),
-            share_pct(F.col("home_revenue"), F.col("total")).alias("home_share_pct"),
-            "next5_markets",
-            F.col("next5_revenue").cast("double").alias("next5_revenue"),
-            share_pct(F.col("next5_revenue"), F.col("total")).alias("next5_share_pct"),
-        )
+    return totals.withColumn("next5", next5.scalar()).select(
+        F.lit(home).alias("home_market"),
+        F.col("home_revenue").cast("double").alias("home_revenue"),
+        share_pct(F.col("home_revenue"), F.col("total")).alias("home_share_pct"),
+        F.array_join(F.col("next5.markets.country"), ", ").alias("next5_markets"),
+        F.col("next5.revenue").cast("double").alias("next5_revenue"),
+        share_pct(F.col("next5.revenue"), F.col("total")).alias("next5_share_pct"),
     )
 
 
@@ -234,8 +218,9 @@ def top_products(lines: DataFrame, k: int = 10) -> DataFrame:
 
 def weekday_revenue(lines: DataFrame, keep_absent: bool = True) -> DataFrame:
     """Revenue from Monday to Sunday; a day without sales is null, or left out."""
-    spark = lines.sparkSession
-    days = spark.createDataFrame(list(enumerate(WEEKDAYS, 1)), "weekday_no int, weekday string")
+    name = F.element_at(F.array(*map(F.lit, WEEKDAYS)), F.col("weekday_no"))
+    numbers = lines.sparkSession.range(1, len(WEEKDAYS) + 1)
+    days = numbers.select(F.col("id").cast("int").alias("weekday_no")).withColumn("weekday", name)
     sold = _as_double(_by(lines.select(weekday_name("invoice_date").alias("weekday"), "revenue_eur"), "weekday"))
     # Seven rows on either side.
     week = days.join(F.broadcast(sold), "weekday", "left" if keep_absent else "inner")

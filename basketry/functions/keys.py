@@ -20,31 +20,28 @@ def float_text(col: Column) -> Column:
     """A double as Python prints it: plain digits from 1e-4 up to 1e16, ``1e-05`` style outside.
 
     Spark switches to its ``1.0E7`` style earlier (from 1e7 and below 1e-3). Between the two limits
-    the digits are moved with a decimal cast; beyond them the mantissa and exponent are re-spelled.
+    the digits are moved with a decimal cast; beyond them the exponent is re-spelled. Kept short:
+    with the rest of the fact it must fit the 8000 bytes of bytecode the JVM is willing to compile.
     """
     shown = col.cast("string")
     size = F.abs(col)
-    digits = F.regexp_replace(shown.try_cast("decimal(38,21)").cast("string"), r"0+$", "")
-    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-    mantissa = F.regexp_replace(F.substring_index(shown, "E", 1), r"\.0$", "")
-    exponent = F.substring_index(shown, "E", -1)
-    sign = F.when(exponent.startswith("-"), F.lit("e-")).otherwise(F.lit("e+"))
-    power = F.regexp_replace(exponent, "^-", "")
-    power = F.when(F.length(power) < 2, F.concat(F.lit("0"), power)).otherwise(power)
+    plain = F.regexp_replace(shown.try_cast("decimal(38,21)").cast("string"), r"(\.\d+?)0+$", "$1")
+    respelled = shown
+    for pattern, text in ((r"\.0E", "E"), (r"E-(\d)$", "E-0$1"), (r"E(?=\d)", "E+"), ("Infinity", "inf")):
+        respelled = F.regexp_replace(respelled, pattern, text)
     return (
-        F.when(F.isnan(col), F.lit("nan"))
-        .when((size == 0) | ((size >= 1e-3) & (size < 1e7)), shown)
+        F.when((size == 0) | ((size >= 1e-3) & (size < 1e7)), shown)
         .when((size >= 1e-4) & (size < 1e16), plain)
-        .when(size == float("inf"), F.regexp_replace(shown, "Infinity", "inf"))
-        .otherwise(F.concat(mantissa, sign, power))
+        .otherwise(F.lower(respelled))
     )
 
 
 def time_text(col: Column) -> Column:
     """A UTC time as Python prints it; microseconds only where there are any."""
-    seconds = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
-    fraction = F.when(F.unix_micros(col) % 1_000_000 != 0, F.date_format(col, ".SSSSSS")).otherwise("")
-    return F.concat(seconds, fraction, F.lit("+00:00"))
+    whole = F.unix_micros(col) % 1_000_000 == 0
+    return F.when(whole, F.date_format(col, "yyyy-MM-dd HH:mm:ss'+00:00'")).otherwise(
+        F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS'+00:00'")
+    )
 
 
 def row_hash(

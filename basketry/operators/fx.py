@@ -37,9 +37,17 @@ def fx_calendar(fx: DataFrame) -> DataFrame:
     )
 
 
+def _table_figures(fx: DataFrame) -> Column:
+    """Last rated day and median rate, from one pass over the rate table.
+
+    The median counts each rate once; it is not weighted by lines.
+    """
+    rate = F.when(~F.isnan(_RATE), F.col(_RATE))
+    return fx.agg(F.struct(F.max("date").alias("last_day"), F.median(rate).alias("median"))).scalar()
+
+
 def _median_rate(fx: DataFrame) -> Column:
-    """Median of the rate table itself, each rate once; not weighted by lines."""
-    return fx.filter(~F.isnan(_RATE)).agg(F.median(_RATE)).scalar()
+    return _table_figures(fx)["median"]
 
 
 def asof_rate(df: DataFrame, fx: DataFrame, day: Column) -> DataFrame:
@@ -48,9 +56,8 @@ def asof_rate(df: DataFrame, fx: DataFrame, day: Column) -> DataFrame:
     Days after the last rated one are looked up as that one, so the lookup is a plain hash join:
     no range condition, no second scan for the days in use, no shuffle of ``df``.
     """
-    last_rated = fx.agg(F.max("date")).scalar()
     return (
-        df.withColumn("fx_day", F.least(day, last_rated))
+        df.withColumn("fx_day", F.least(day, _table_figures(fx)["last_day"]))
         .join(F.broadcast(fx_calendar(fx)), "fx_day", "left")
         .drop("fx_day")
     )

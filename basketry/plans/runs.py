@@ -33,7 +33,7 @@ def _stamped(spark: SparkSession, name: str) -> str:
 
 def run_extract(
     spark: SparkSession,
-    sales_csv: str,
+    sales_csv: str | list[str],
     countries_json: str,
     fx_json: str,
     metadata_path: str,
@@ -101,7 +101,7 @@ def run_load(
 
 def run_daily(
     spark: SparkSession,
-    sales_csv: str,
+    sales_csv: str | list[str],
     countries_json: str,
     fx_json: str,
     fact_path: str,

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketry.functions.aggregates import literal_row
 from basketry.operators.upsert import INSERT, SAME, UPDATE, classify, deduplicate, upsert
 from basketry.schemas import FACT
 from basketry.session import read_if_exists, scratch_path, stage
@@ -51,7 +52,7 @@ def _write(rows: DataFrame, path: str, **options: str) -> None:
 
 
 def _log_rewrite(spark: SparkSession, path: str, rewrite: str, published: bool) -> None:
-    entry = spark.createDataFrame([(rewrite, published)], _REWRITES)
+    entry = literal_row(spark, _REWRITES, rewrite, published)
     entry.write.mode("append").parquet(f"{path.rstrip('/')}_rewrites")
 
 

@@ -94,22 +94,22 @@ def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def land_feeds(spark: SparkSession, sf_dir: str, folder: str, until: str | None = None) -> dict[str, str]:
+def land_feeds(spark: SparkSession, sf_dir: str, folder: str, mark: str) -> dict[str, str]:
     """Write the derived data in the form the sources read: CSV files with a header, and JSON.
 
-    ``until`` keeps the sales lines up to that time.
+    The sales land in two folders, the lines up to ``mark`` and the newer ones.
     """
-    paths = {name: f"{folder}/{name}" for name in ("sales", "countries", "fx")}
+    paths = {name: f"{folder}/{name}" for name in ("sales/early", "sales/late", "countries", "fx")}
     lines = sales(spark, sf_dir)
-    if until:
-        lines = lines.filter(F.col("InvoiceDate") <= F.lit(until).cast("timestamp"))
-    lines.write.csv(
-        paths["sales"],
-        header=True,
-        encoding="ISO-8859-1",
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-    )
+    early = F.col("InvoiceDate") <= F.lit(mark).cast("timestamp")
+    for name, part in (("sales/early", lines.filter(early)), ("sales/late", lines.filter(~early))):
+        part.write.csv(
+            paths[name],
+            header=True,
+            encoding="ISO-8859-1",
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        )
     entry = F.struct(F.struct(F.col("country").alias("common")).alias("name"), "region", "population")
     # One JSON list of some 25 countries.
     listed = countries(spark, sf_dir).agg(F.to_json(F.collect_list(entry)).alias("value"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.times import as_utc, from_micros
-from basketry.functions.aggregates import one_row
+from basketry.functions.aggregates import literal_row, one_row
 from basketry.schemas import METADATA
 from basketry.session import read_if_exists
 
@@ -33,5 +33,5 @@ def get_last_watermark(spark: SparkSession, path: str) -> datetime | None:
 
 def update_watermark(spark: SparkSession, path: str, mark: datetime) -> None:
     """Append the new mark. The old ones stay, so a crash here cannot lose the last one."""
-    row = (_ID, as_utc(mark), datetime.now(timezone.utc))
-    spark.createDataFrame([row], METADATA).coalesce(1).write.mode("append").parquet(path)
+    row = literal_row(spark, METADATA, _ID, as_utc(mark), datetime.now(timezone.utc))
+    row.write.mode("append").parquet(path)

@@ -6,6 +6,7 @@ import pytest
 from samples import countries, fact_row, facts, rates, sales, utc
 
 import __spark_entry__ as registered
+from basketry.operators.clean import clean_sales
 from basketry.operators.upsert import upsert
 from basketry.plans.transform import to_fact
 from basketry.session import stage
@@ -63,3 +64,27 @@ def test_stored_fact_is_pruned_by_period_and_time(spark, tmp_path):
     plan = plan_of(read_fact(spark, path).filter("invoice_period = '2011-02' and invoice_date > '2011-02-01'"))
     assert "PartitionFilters: [isnotnull(invoice_period" in plan
     assert "GreaterThan(invoice_date" in plan
+
+
+def test_cleaning_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "sales")
+    sales(spark).write.parquet(path)
+    plan = plan_of(clean_sales(spark.read.parquet(path)).select("InvoiceNo"))
+    for pushed in ("IsNotNull(CustomerID)", "GreaterThan(Quantity,0)", "GreaterThan(UnitPrice,0.0)"):
+        assert pushed in plan
+
+
+def test_fact_stage_can_be_compiled(spark, tmp_path):
+    """The JVM interprets methods over 8000 bytes of bytecode, which made the fact several times slower."""
+    path = str(tmp_path / "sales")
+    sales(spark).write.parquet(path)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for fact in (
+            to_fact(spark.read.parquet(path), countries(spark), rates(spark)),
+            registered.queries()["fact_sales"](spark, SF_DIR),
+        ):
+            sizes = re.findall(r"maxMethodCodeSize:(\d+)", plan_of(fact, "codegen"))
+            assert sizes and max(map(int, sizes)) < 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")

@@ -24,6 +24,32 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Settings that hold from one core to a large cluster; what the submitter sets comes first.
+_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def job_session(name: str, shuffle_bytes: int = 0) -> SparkSession:
+    """Session of a job. ``shuffle_bytes`` is the largest amount one step shuffles.
+
+    For a cold load that is about the size of the fact. Shuffles start with partitions of 256 MB, at
+    least four per core, so that a task's share fits its memory; adaptive execution merges small ones.
+    """
+    spark = SparkSession.builder.appName(name).getOrCreate()
+    given = spark.sparkContext.getConf()
+    cores = spark.sparkContext.defaultParallelism
+    partitions = max(4 * cores, -(-shuffle_bytes // _PARTITION_BYTES))
+    for key, value in {**_DEFAULTS, "spark.sql.shuffle.partitions": str(partitions)}.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    return prepare(spark)
+
+
 def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """A Parquet table, or ``None`` before anything has been written to it."""
     try:

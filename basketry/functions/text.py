@@ -37,3 +37,7 @@ def thousands(col: Column) -> Column:
 
 def percent(col: Column) -> Column:
     return F.concat(F.format_number(col, 1), F.lit("%"))
+
+
+def times(col: Column) -> Column:
+    return F.concat(F.format_number(col, 1), F.lit("×"))

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.functions.money import exact_sum, round_half_even, share_pct
-from basketry.functions.text import euros, percent, shorten, thousands
-from basketry.functions.times import WEEKDAYS, month, utc_day, weekday_name
+from basketry.functions.text import euros, percent, shorten, thousands, times
+from basketry.functions.times import WEEKDAYS, iso_day, month, utc_day, weekday_name
 from basketry.operators.clean import clean_sales
 from basketry.functions.aggregates import one_row
 from basketry.operators.topk import kth_largest, sum_down_to
@@ -92,9 +92,7 @@ def headline_metrics(lines: DataFrame) -> DataFrame:
 def headline_text(lines: DataFrame) -> DataFrame:
     """The headline figures as a report prints them."""
     return headline_metrics(lines).select(
-        F.concat_ws(" → ", F.date_format("first_day", "yyyy-MM-dd"), F.date_format("last_day", "yyyy-MM-dd")).alias(
-            "period"
-        ),
+        F.concat_ws(" → ", iso_day("first_day"), iso_day("last_day")).alias("period"),
         euros(F.col("total_revenue")).alias("total_revenue"),
         thousands(F.col("customers")).alias("customers"),
         thousands(F.col("invoices")).alias("invoices"),
@@ -255,6 +253,19 @@ def high_value_customers(fact: DataFrame, k: int = 100) -> DataFrame:
     )
 
 
+_SHOWN = {"revenue": euros, "pct": percent, "vs_median": times, "customers": thousands}
+
+
+def as_text(table: DataFrame) -> DataFrame:
+    """The figures of an insight as a report prints them, chosen by the last word of the column name."""
+
+    def shown(name: str) -> Column:
+        style = next((show for word, show in _SHOWN.items() if name.endswith(word)), None)
+        return style(F.col(name)).alias(name) if style else F.col(name)
+
+    return table.select(*map(shown, table.columns))
+
+
 def all_insights(lines: DataFrame, home: str = HOME_MARKET) -> dict[str, DataFrame]:
     """Every insight of the report, from two scans of the lines: the staged roll-up and the products."""
     rollup = stage(invoice_rollup(lines), "invoice-rollup")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.functions.aggregates import literal_row
+from basketry.operators.contracts import ContractViolation
 from basketry.operators.upsert import INSERT, SAME, UPDATE, classify, deduplicate, upsert
 from basketry.schemas import FACT
 from basketry.session import read_if_exists, scratch_path, stage
@@ -35,20 +36,22 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return stored if stored is not None else spark.createDataFrame([], _STORED)
 
 
-def _write(rows: DataFrame, path: str, **options: str) -> None:
+def _by_period(rows: DataFrame) -> DataFrameWriter:
     """Write by period: few files each, a period that is too large for one task split over many.
 
     Ordering by time gives row groups narrow date ranges, which the next load's filter skips.
     """
-    (
-        rows.select(*_STORED.fieldNames())
-        .hint("rebalance", PERIOD)
-        .sortWithinPartitions(PERIOD, "invoice_date")
-        .write.options(**options)
-        .mode("overwrite" if options else "append")
-        .partitionBy(PERIOD)
-        .parquet(path)
-    )
+    laid_out = rows.select(*_STORED.fieldNames()).hint("rebalance", PERIOD)
+    return laid_out.sortWithinPartitions(PERIOD, "invoice_date").write.partitionBy(PERIOD)
+
+
+def _append(rows: DataFrame, path: str) -> None:
+    _by_period(rows).mode("append").parquet(path)
+
+
+def _replace_periods(rows: DataFrame, path: str) -> None:
+    """Replace the periods that occur in ``rows``; the others stay."""
+    _by_period(rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def _log_rewrite(spark: SparkSession, path: str, rewrite: str, published: bool) -> None:
@@ -58,7 +61,7 @@ def _log_rewrite(spark: SparkSession, path: str, rewrite: str, published: bool)
 
 def _publish(spark: SparkSession, path: str, rewrite: str) -> None:
     rows = spark.read.schema(_STORED).parquet(rewrite)
-    _write(rows, path, partitionOverwriteMode="dynamic")
+    _replace_periods(rows, path)
     _log_rewrite(spark, path, rewrite, True)
 
 
@@ -73,6 +76,13 @@ def finish_pending_rewrites(spark: SparkSession, path: str) -> None:
         _publish(spark, path, row["path"])
 
 
+def _check_grain(target: DataFrame | None, grain: str) -> None:
+    """One table has one granularity: periods of another one would hide its rows from the match."""
+    some = target.select(PERIOD).first() if target is not None else None
+    if some and len(some[0]) != len(PERIOD_FORMATS[grain]):
+        raise ValueError(f"the stored fact is not partitioned by {grain}, it has the period {some[0]}")
+
+
 def upsert_into(spark: SparkSession, path: str, batch: DataFrame, grain: str = "month") -> dict[str, int]:
     """Upsert ``batch`` (stage it first: it is read several times) into the stored fact.
 
@@ -88,12 +98,14 @@ def upsert_into(spark: SparkSession, path: str, batch: DataFrame, grain: str = "
     finish_pending_rewrites(spark, path)
     bounds = batch.agg(
         F.count(F.lit(1)).alias("records"),
+        F.count_if(F.col("invoice_date").isNull()).alias("undated"),
         F.min("invoice_date").alias("first"),
         F.max("invoice_date").alias("last"),
         F.min(period_of(grain)).alias("first_period"),
         F.max(period_of(grain)).alias("last_period"),
     ).select(
         "records",
+        "undated",
         F.unix_micros("first").alias("first"),
         F.unix_micros("last").alias("last"),
         "first_period",
@@ -102,6 +114,8 @@ def upsert_into(spark: SparkSession, path: str, batch: DataFrame, grain: str = "
     span = bounds.first()
     if not span["records"]:
         return {"records": 0, "upserted": 0, "modified": 0}
+    if span["undated"]:
+        raise ContractViolation(f"invoice_date is missing in {span['undated']} rows")
 
     def in_periods(rows: DataFrame) -> DataFrame:
         return rows.filter(F.col(PERIOD).between(span["first_period"], span["last_period"]))
@@ -111,8 +125,9 @@ def upsert_into(spark: SparkSession, path: str, batch: DataFrame, grain: str = "
         return in_periods(rows).filter(F.col("invoice_date").between(first, last))
 
     target = _stored(spark, path)
+    _check_grain(target, grain)
     if target is None or in_span(target).isEmpty():
-        _write(deduplicate(batch).withColumn(PERIOD, period_of(grain)), path)
+        _append(deduplicate(batch).withColumn(PERIOD, period_of(grain)), path)
         return {
             "records": span["records"],
             "upserted": in_span(_stored(spark, path)).count(),
@@ -140,7 +155,7 @@ def upsert_into(spark: SparkSession, path: str, batch: DataFrame, grain: str = "
         _log_rewrite(spark, path, rewrite, False)
         _publish(spark, path, rewrite)
     if counts.get(INSERT):
-        _write(inserts, path)
+        _append(inserts, path)
     return {
         "records": span["records"],
         "upserted": counts.get(INSERT, 0),

@@ -167,6 +167,27 @@ def _euro(value: str) -> str:
     return f"'€' || format('{{:,}}', cast(round_even({value}, 0) as bigint))"
 
 
+def _percent(value: str) -> str:
+    return f"format('{{:.1f}}', {value}) || '%'"
+
+
+_CONCENTRATION = f"""with c as ({_by("fact", "customer_id", "customer_id")}),
+      r as (select revenue, row_number() over (order by revenue desc) as nth, count(*) over () as n from c),
+      k as (select max(n) as customers, greatest(1, cast(floor(max(n) * 0.01e0) as bigint)) as few,
+        cast(sum(cast(revenue as decimal(18,4))) as double) as total from r)
+      select customers,
+        100.0e0 * (select cast(sum(cast(revenue as decimal(18,4))) as double) from r where nth <= 10) / total
+          as top10_share_pct,
+        few as top1pct_customers,
+        100.0e0 * (select cast(sum(cast(revenue as decimal(18,4))) as double) from r
+          where nth <= (select few from k)) / total as top1pct_share_pct
+      from k"""
+
+_REPEAT = """select *, 100 - one_off_pct as repeat_pct from (
+      select count(*) as customers, 100 * count(*) filter (invoices = 1) / count(*) as one_off_pct
+      from (select customer_id, count(distinct invoice_no) as invoices from fact
+        where customer_id is not null group by 1) per_customer) shares"""
+
 _SELECTS = {
     "sales_lines": "select * from sales",
     "clean_sales": "select * from cleaned",
@@ -245,21 +266,21 @@ _SELECTS = {
     "top_months": _by("fact", "strftime(invoice_date, '%Y-%m')", "month")
     + " order by revenue desc, month limit 5",
     "peak_month": _peak("fact"),
-    "customer_concentration": f"""with c as ({_by("fact", "customer_id", "customer_id")}),
-      r as (select revenue, row_number() over (order by revenue desc) as nth, count(*) over () as n from c),
-      k as (select max(n) as customers, greatest(1, cast(floor(max(n) * 0.01e0) as bigint)) as few,
-        cast(sum(cast(revenue as decimal(18,4))) as double) as total from r)
-      select customers,
-        100.0e0 * (select cast(sum(cast(revenue as decimal(18,4))) as double) from r where nth <= 10) / total
-          as top10_share_pct,
-        few as top1pct_customers,
-        100.0e0 * (select cast(sum(cast(revenue as decimal(18,4))) as double) from r
-          where nth <= (select few from k)) / total as top1pct_share_pct
-      from k""",
-    "repeat_customers": """select *, 100 - one_off_pct as repeat_pct from (
-      select count(*) as customers, 100 * count(*) filter (invoices = 1) / count(*) as one_off_pct
-      from (select customer_id, count(distinct invoice_no) as invoices from fact
-        where customer_id is not null group by 1) per_customer) shares""",
+    "customer_concentration": _CONCENTRATION,
+    "customer_concentration_text": f"""select format('{{:,}}', customers) as customers,
+      {_percent("top10_share_pct")} as top10_share_pct,
+      format('{{:,}}', top1pct_customers) as top1pct_customers,
+      {_percent("top1pct_share_pct")} as top1pct_share_pct from ({_CONCENTRATION}) figures""",
+    "repeat_customers": _REPEAT,
+    "repeat_customers_text": f"""select format('{{:,}}', customers) as customers,
+      {_percent("one_off_pct")} as one_off_pct, {_percent("repeat_pct")} as repeat_pct
+      from ({_REPEAT}) figures""",
+    "home_market_text": f"""select home_market, {_euro("home_revenue")} as home_revenue,
+      {_percent("home_share_pct")} as home_share_pct, next5_markets, {_euro("next5_revenue")} as next5_revenue,
+      {_percent("next5_share_pct")} as next5_share_pct from ({_home("fact", "united kingdom")}) figures""",
+    "peak_month_text": f"""select peak_month, {_euro("peak_revenue")} as peak_revenue,
+      {_euro("median_month_revenue")} as median_month_revenue,
+      format('{{:.1f}}', peak_vs_median) || '×' as peak_vs_median from ({_peak("fact")}) figures""",
     "top_products": _products("fact"),
     "weekday_revenue": _weekdays("fact"),
     "revenue_by_region": f"""select region, {_REVENUE} as revenue_eur, count(distinct invoice_no) as invoices

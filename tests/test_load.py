@@ -6,7 +6,7 @@ import pytest
 from samples import RATES, countries, fact_row, facts, line, rates, sales, sorted_rows, utc
 
 import basketry.sources.fact_table as fact_table
-from basketry.operators.contracts import check_unique_key
+from basketry.operators.contracts import ContractViolation, check_unique_key
 from basketry.operators.fact import without_key_text
 from basketry.operators.upsert import classify, deduplicate, upsert, upsert_counts
 from basketry.plans import runs
@@ -109,6 +109,20 @@ def test_stored_fact_through_its_life(spark, tmp_path, grain):
     check_unique_key(read_fact(spark, path))
 
 
+def test_one_table_has_one_grain(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    batch = stage(facts(spark, [fact_row()]), "batch")
+    upsert_into(spark, path, batch, "month")
+    with pytest.raises(ValueError, match="not partitioned by day"):
+        upsert_into(spark, path, batch, "day")
+
+
+def test_undated_rows_are_refused(spark, tmp_path):
+    batch = stage(facts(spark, [fact_row(invoice_date=None)]), "batch")
+    with pytest.raises(ContractViolation, match="missing in 1 rows"):
+        upsert_into(spark, str(tmp_path / "fact"), batch)
+
+
 def test_crash_while_publishing_loses_nothing(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "fact")
     rows = [fact_row(row_hash=f"j{i}") for i in range(4)]

@@ -56,8 +56,10 @@ def asof_rate(df: DataFrame, fx: DataFrame, day: Column) -> DataFrame:
     Days after the last rated one are looked up as that one, so the lookup is a plain hash join:
     no range condition, no second scan for the days in use, no shuffle of ``df``.
     """
+    # `least` skips nulls: a line without a day must not take the last day's rate.
+    lookup = F.when(day.isNotNull(), F.least(day, _table_figures(fx)["last_day"]))
     return (
-        df.withColumn("fx_day", F.least(day, _table_figures(fx)["last_day"]))
+        df.withColumn("fx_day", lookup)
         .join(F.broadcast(fx_calendar(fx)), "fx_day", "left")
         .drop("fx_day")
     )

@@ -18,7 +18,7 @@ from basketry.operators.contracts import check_sales
 from basketry.operators.fact import without_key_text
 from basketry.operators.quality import build_quality_report
 from basketry.plans.transform import to_fact
-from basketry.schemas import MIN_COUNTRIES
+from basketry.schemas import COUNTRIES, FACT, FX_RATES, MIN_COUNTRIES
 from basketry.session import prepare, scratch_path, stage
 from basketry.sources.fact_table import upsert_into
 from basketry.sources.reference import read_countries, read_fx_rates
@@ -66,12 +66,12 @@ def run_transform(spark: SparkSession, extracted: dict[str, Any]) -> dict[str, A
     if not extracted["records"]:
         return {"records": 0, "fact_parquet": None, "quality_report": {}}
     sales = read_sales_parquet(spark, extracted["sales_parquet"])
-    countries = spark.read.parquet(extracted["countries_parquet"])
-    fx = spark.read.parquet(extracted["fx_parquet"])
+    countries = spark.read.schema(COUNTRIES).parquet(extracted["countries_parquet"])
+    fx = spark.read.schema(FX_RATES).parquet(extracted["fx_parquet"])
     if fx.isEmpty():
         raise ValueError("there are sales to convert but no FX rates")
     path = _stamped(spark, "fact_sales")
-    fact = stage(to_fact(sales, countries, fx), "fact_sales", path)
+    fact = stage(without_key_text(to_fact(sales, countries, fx)), "fact_sales", path)
     report = build_quality_report(clean_counters(sales), fact).first().asDict()
     return {"records": fact.count(), "fact_parquet": path, "quality_report": report}
 
@@ -91,7 +91,7 @@ def run_load(
     staged = transformed.get("fact_parquet")
     if not staged:
         return {"records": 0, "upserted": 0, "modified": 0}
-    fact = without_key_text(spark.read.parquet(staged))
+    fact = spark.read.schema(FACT).parquet(staged)
     counts = upsert_into(spark, fact_path, fact, grain)
     if counts["records"]:
         newest = next_watermark(fact).select(F.unix_micros("invoice_date")).first()[0]

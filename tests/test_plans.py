@@ -3,10 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from samples import countries, fact_row, facts, rates, sales, utc
 
 import __spark_entry__ as registered
 from basketry.operators.clean import clean_sales
+from basketry.operators.enrich import enrich_with_countries, normalize_countries, normalize_sales
 from basketry.operators.upsert import upsert
 from basketry.plans.transform import to_fact
 from basketry.session import stage
@@ -88,3 +90,29 @@ def test_fact_stage_can_be_compiled(spark, tmp_path):
             assert sizes and max(map(int, sizes)) < 8000
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_hot_country_is_split_when_its_join_is_shuffled(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, "France").otherwise(F.concat(F.lit("Land "), F.col("id") % 5000))
+        lines = spark.range(0, 60000, 1, 8).select(
+            F.col("id").cast("string").alias("InvoiceNo"), F.lit("c1").alias("CustomerID"), hot.alias("Country")
+        )
+        joined = enrich_with_countries(
+            normalize_sales(lines), normalize_countries(countries(spark)), limit_bytes=0
+        )
+        found = joined.groupBy("region").agg(F.count_distinct("InvoiceNo"))
+        assert dict(found.collect()) == {"Europe": 20000, "unknown": 40000}
+        assert "SortMergeJoin(skew=true)" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

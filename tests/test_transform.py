@@ -157,8 +157,9 @@ def test_gap_takes_the_earlier_day(spark):
 def test_day_before_the_first_rate_takes_the_median_of_the_table(spark):
     listed = [(date(2011, 1, 7), 1.0), (date(2011, 1, 8), 1.2), (date(2011, 1, 9), 1.6), (date(2011, 1, 10), 1.7)]
     raw = [line("early", InvoiceDate=utc("2010-12-31")), line("late", InvoiceDate=utc("2011-01-10"))]
-    found = by_invoice(converted(spark, raw, listed))
+    found = by_invoice(converted(spark, raw + [line("undated", InvoiceDate=None)], listed))
     assert found["early"]["fx_rate_gbp_eur"] == pytest.approx(1.4)
+    assert found["undated"]["fx_rate_gbp_eur"] == pytest.approx(1.4)
     counted = fx_fallback_rows(sales(spark, raw), rates(spark, listed)).first()
     assert (counted["missing_rows"], counted["total_rows"]) == (1, 2)
     assert counted["fallback_rate"] == pytest.approx(1.4)

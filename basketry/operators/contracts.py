@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.operators.clean import clean_counters
+from basketry.functions.aggregates import one_row
+from basketry.operators.clean import counter_metrics
 from basketry.schemas import KEY, MAX_FX_RATE, MIN_FX_RATE
 
 
@@ -45,30 +46,48 @@ def check_unique_key(fact: DataFrame) -> DataFrame:
     return fact
 
 
-def contract_report(
-    sales: DataFrame, countries: DataFrame, fx: DataFrame, enriched: DataFrame, fact: DataFrame
-) -> DataFrame:
+def contract_report(sales: DataFrame, countries: DataFrame, fx: DataFrame, fact: DataFrame) -> DataFrame:
     """All contracts as counts in one row, for a report that does not stop the run.
 
-    ``enriched`` is the cleaned sales after the country join.
+    One scan of the sales and one of the fact, however many contracts there are.
     """
-    counters = clean_counters(sales)
     rate = F.col("fx_rate_gbp_eur")
-    in_bounds = ~F.isnan(rate) & rate.between(MIN_FX_RATE, MAX_FX_RATE)
-    kept_and_dropped = sum((F.col(c) for c in counters.columns[2:]), F.col(counters.columns[1]))
-
-    def missing(name: str) -> Column:
-        return sales.agg(F.count_if(F.col(name).isNull())).scalar()
-
-    return sales.sparkSession.range(1).select(
-        missing("Quantity").alias("sales_without_quantity"),
-        missing("InvoiceDate").alias("sales_without_date"),
-        countries.agg(F.count(F.lit(1))).scalar().alias("countries_found"),
-        fx.agg(F.count_if(~F.coalesce(in_bounds, F.lit(False)))).scalar().alias("fx_out_of_bounds"),
-        fx.agg(F.count("date") - F.count_distinct("date")).scalar().alias("fx_days_repeated"),
-        counters.select(F.col("rows_in") - kept_and_dropped).scalar().alias("lines_unaccounted"),
-        (counters.select("rows_out").scalar() - enriched.agg(F.count(F.lit(1))).scalar()).alias(
-            "lines_lost_in_join"
-        ),
-        duplicate_keys(fact).agg(F.count(F.lit(1))).scalar().alias("keys_repeated"),
+    in_bounds = F.coalesce(~F.isnan(rate) & rate.between(MIN_FX_RATE, MAX_FX_RATE), F.lit(False))
+    metrics = counter_metrics()
+    accounted = sum((F.col(name) for name in metrics if name != "rows_in"), F.lit(0))
+    keys = fact.groupBy(*KEY).agg(F.count(F.lit(1)).alias("rows"))
+    return (
+        one_row(
+            sales,
+            **metrics,
+            sales_without_quantity=F.count_if(F.col("Quantity").isNull()),
+            sales_without_date=F.count_if(F.col("InvoiceDate").isNull()),
+        )
+        .withColumns(
+            {
+                "countries_found": countries.agg(F.count(F.lit(1))).scalar(),
+                "fx": fx.agg(
+                    F.struct(
+                        F.count_if(~in_bounds).alias("out_of_bounds"),
+                        (F.count("date") - F.count_distinct("date")).alias("repeated"),
+                    )
+                ).scalar(),
+                "keys": keys.agg(
+                    F.struct(
+                        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+                        F.count_if(F.col("rows") > 1).alias("repeated"),
+                    )
+                ).scalar(),
+            }
+        )
+        .select(
+            "sales_without_quantity",
+            "sales_without_date",
+            "countries_found",
+            F.col("fx.out_of_bounds").alias("fx_out_of_bounds"),
+            F.col("fx.repeated").alias("fx_days_repeated"),
+            (F.col("rows_in") - accounted).alias("lines_unaccounted"),
+            (F.col("rows_out") - F.col("keys.rows")).alias("lines_lost_in_join"),
+            F.col("keys.repeated").alias("keys_repeated"),
+        )
     )

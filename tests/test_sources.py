@@ -4,8 +4,9 @@ from datetime import date, datetime
 import pytest
 from pyspark.errors import AnalysisException
 
-from basketry.operators.contracts import ContractViolation, check_sales, check_unique_key
-from basketry.schemas import SALES
+from basketry.operators.contracts import ContractViolation, check_sales, check_unique_key, contract_report
+from basketry.plans.transform import to_fact
+from basketry.schemas import FX_RATES, SALES
 from basketry.sources.reference import (
     count_unnamed,
     fx_rate_stats,
@@ -15,7 +16,7 @@ from basketry.sources.reference import (
 )
 from basketry.sources.sales import read_sales_csv, read_sales_parquet
 from basketry.sources.watermark import get_last_watermark, update_watermark
-from samples import fact_row, facts, line, sales, utc
+from samples import countries, fact_row, facts, line, sales, utc
 
 HEADER = "InvoiceNo,StockCode,Description,Quantity,UnitPrice,InvoiceDate,CustomerID,Country"
 
@@ -190,6 +191,16 @@ def test_sales_contract(spark):
         check_sales(broken)
 
 
+def test_contract_report_counts_what_is_broken(spark):
+    raw = sales(spark, [line("A"), line("A"), line("B", Quantity=None), line("C", InvoiceDate=None), line("D", Country="Mars")])
+    fx = spark.createDataFrame([(date(2011, 1, 1), 1.17), (date(2011, 1, 3), 9.9), (date(2011, 1, 4), None)], FX_RATES)
+    found = contract_report(raw, countries(spark), fx, to_fact(raw, countries(spark), fx)).first().asDict()
+    assert found == {
+        "sales_without_quantity": 1, "sales_without_date": 1, "countries_found": 4, "fx_out_of_bounds": 2,
+        "fx_days_repeated": 0, "lines_unaccounted": 0, "lines_lost_in_join": 0, "keys_repeated": 1,
+    }
+
+
 def test_unique_key_contract(spark):
     check_unique_key(facts(spark, [fact_row(), fact_row(row_hash="def456")]))
     with pytest.raises(ContractViolation, match="not unique"):

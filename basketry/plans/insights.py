@@ -117,20 +117,22 @@ def home_market_share(lines: DataFrame, home: str = HOME_MARKET) -> DataFrame:
         home_revenue=F.sum(F.when(is_home, F.col("revenue"))),
         total=F.sum("revenue"),
     )
-    best = countries.filter(F.col("country") != home).orderBy(F.desc("revenue"), "country").limit(5)
-    next5 = best.agg(
-        F.struct(
-            F.sum("revenue").alias("revenue"),
-            F.array_sort(F.collect_list(F.struct((-F.col("revenue")).alias("order"), "country"))).alias("markets"),
-        )
+    # Seven hold the next five whatever comes of home and of lines without a country. Leaving these two
+    # out only afterwards keeps both uses of `countries` the same plan, so it is computed once.
+    first7 = countries.orderBy(F.desc("revenue"), "country").limit(7)
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("revenue")).alias("order"), "country")))
+    next5 = F.slice(F.filter("ranked", lambda m: m["country"].isNotNull() & (m["country"] != home)), 1, 5)
+    wide = "decimal(38,4)"
+    next5_revenue = F.aggregate(
+        next5, F.lit(0).cast(wide), lambda total, m: (total - m["order"]).cast(wide)
     )
-    return totals.withColumn("next5", next5.scalar()).select(
+    return totals.withColumn("ranked", first7.agg(ranked).scalar()).select(
         F.lit(home).alias("home_market"),
         F.col("home_revenue").cast("double").alias("home_revenue"),
         share_pct(F.col("home_revenue"), F.col("total")).alias("home_share_pct"),
-        F.array_join(F.col("next5.markets.country"), ", ").alias("next5_markets"),
-        F.col("next5.revenue").cast("double").alias("next5_revenue"),
-        share_pct(F.col("next5.revenue"), F.col("total")).alias("next5_share_pct"),
+        F.array_join(F.transform(next5, lambda m: m["country"]), ", ").alias("next5_markets"),
+        next5_revenue.cast("double").alias("next5_revenue"),
+        share_pct(next5_revenue, F.col("total")).alias("next5_share_pct"),
     )
 
 

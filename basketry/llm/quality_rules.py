@@ -25,6 +25,7 @@ BOILERPLATE = (
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LOST = 0.5  # share of the characters in words that failing lines may hold
+SENTENCE_WORDS = 30  # a line without an end must have an ended sentence for so many words
 MAX_SYMBOLS_PER_WORD = 0.5
 MAX_SEPARATORS = 0.2
 MIN_SHOUTED_WORDS = 5
@@ -53,10 +54,11 @@ def repeated_words(words: list[bytes]) -> int:
 
 def line_fails(line: str, words: list[bytes]) -> bool:
     """A line fails as unpunctuated, as navigation or as boilerplate."""
-    ending = line.rstrip().rstrip(CLOSERS)
-    # A line that ends in a quoted or bracketed piece counts as punctuated.
-    if ending and ending[-1] not in TERMINAL and line.rstrip()[-1] not in CLOSERS:
-        return True
+    ending = line.rstrip()[-1:]
+    if ending not in TERMINAL and ending not in CLOSERS:
+        # Prose that breaks off has sentences that end before.
+        if SENTENCE_WORDS * sum(w[-1:] in b".!?" for w in words) < len(words):
+            return True
     joined = b"".join(words)
     if len(joined) - len(joined.translate(None, SYMBOLS)) > MAX_SYMBOLS_PER_WORD * len(words):
         return True

@@ -21,11 +21,15 @@ SAMPLE_PER_CLASS = 2500
 HASH_BITS = 40
 #: Features in fewer fitted documents than this cannot pass the L1 threshold and are left out before.
 MIN_DOCUMENTS = 4
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 2.0, 1.0
-EPOCHS = 4
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 6.0, 0.1
+EPOCHS = 10
 THRESHOLD = 0.7
-#: Spread of the three kinds: words, pairs of neighbours, pairs with one word between.
-_KINDS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+#: Letters of a word's stem, so that inflected forms share a feature.
+STEM = 5
+#: Spread of the four kinds: words, pairs of neighbours, pairs with one word between, stems.
+_KINDS = tuple(
+    np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
+)
 
 _words = re.compile(r"\w+").findall
 
@@ -44,10 +48,11 @@ _hashes = _Hashes()
 
 
 def features(text: str) -> np.ndarray:
-    """Hashes of all lower-case words, pairs of neighbours and pairs with one word between; repeats included."""
+    """Hashes of lower-case words, pairs of neighbours, pairs with one word between, and stems; repeats included."""
     words = _words(text.lower())
     single = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    kinds = [single * _KINDS[0]]
+    stems = np.fromiter(map(_hashes.__getitem__, [w[:STEM] for w in words]), np.uint64, len(words))
+    kinds = [single * _KINDS[0], stems * _KINDS[3]]
     for gap, spread in ((1, _KINDS[1]), (2, _KINDS[2])):
         left, right = single[:-gap], single[gap:]
         kinds.append(((left ^ (left >> np.uint64(29))) * spread + right) * _KINDS[0])

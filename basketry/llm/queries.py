@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import byte_bpe, packing, quality_rules, simhash, token_files, toxicity, url_filter
+from basketry.llm import (
+    byte_bpe,
+    order_minhash,
+    packing,
+    quality_rules,
+    secret_scan,
+    simhash,
+    token_files,
+    toxicity,
+    url_filter,
+)
 from basketry.llm.common import table
 from basketry.session import scratch_path
 
@@ -15,6 +25,24 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = order_minhash.fingerprints(table(spark, sf_dir, "documents"))
+    pairs = order_minhash.with_next(marked, "doc_id", "text", "fingerprint")
+    size = F.length("text")
+    taken = F.floor(size / 3).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), size - taken), F.substring("next_text", F.lit(1), taken))
+    both = order_minhash.add_fingerprints(pairs.withColumn("edited", edited), {"edited": "edited_mark"})
+    return both.select(
+        "doc_id",
+        size.cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        order_minhash.as_text(F.col("fingerprint")).alias("fingerprint"),
+        order_minhash.as_text(F.col("edited_mark")).alias("edited_fingerprint"),
+        order_minhash.likeness(F.col("fingerprint"), F.col("edited_mark")).alias("near_edited"),
+        order_minhash.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = byte_bpe.read_model(public_tokenizers.path(RANKS))
     coded = byte_bpe.encode(table(spark, sf_dir, "documents"), model, public_tokenizers.PATTERN)
@@ -26,6 +54,19 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(documents, secret_scan.train(documents))
+    spans = F.transform("secrets", lambda s: F.concat_ws("+", s["at"].cast("string"), F.length(s["secret"]).cast("string")))
+    return found.select(
+        "doc_id",
+        "n_candidates",
+        F.size("secrets").cast("long").alias("n_secrets"),
+        F.array_join(spans, " ").alias("spans"),
+        F.sha2("redacted", 256).alias("redacted_sha256"),
+    )
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -62,7 +103,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_order_minhash": op1_order_minhash,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_secret_scan": op3_secret_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_toxicity": op6_toxicity,
     "op7_token_files": op7_token_files,

@@ -13,6 +13,7 @@ from basketry.llm import (
     quality_rules,
     secret_scan,
     simhash,
+    suffix_dedup,
     token_files,
     toxicity,
     url_filter,
@@ -71,6 +72,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     weights = toxicity.train(documents, table(spark, sf_dir, "labels"))
@@ -107,6 +114,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secret_scan": op3_secret_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_token_files": op7_token_files,
     "op8_quality_rules": op8_quality_rules,

@@ -221,8 +221,10 @@ def scan(df: DataFrame, forest: Forest, id_column: str = "doc_id", text_column:
 
 def redact(df: DataFrame, forest: Forest, text_column: str = "text", size_column: str = "n_chars") -> DataFrame:
     """All rows and columns of ``df``; secrets in the text are masked, and its length is counted anew."""
-    text = _redacted()
-    masked = _with_secrets(df, forest, text_column).withColumn(text_column, text)
+    row = F.struct(*[quoted(c) for c in df.columns]).alias("row")
+    judged = _with_secrets(df.select(row, quoted(text_column).alias("text")), forest, "text")
+    masked = judged.select("row", _redacted().alias("masked"))
+    values = {c: F.col("row")[c] for c in df.columns} | {text_column: F.col("masked")}
     if size_column in df.columns:
-        masked = masked.withColumn(size_column, F.length(quoted(text_column)).cast(df.schema[size_column].dataType))
-    return masked.select(*[quoted(c) for c in df.columns])
+        values[size_column] = F.length("masked").cast(df.schema[size_column].dataType)
+    return masked.select(*[value.alias(c) for c, value in values.items()])

@@ -221,8 +221,11 @@ def drop_near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column:
     first = parts.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "component_id").agg(
         F.min("text_key").alias("text_key")
     )
-    keep = first.select(F.struct(F.col("component_id").alias("i"), F.col("text_key").alias("k")).alias("_kept_row"))
-    own = F.struct(quoted(id_column).alias("i"), F.xxhash64(F.coalesce(quoted(text_column), F.lit(""))).alias("k"))
-    keyed = df.withColumn("_row", own)
-    joined = keyed.join(keep, keyed["_row"].eqNullSafe(keep["_kept_row"]), "left_semi")
-    return joined.dropDuplicates(["_row"]).drop("_row")
+    keep = first.select(F.struct(F.col("component_id").alias("i"), F.col("text_key").alias("k")).alias("kept"))
+    text_key = F.xxhash64(F.coalesce(quoted(text_column), F.lit("")))
+    keyed = df.select(
+        F.struct(*[quoted(c) for c in df.columns]).alias("row"),
+        F.struct(quoted(id_column).cast("long").alias("i"), text_key.alias("k")).alias("own"),
+    )
+    joined = keyed.join(keep, F.col("own").eqNullSafe(F.col("kept")), "left_semi")
+    return joined.dropDuplicates(["own"]).select("row.*")

@@ -25,6 +25,8 @@ SORTED = 512
 CUT = 16
 
 _BASE = 0x9E3779B97F4A7C15
+#: Stands for a null id in keys.
+_NO_ID = -(1 << 63)
 _SPAN = "k1 long, k2 int, lo long, hi long"
 _ROOM = PIECE + 64 * 1024
 _powers: list[np.ndarray] = []
@@ -407,76 +409,115 @@ def repeated_spans(docs: DataFrame, sorted_limit: int = SORTED) -> DataFrame:
     return alike.union(copies).union(sorted_spans).union(found[0]).union(found[1])
 
 
+def _merged(spans) -> list[tuple[int, int]]:
+    """Maximal runs of what the spans cover."""
+    runs: list[tuple[int, int]] = []
+    for lo, hi in sorted((s["lo"], s["hi"]) for s in spans or ()):
+        if runs and lo <= runs[-1][1]:
+            runs[-1] = runs[-1][0], max(runs[-1][1], hi)
+        else:
+            runs.append((lo, hi))
+    return runs
+
+
+def _rest(data: bytes, runs: list[tuple[int, int]]) -> bytes:
+    begins, ends = [0, *[hi for _, hi in runs]], [*[lo for lo, _ in runs], len(data)]
+    return b"".join(data[a:b] for a, b in zip(begins, ends))
+
+
 def _remove_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Merged spans and the bytes that are left; what comes after the third column is passed on."""
     for batch in batches:
-        for part in bounded_slices(batch, 0):
-            kept, removed, n_spans, merged = [], [], [], []
-            for data, spans in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                runs: list[list[int]] = []
-                for lo, hi in sorted((s["lo"], s["hi"]) for s in spans or ()):
-                    if runs and lo <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], hi)
-                    else:
-                        runs.append([lo, hi])
-                ends = [0, *[hi for _, hi in runs]]
-                kept.append(b"".join(data[a:b] for a, b in zip(ends, [*[lo for lo, _ in runs], len(data)])))
-                removed.append(len(data) - len(kept[-1]))
-                n_spans.append(len(runs))
-                merged.append([{"lo": lo, "hi": hi} for lo, hi in runs])
-            spans_type = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
+        for part in bounded_slices(batch, 1):
+            texts = part.column(1).to_pylist()
+            runs = [_merged(spans) for spans in part.column(2).to_pylist()]
+            kept = [_rest(*pair) for pair in zip(texts, runs)]
+            spans = [[{"lo": lo, "hi": hi} for lo, hi in r] for r in runs]
             values = [
-                pa.array(kept, pa.binary()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()),
-                pa.array(merged, spans_type),
-            ]
-            rest = [part.column(i) for i in range(2, part.num_columns)]
-            yield _batch([*values, *rest], ["kept", "n_removed", "n_spans", "spans", *part.schema.names[2:]])
+                part.column(0),
+                pa.array([len(t) for t in texts], pa.int64()),
+                pa.array([len(t) - len(k) for t, k in zip(texts, kept)], pa.int64()),
+                pa.array([len(r) for r in runs], pa.int64()),
+                pa.array(spans, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))),
+                pa.array(kept, pa.binary()),
+            ]
+            yield _batch(values, ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
 
 
-def _keys(id_column: str, text: Column) -> list[Column]:
+def _keys(id_column: str, text_column: str) -> list[Column]:
     """Rows of one id with one text are alike in all that matters here, so these two tell rows apart."""
+    text = F.coalesce(quoted(text_column), F.lit(""))
     return [
-        F.coalesce(quoted(id_column).cast("long"), F.lit(-(1 << 63)).cast("long")).alias("k1"),
+        F.coalesce(quoted(id_column).cast("long"), F.lit(_NO_ID).cast("long")).alias("k1"),
         F.hash(text).alias("k2"),
         text.cast("binary").alias("data"),
     ]
 
 
+def _with_spans(df: DataFrame, docs: DataFrame, sorted_limit: int) -> DataFrame:
+    spans = repeated_spans(docs, sorted_limit).groupBy("k1", "k2").agg(
+        F.collect_set(F.struct("lo", "hi")).alias("spans")
+    )
+    return df.join(spans, ["k1", "k2"], "left")
+
+
 def remove_repeats(
-    df: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    keep: tuple[str, ...] = (),
-    sorted_limit: int = SORTED,
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", sorted_limit: int = SORTED
 ) -> DataFrame:
     """Remove every byte that a string of 400 bytes covers which starts anywhere else in the corpus too.
 
-    Per row: ``doc_id``, ``data`` size ``n_bytes``, ``kept`` (the bytes left), ``n_removed``, ``n_spans`` (maximal
-    removed runs), ``spans`` (``lo`` to ``hi``), and the columns of ``keep``, which are given by name.
+    Per row: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), ``spans`` (those runs, from
+    byte ``lo`` to before ``hi``) and ``kept``, the bytes that are left.
 
     Texts are bytes of UTF-8; strings never cross texts, and all are judged on the input. Every string has an
     anchor, its piece of the lowest hash; equal strings have equal anchors at equal distances, so only strings of
     equal anchors meet. Runs of strings with one anchor whose bytes are the same everywhere are settled by
     their hashes (128 bits). The others are put into suffix order: a mergesort whose comparisons find the common
     extension of two suffixes by bisection over prefix hashes; neighbours that agree are compared byte by byte.
-    An anchor with more than 512 different surroundings is cut up by hash, in counts that are combined before
-    the shuffle, so that nothing of it has to meet in one task.
+    An anchor with more than ``sorted_limit`` different surroundings is cut up by hash instead, in counts that are
+    combined before the shuffle, so nothing of it has to meet in one task.
 
-    Texts are shuffled once, and a task works on about a megabyte of them at a time. Null or short text: nothing removed.
-    Null ids stay null. Repeated rows repeat each other: both lose their strings. An empty table gives no rows.
+    Texts are shuffled once, and a task works on about a megabyte of them at a time. Null or short text: nothing is
+    removed. Null ids stay null. Repeated rows repeat each other: all lose their strings. An empty table gives no
+    rows; other columns are dropped, whatever their names.
     """
     ship_package(df.sparkSession)
-    text = F.coalesce(quoted(text_column), F.lit(""))
-    docs = df.select(*_keys(id_column, text))
-    spans = repeated_spans(docs, sorted_limit).groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
-    rest = [quoted(id_column).cast("long").alias("doc_id"), *[quoted(c).alias(f"kept_{c}") for c in keep]]
-    whole = docs if not keep else df.select(*_keys(id_column, text), *rest)
-    joined = whole.join(spans, ["k1", "k2"], "left")
-    doc_id = F.when(F.col("k1") == -(1 << 63), F.lit(None)).otherwise(F.col("k1"))
-    values = joined.select("data", "spans", *([doc_id.alias("doc_id")] if not keep else [F.col("doc_id")]),
-                           F.octet_length("data").cast("long").alias("n_bytes"), *[f"kept_{c}" for c in keep])
-    kinds = "".join(f", `kept_{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return values.mapInArrow(
+    docs = df.select(*_keys(id_column, text_column))
+    doc_id = F.when(F.col("k1") != _NO_ID, F.col("k1")).alias("doc_id")
+    return _with_spans(docs, docs, sorted_limit).select(doc_id, "data", "spans").mapInArrow(
         _remove_batches,
-        "kept binary, n_removed long, n_spans long, spans array<struct<lo:long,hi:long>>, doc_id long, n_bytes long" + kinds,
+        "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<lo:long,hi:long>>, kept binary",
     )
+
+
+def drop_repeats(
+    df: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    size_column: str = "n_chars",
+    sorted_limit: int = SORTED,
+) -> DataFrame:
+    """All rows and columns of ``df``, repeated strings taken out of the text, and its length counted anew.
+
+    Of a character that a removed run cuts, what is left goes too. Cases as in ``remove_repeats``; a text that
+    consists of repeats is empty then.
+    """
+    ship_package(df.sparkSession)
+    schema = df.schema
+    at, size_at = schema.names.index(text_column), schema.names.index(size_column) if size_column in schema.names else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in bounded_slices(batch, at):
+                columns = part.columns[:-1]
+                texts = [(t or "").encode() for t in columns[at].to_pylist()]
+                runs = [_merged(spans) for spans in part.column(len(columns)).to_pylist()]
+                left = [_rest(*pair).decode("utf-8", "ignore") for pair in zip(texts, runs)]
+                columns[at] = pa.array(left, columns[at].type)
+                if size_at is not None:
+                    columns[size_at] = pa.array([len(t) for t in left], pa.int64()).cast(columns[size_at].type)
+                yield _batch(columns, schema.names)
+
+    k1, k2, data = _keys(id_column, text_column)
+    whole = df.select(F.struct(*[quoted(c) for c in schema.names]).alias("row"), k1, k2)
+    joined = _with_spans(whole, df.select(k1, k2, data), sorted_limit)
+    return joined.select("row.*", F.col("spans").alias("spans of the row")).mapInArrow(run, schema)

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from basketry.llm import packing, quality_rules, simhash
+from basketry.llm import packing, quality_rules, secret_scan, simhash, suffix_dedup
 from basketry.llm.common import table
 from basketry.session import stage
 
@@ -14,12 +13,22 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the line rules keep, without their failing lines."""
-    return quality_rules.clean_documents(docs).select(*COLUMNS)
+    return quality_rules.clean_documents(docs.select(*COLUMNS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
-    return simhash.drop_near_duplicates(docs).select(*COLUMNS)
+    return simhash.drop_near_duplicates(docs.select(*COLUMNS))
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the strings that stand elsewhere in the corpus too."""
+    return suffix_dedup.drop_repeats(docs.select(*COLUMNS))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """With secrets masked."""
+    return secret_scan.redact(docs.select(*COLUMNS), secret_scan.train(docs))
 
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,6 +39,8 @@ def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality_rules", quality),
     ("simhash_near_dedup", near_duplicates),
+    ("suffix_dedup", repeats),
+    ("secret_scan", secrets),
     ("best_fit_packing", best_fit),
 ]
 

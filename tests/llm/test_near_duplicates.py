@@ -1,0 +1,227 @@
+"""SimHash links and suffix dedup against brute force."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+
+from basketry.llm import queries, simhash, suffix_dedup
+from basketry.llm.common import connected_components
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_mark(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text))
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(marks):
+    """For each place, the place of the first one it is linked to."""
+    label = list(range(len(marks)))
+    changed = True
+    while changed:
+        changed = False
+        for i, a in enumerate(marks):
+            for j, b in enumerate(marks):
+                if (a ^ b).bit_count() <= 3 and label[j] < label[i]:
+                    label[i], changed = label[j], True
+    return label
+
+
+def near_marks(seed, n, groups):
+    r = random.Random(seed)
+    centres = [r.getrandbits(64) for _ in range(groups)]
+    marks = []
+    for _ in range(n):
+        mark = r.choice(centres)
+        for _ in range(r.randrange(0, 5)):
+            mark ^= 1 << r.randrange(64)
+        marks.append(mark)
+    return marks
+
+
+def test_fingerprints_of_odd_rows(odd, odd_rows):
+    got = Counter((r.doc_id, r.mark % (1 << 64)) for r in simhash.fingerprints(odd).collect())
+    assert got == Counter((i, plain_mark(t or "")) for i, t in odd_rows)
+
+
+def test_components_of_odd_rows(odd, odd_rows):
+    rows = simhash.near_duplicates(odd).collect()
+    label = plain_components([plain_mark(t or "") for _, t in odd_rows])
+    ids = {}
+    for (i, _), own in zip(odd_rows, label):
+        ids.setdefault(own, []).append(i)
+    want = Counter((i, min((x for x in ids[own] if x is not None), default=None)) for (i, _), own in zip(odd_rows, label))
+    assert Counter((r.doc_id, r.component_id) for r in rows) == want
+    kept = simhash.drop_near_duplicates(odd)
+    assert kept.columns == odd.columns and kept.count() == len(ids)
+
+
+def test_empty(empty):
+    assert simhash.near_duplicates(empty).collect() == []
+    assert simhash.drop_near_duplicates(empty).collect() == []
+
+
+@pytest.mark.parametrize("dense", [2, 512])
+def test_cells_connect_what_is_near(dense, monkeypatch):
+    monkeypatch.setattr(simhash, "DENSE", dense)
+    marks = sorted(set(near_marks(dense, 300, 4)))
+    links = simhash.link_cell(np.array(marks, np.uint64), 3)
+    place = {m: i for i, m in enumerate(marks)}
+    assert all((a ^ b).bit_count() <= 3 for a, b in links)
+    parent = list(range(len(marks)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        a, b = sorted((root(place[a]), root(place[b])))
+        parent[b] = a
+    assert [root(i) for i in range(len(marks))] == plain_components(marks)
+
+
+def test_segment_distance_is_a_lower_bound(spark):
+    marks = np.array(near_marks(1, 400, 3), np.uint64)
+    counts = simhash._counts(marks)
+    for a, ca in zip(marks[:40], counts[:40]):
+        apart = sum(
+            np.abs((ca >> np.uint64(2 * i) & np.uint64(3)).astype(int) - (counts >> np.uint64(2 * i) & np.uint64(3)).astype(int))
+            for i in range(32)
+        )
+        bits = np.bitwise_count(a ^ marks)
+        assert (apart <= bits).all()
+        assert (simhash._in_reach(a, marks, 3) == (bits <= 3)).all()
+    rows = spark.createDataFrame([(int(m),) for m in marks.view(np.int64)], "mark long")
+    got = rows.select(simhash.segment_counts(rows.mark)).collect()
+    assert [r[0] % (1 << 64) for r in got] == counts.tolist()
+
+
+def test_grid_finds_all_links(spark):
+    marks = sorted(set(near_marks(9, 500, 40)))
+    rows = spark.createDataFrame([(int(np.uint64(m).view(np.int64)),) for m in marks], "mark long").repartition(3)
+    links = simhash.link_fingerprints(rows)
+    roots = {r.node: r.root for r in connected_components(links).collect()}
+    signed = [int(np.uint64(m).view(np.int64)) for m in marks]
+    label = plain_components(marks)
+    groups = {}
+    for m, own in zip(signed, label):
+        groups.setdefault(own, set()).add(roots.get(m, m))
+    assert all(len(g) == 1 for g in groups.values()) and len(groups) == len({*map(tuple, groups.values())})
+
+
+@pytest.mark.parametrize("shape", ["chain", "star", "none"])
+def test_components_of_any_shape(spark, shape):
+    pairs = {"chain": [(i, i + 1) for i in range(60)], "star": [(50, i) for i in range(101)], "none": []}[shape]
+    links = spark.createDataFrame(pairs, "a long, b long")
+    got = {r.node: r.root for r in connected_components(links).collect()}
+    assert got == {n: 0 for pair in pairs for n in pair}
+
+
+def plain_removed(texts, length=suffix_dedup.LENGTH):
+    counts = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for t in texts:
+        gone = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if counts[t[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        runs = sum(bool(g) and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        out.append((len(t), sum(gone), runs, bytes(b for b, g in zip(t, gone) if not g)))
+    return out
+
+
+def shared_passages(seed, n=120):
+    r = random.Random(seed)
+    text = lambda k: "".join(r.choice("abcdefgh é\n") for _ in range(k))
+    passages = [text(k) for k in (300, 399, 400, 405, 500, 900, 3000)]
+    rows = [(None, None), (1, ""), (2, "x" * 3000), (3, "ab" * 700)]
+    for i in range(4, n):
+        own = "".join(x for _ in range(r.randrange(1, 4)) for x in (text(r.randrange(300)), r.choice(passages)))
+        if r.random() < 0.5:
+            k = r.randrange(len(own))
+            own = own[:k] + r.choice("abc") + own[k + 1 :]
+        rows.append((i if i % 17 else None, own))
+    return [*rows, rows[10], rows[10], rows[20]]
+
+
+@pytest.mark.parametrize("sorted_limit", [512, 3, 1])
+def test_repeats_are_all_removed(spark, sorted_limit):
+    rows = shared_passages(5)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix_dedup.remove_repeats(df, sorted_limit=sorted_limit).collect()
+    want = plain_removed([(t or "").encode() for _, t in rows])
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == Counter(
+        (i, *w) for (i, _), w in zip(rows, want)
+    )
+
+
+def test_repeats_in_odd_rows(odd, odd_rows):
+    want = plain_removed([(t or "").encode() for _, t in odd_rows])
+    got = suffix_dedup.remove_repeats(odd).collect()
+    assert Counter((r.doc_id, r.n_removed, bytes(r.kept)) for r in got) == Counter(
+        (i, w[1], w[3]) for (i, _), w in zip(odd_rows, want)
+    )
+    left = suffix_dedup.drop_repeats(odd)
+    assert left.schema.names == odd.schema.names
+    assert Counter((r.doc_id, r.text, r.n_chars) for r in left.collect()) == Counter(
+        (i, w[3].decode("utf-8", "ignore"), len(w[3].decode("utf-8", "ignore"))) for (i, _), w in zip(odd_rows, want)
+    )
+
+
+def test_no_rows(empty):
+    assert suffix_dedup.remove_repeats(empty).collect() == []
+    assert suffix_dedup.drop_repeats(empty).collect() == []
+
+
+def test_long_texts_in_pieces(monkeypatch):
+    """Every string is in exactly one run, however texts are cut."""
+    texts = [t.encode() for _, t in shared_passages(7, 30) if t]
+    monkeypatch.setattr(suffix_dedup, "PIECE", 700)
+    strings = Counter()
+    for data, ends, places in suffix_dedup._pieces(texts):
+        h, c, s, e, a = suffix_dedup.anchors(data, ends)
+        for first, last in zip(s.tolist(), e.tolist()):
+            strings.update(data[i : i + 400].tobytes() for i in range(first, last + 1))
+    assert strings == Counter(t[i : i + 400] for t in texts for i in range(len(t) - 399))
+
+
+def test_suffixes_come_sorted():
+    r = random.Random(1)
+    data = np.frombuffer("".join(r.choice("ab") for _ in range(4000)).encode() + b"a" * 1200, np.uint8)
+    suffixes = suffix_dedup._Suffixes(data)
+    at = np.array(r.sample(range(len(data) - 400), 900))
+    begins, sizes = np.array([0, 1, 3, 10]), np.array([1, 2, 7, 890])
+    got = suffixes.sort(at, begins, sizes)
+    for b, n in zip(begins, sizes):
+        key = lambda i: data[i : i + 400].tobytes()
+        assert got[b : b + n].tolist() == sorted(at[b : b + n].tolist(), key=key)
+
+
+def test_colliding_hashes_are_told_apart(monkeypatch):
+    data = np.frombuffer(bytes(random.Random(2).choices(range(97, 123), k=2000)), np.uint8)
+    suffixes = suffix_dedup._Suffixes(data)
+    monkeypatch.setattr(suffixes, "_agree", lambda x, y, size: np.ones(len(x), bool))
+    assert suffixes.same(np.array([0, 5]), np.array([0, 900])).tolist() == [True, False]
+
+
+def test_queries(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").select("doc_id", "text").collect()
+    marks = [plain_mark(t) for _, t in docs]
+    label = plain_components(marks)
+    got = {r.doc_id: r for r in queries.op9_simhash(spark, SF).collect()}
+    assert {i: (r.fingerprint, r.component_id) for i, r in got.items()} == {
+        i: (f"{m:016x}", docs[own].doc_id) for (i, _), m, own in zip(docs, marks, label)
+    }
+    import hashlib
+
+    want = plain_removed([t.encode() for _, t in docs])
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op5_suffix_dedup(spark, SF).collect()}
+    assert got == {i: (*w[:3], hashlib.sha256(w[3]).hexdigest()) for (i, _), w in zip(docs, want)}

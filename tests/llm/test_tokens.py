@@ -11,7 +11,6 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from basketry.llm import byte_bpe, queries, token_files
@@ -150,4 +149,3 @@ def test_queries(spark, tik, hf):
 
 def test_bits_are_the_fewest():
     assert [token_files.id_width(n) for n in (1, 2, 3, 256, 257, 50_257)] == [1, 1, 2, 8, 9, 16]
-    assert F is not None

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import argparse
 import json
+from dataclasses import asdict
 
 from basketry.plans.insights import HOME_MARKET, all_insights, constant_rate_lines
 from basketry.plans.runs import run_daily
 from basketry.schemas import CONSTANT_FX_RATE, MIN_COUNTRIES
-from basketry.session import job_session, stage
+from basketry.session import fit_shuffles, job_session, run_scratch, stage
 from basketry.sources.fact_table import PERIOD_FORMATS, read_fact
 from basketry.sources.sales import read_sales_csv
 
@@ -17,9 +18,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="basketry", description=__doc__)
     jobs = parser.add_subparsers(dest="job", required=True)
     common = argparse.ArgumentParser(add_help=False)
-    common.add_argument("--shuffle-gb", type=float, default=0, help="largest amount one step shuffles")
     common.add_argument("--timestamp-format", help="of InvoiceDate, if not ISO")
-    common.add_argument("--one-line-per-row", action="store_true", help="no line breaks in quotes: split files")
+    lines = common.add_mutually_exclusive_group()
+    lines.add_argument("--one-line-per-row", dest="multi_line", action="store_false", default=None, help="files split")
+    lines.add_argument("--breaks-in-quotes", dest="multi_line", action="store_true", help="each file is one task")
 
     load = jobs.add_parser("load", parents=[common])
     for name in ("sales", "countries", "fx", "fact", "metadata"):
@@ -34,29 +36,34 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     insights.add_argument("--rate", type=float, default=CONSTANT_FX_RATE)
     insights.add_argument("--home", help="home market, spelled as in the source")
     insights.add_argument("--out", required=True)
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if args.sales and args.multi_line is None:
+        parser.error("with --sales, say --one-line-per-row or --breaks-in-quotes")
+    return args
 
 
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
-    spark = job_session(f"basketry {args.job}", int(args.shuffle_gb * 2**30))
-    csv = {"timestamp_format": args.timestamp_format, "multi_line": not args.one_line_per_row}
+    spark = job_session(f"basketry {args.job}")
+    csv = {"timestamp_format": args.timestamp_format, "multi_line": args.multi_line}
     if args.job == "load":
         result = run_daily(
             spark, args.sales, args.countries, args.fx, args.fact, args.metadata,
             grain=args.grain, min_countries=args.min_countries, **csv,
         )
-        print(json.dumps(result))
+        print(json.dumps(asdict(result)))
         return
-    if args.fact:
-        lines, home = read_fact(spark, args.fact), args.home or HOME_MARKET
-    else:
-        sales = read_sales_csv(spark, args.sales, **csv)
-        # Parse the text once; the report reads the lines twice.
-        lines = stage(constant_rate_lines(sales, args.rate), "constant-rate-lines")
-        home = args.home or HOME_MARKET.title()
-    for name, table in all_insights(lines, home).items():
-        table.write.mode("overwrite").parquet(f"{args.out}/{name}")
+    fit_shuffles(spark, [args.fact or args.sales])
+    with run_scratch(spark, "insights"):
+        if args.fact:
+            lines, home = read_fact(spark, args.fact), args.home or HOME_MARKET
+        else:
+            sales = read_sales_csv(spark, args.sales, **csv)
+            # Parse the text once; the report reads the lines twice.
+            lines = stage(constant_rate_lines(sales, args.rate), "constant-rate-lines")
+            home = args.home or HOME_MARKET.title()
+        for name, table in all_insights(lines, home).items():
+            table.write.mode("overwrite").parquet(f"{args.out}/{name}")
 
 
 if __name__ == "__main__":

@@ -16,8 +16,13 @@ def round_half_even(col: Column, places: int) -> Column:
 
 
 def as_exact(col: Column) -> Column:
-    """A money double (at most 4 decimals) as a decimal, so that sums do not depend on row order."""
-    return col.cast("decimal(18,4)")
+    """A money double (at most 4 decimals) as a decimal, so that sums do not depend on row order.
+
+    An amount that does not fit fails the run, in ANSI mode or not.
+    """
+    exact = col.try_cast("decimal(18,4)")
+    lost = F.concat(F.lit("amount is too large to sum exactly: "), col.cast("string"))
+    return F.when(col.isNotNull() & exact.isNull(), F.raise_error(lost)).otherwise(exact)
 
 
 def exact_sum(col: Column) -> Column:

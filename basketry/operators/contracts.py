@@ -41,6 +41,22 @@ def duplicate_keys(fact: DataFrame) -> DataFrame:
     return fact.groupBy(*KEY).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
 
+def check_unique_countries(countries_norm: DataFrame) -> DataFrame:
+    """Two entries of one normalized name would double the lines of that country."""
+    key = F.col("country_key")
+    expect(countries_norm, {"country names collide after normalizing": F.count_distinct(key) == F.count(key)})
+    return countries_norm
+
+
+def check_accounts(counters: dict[str, int], fact_lines: int) -> None:
+    """Every line read is kept or dropped by one rule, and every kept line is one line of the fact."""
+    parts = sum(n for name, n in counters.items() if name != "rows_in")
+    if parts != counters["rows_in"]:
+        raise ContractViolation(f"{counters['rows_in']} lines read, but {parts} kept or dropped")
+    if fact_lines != counters["rows_out"]:
+        raise ContractViolation(f"{counters['rows_out']} lines kept, but {fact_lines} in the fact")
+
+
 def check_unique_key(fact: DataFrame) -> DataFrame:
     expect(duplicate_keys(fact), {"business key is not unique": F.count(F.lit(1)) == 0})
     return fact

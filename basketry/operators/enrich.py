@@ -36,25 +36,30 @@ def data_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
 
 
-def _join_countries(sales: DataFrame, countries: DataFrame, limit_bytes: int) -> DataFrame:
+def _join_countries(sales: DataFrame, countries: DataFrame, limit_bytes: int, side_bytes: int | None) -> DataFrame:
     """Left join that keeps every line.
 
-    The countries side is measured: within the limit it is broadcast and sales are not shuffled at
-    all. Beyond it both sides are shuffled, and adaptive execution splits the partition of a
-    country that holds a large part of the lines.
+    The countries side is measured, unless the caller has: within the limit it is broadcast and sales are
+    not shuffled at all. Beyond it both sides are shuffled, and adaptive execution splits the partition
+    of a country that holds a large part of the lines.
     """
-    side = F.broadcast(countries) if data_bytes(countries) <= limit_bytes else countries
+    size = data_bytes(countries) if side_bytes is None else side_bytes
+    side = F.broadcast(countries) if size <= limit_bytes else countries
     return sales.join(side, "country_key", "left")
 
 
 def enrich_with_countries(
-    sales: DataFrame, countries: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES
+    sales: DataFrame,
+    countries: DataFrame,
+    limit_bytes: int = BROADCAST_LIMIT_BYTES,
+    side_bytes: int | None = None,
 ) -> DataFrame:
     """Add region and population; lines without a match get ``unknown`` and 0.
 
-    A key given twice on the countries side multiplies its lines.
+    A key given twice on the countries side multiplies its lines; ``check_unique_countries`` refuses that.
+    ``side_bytes``: what ``data_bytes`` gave for the countries, so that one run measures them once.
     """
-    return _join_countries(sales, countries, limit_bytes).withColumns(
+    return _join_countries(sales, countries, limit_bytes, side_bytes).withColumns(
         {
             "region": F.coalesce("region", F.lit(UNMATCHED_REGION)),
             "population": F.coalesce("population", F.lit(0)).cast("bigint"),
@@ -63,11 +68,14 @@ def enrich_with_countries(
 
 
 def country_join_misses(
-    sales: DataFrame, countries: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES
+    sales: DataFrame,
+    countries: DataFrame,
+    limit_bytes: int = BROADCAST_LIMIT_BYTES,
+    side_bytes: int | None = None,
 ) -> DataFrame:
     """Lines that end up without a region, out of all joined lines."""
     return one_row(
-        _join_countries(sales, countries, limit_bytes),
+        _join_countries(sales, countries, limit_bytes, side_bytes),
         unmatched_rows=F.count_if(F.col("region").isNull()),
         total_rows=F.count(F.lit(1)),
     )

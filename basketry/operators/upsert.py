@@ -1,8 +1,8 @@
-"""Upsert on the business key, as one grouped aggregate."""
+"""Upsert on the business key."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.aggregates import one_row
@@ -15,38 +15,53 @@ _FIRST_BY = ("description", "country")
 _PAYLOAD = _FIRST_BY + tuple(n for n in FACT.fieldNames() if n not in KEY + _FIRST_BY)
 
 
-def _rows(df: DataFrame, from_batch: bool) -> DataFrame:
-    return df.select(*KEY, F.struct(*_PAYLOAD).alias("row"), F.lit(from_batch).alias("from_batch"))
+def _key() -> Column:
+    """The key as one value; inside it a null part equals a null part."""
+    return F.struct(*KEY).alias("key")
 
 
-def _unpacked(row: Column) -> list[Column]:
-    return [F.col(n) if n in KEY else row[n].alias(n) for n in FACT.fieldNames()]
+def _unpacked() -> list[Column]:
+    return [F.col("key")[n].alias(n) if n in KEY else F.col("row")[n].alias(n) for n in FACT.fieldNames()]
 
 
-def classify(target: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """Target and batch merged by key; ``_change`` says what the upsert does to each row.
+def _first_of_each_key(batch: DataFrame) -> DataFrame:
+    """One row per key, with ``batch_rows``.
 
-    Deduplicating the batch and matching it with the target take one shuffle together. The minimum
-    is combined on the map side, so however many copies a key has, one per task is shuffled; a
-    window over the key would sort all copies in one task. Grouping treats null key parts as equal.
+    Exact copies, the usual case, are counted by hash before anything is sorted. What is left of a key is
+    combined on the map side, so however many copies a key has, few of them are shuffled.
     """
-    rows = _rows(batch, True)
-    if target is not None:
-        rows = rows.unionByName(_rows(target, False))
-    merged = rows.groupBy(*KEY).agg(
-        F.min(F.when(F.col("from_batch"), F.col("row"))).alias("new"),
-        F.min(F.when(~F.col("from_batch"), F.col("row"))).alias("old"),
-        F.count_if("from_batch").alias("batch_rows"),
+    distinct = batch.groupBy(*FACT.fieldNames()).agg(F.count(F.lit(1)).alias("copies"))
+    return (
+        distinct.select(_key(), F.struct(*_PAYLOAD).alias("new"), "copies")
+        .groupBy("key")
+        .agg(F.min("new").alias("new"), F.sum("copies").alias("batch_rows"))
     )
-    new, old = F.col("new"), F.col("old")
+
+
+def classify(target: DataFrame | None, batch: DataFrame, unique_target: bool = False) -> DataFrame:
+    """Target and batch merged by key; ``_change`` says what the upsert does to each row.
+
+    The target's rows are shuffled as they are, once, and matched with the batch's one row per key.
+    ``unique_target``: a key that the target holds twice fails.
+    """
+    new = _first_of_each_key(batch)
+    if target is None:
+        return new.withColumnRenamed("new", "row").select(*_unpacked(), F.lit(INSERT).alias("_change"), "batch_rows")
+    old = target.select(_key(), F.struct(*_PAYLOAD).alias("old"))
+    if unique_target:
+        # The match needs the same distribution and order, so numbering costs no shuffle of its own.
+        number = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+        twice = F.raise_error(F.concat(F.lit("business key is not unique: "), F.to_json("key")))
+        old = old.withColumn("old", F.when(number > 1, twice).otherwise(F.col("old")))
+    before, after = F.col("old"), F.col("new")
     change = (
-        F.when(new.isNull(), KEEP)
-        .when(old.isNull(), INSERT)
-        .when(new.eqNullSafe(old), SAME)
+        F.when(after.isNull(), KEEP)
+        .when(before.isNull(), INSERT)
+        .when(after.eqNullSafe(before), SAME)
         .otherwise(UPDATE)
     )
-    row = merged.withColumns({"_change": change, "row": F.coalesce(new, old)})
-    return row.select(*_unpacked(F.col("row")), "_change", "batch_rows")
+    merged = old.join(new, "key", "full_outer").withColumns({"_change": change, "row": F.coalesce(after, before)})
+    return merged.select(*_unpacked(), "_change", F.coalesce("batch_rows", F.lit(0)).alias("batch_rows"))
 
 
 def upsert(target: DataFrame | None, batch: DataFrame) -> DataFrame:

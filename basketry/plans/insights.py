@@ -6,11 +6,13 @@ feed. Revenue is summed as a decimal, so totals do not depend on row order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.functions.money import exact_sum, round_half_even, share_pct
+from basketry.functions.money import as_exact, exact_sum, share_pct
 from basketry.functions.text import euros, percent, shorten, thousands, times
 from basketry.functions.times import WEEKDAYS, iso_day, month, utc_day, weekday_name
 from basketry.operators.clean import clean_sales
@@ -25,9 +27,9 @@ HOME_MARKET = "united kingdom"
 def constant_rate_lines(sales: DataFrame, rate: float = CONSTANT_FX_RATE) -> DataFrame:
     """Cleaned lines at one fixed rate, text as it stands in the feed.
 
-    Revenue is rounded to 4 places like the fact's, so that it sums exactly.
+    Revenue is a decimal and not rounded: quantity times price (4 places) times rate (2 places).
     """
-    eur = F.col("Quantity") * F.col("UnitPrice") * F.lit(rate)
+    eur = F.col("Quantity").cast("decimal(12,0)") * as_exact(F.col("UnitPrice")) * F.lit(rate).cast("decimal(4,2)")
     return clean_sales(sales).select(
         F.col("InvoiceNo").alias("invoice_no"),
         F.col("StockCode").alias("stock_code"),
@@ -35,7 +37,7 @@ def constant_rate_lines(sales: DataFrame, rate: float = CONSTANT_FX_RATE) -> Dat
         F.col("InvoiceDate").alias("invoice_date"),
         F.col("CustomerID").alias("customer_id"),
         F.col("Country").alias("country"),
-        round_half_even(eur, 4).alias("revenue_eur"),
+        eur.cast("decimal(34,6)").alias("revenue_eur"),
     )
 
 
@@ -122,7 +124,7 @@ def home_market_share(lines: DataFrame, home: str = HOME_MARKET) -> DataFrame:
     first7 = countries.orderBy(F.desc("revenue"), "country").limit(7)
     ranked = F.array_sort(F.collect_list(F.struct((-F.col("revenue")).alias("order"), "country")))
     next5 = F.slice(F.filter("ranked", lambda m: m["country"].isNotNull() & (m["country"] != home)), 1, 5)
-    wide = "decimal(38,4)"
+    wide = "decimal(38,6)"
     next5_revenue = F.aggregate(
         next5, F.lit(0).cast(wide), lambda total, m: (total - m["order"]).cast(wide)
     )
@@ -172,7 +174,7 @@ def customer_concentration(lines: DataFrame) -> DataFrame:
     customers = stage(customer_revenue(lines), "customer-revenue")
     n = customers.count()
     k = max(1, int(n * 0.01))
-    kth = F.lit(kth_largest(customers, "exact_revenue", k) if n else None).cast("decimal(38,4)")
+    kth = F.lit(kth_largest(customers, "exact_revenue", k) if n else None).cast("decimal(38,6)")
     top10 = customers.orderBy(F.desc("exact_revenue")).limit(10).agg(F.sum("exact_revenue")).scalar()
     total = F.sum("exact_revenue")
     return one_row(
@@ -255,17 +257,20 @@ def high_value_customers(fact: DataFrame, k: int = 100) -> DataFrame:
     )
 
 
-_SHOWN = {"revenue": euros, "pct": percent, "vs_median": times, "customers": thousands}
-
-
-def as_text(table: DataFrame) -> DataFrame:
-    """The figures of an insight as a report prints them, chosen by the last word of the column name."""
+# How a report prints the figures of each insight; what is not named here is printed as it is.
+HOME_FORMATS = {
+    "home_revenue": euros, "home_share_pct": percent, "next5_revenue": euros, "next5_share_pct": percent,
+}
+PEAK_FORMATS = {"peak_revenue": euros, "median_month_revenue": euros, "peak_vs_median": times}
+CONCENTRATION_FORMATS = {
+    "customers": thousands, "top10_share_pct": percent, "top1pct_customers": thousands, "top1pct_share_pct": percent,
+}
+REPEAT_FORMATS = {"customers": thousands, "one_off_pct": percent, "repeat_pct": percent}
 
-    def shown(name: str) -> Column:
-        style = next((show for word, show in _SHOWN.items() if name.endswith(word)), None)
-        return style(F.col(name)).alias(name) if style else F.col(name)
 
-    return table.select(*map(shown, table.columns))
+def as_text(table: DataFrame, formats: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """The figures of an insight as a report prints them."""
+    return table.withColumns({name: show(F.col(name)) for name, show in formats.items()})
 
 
 def all_insights(lines: DataFrame, home: str = HOME_MARKET) -> dict[str, DataFrame]:

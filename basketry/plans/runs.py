@@ -1,12 +1,13 @@
 """The incremental run: extract, transform, load. Any scheduler can call these functions.
 
 Between the steps data lies as Parquet under the shared scratch folder; the steps hand each other a
-small dict of paths and counts. A failed step can be repeated from its dict.
+small record. A failed step can be repeated from the record of the one before.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from dataclasses import dataclass, field
+from datetime import datetime
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -14,21 +15,53 @@ from pyspark.sql import functions as F
 
 from basketry.functions.times import from_micros
 from basketry.operators.clean import clean_counters
-from basketry.operators.contracts import check_sales
+from basketry.operators.contracts import check_accounts, check_sales, check_unique_countries
+from basketry.operators.enrich import data_bytes, normalize_countries
 from basketry.operators.fact import without_key_text
 from basketry.operators.quality import build_quality_report
+from basketry.plans.metrics import run_metrics
 from basketry.plans.transform import to_fact
 from basketry.schemas import COUNTRIES, FACT, FX_RATES, MIN_COUNTRIES
-from basketry.session import prepare, scratch_path, stage
+from basketry.session import fit_shuffles, prepare, run_scratch, scratch_path, stage
 from basketry.sources.fact_table import upsert_into
-from basketry.sources.reference import read_countries, read_fx_rates
+from basketry.sources.reference import count_unnamed, read_countries, read_fx_rates
 from basketry.sources.sales import read_sales_csv, read_sales_parquet
 from basketry.sources.watermark import get_last_watermark, next_watermark, update_watermark
 
 
-def _stamped(spark: SparkSession, name: str) -> str:
-    stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%SZ")
-    return scratch_path(spark, f"{name}_{stamp}")
+@dataclass(frozen=True)
+class Staged:
+    """What an extract has put aside: the new lines, and the reference data as of now."""
+
+    lines: int
+    sales: str
+    countries: str
+    rates: str
+    countries_bytes: int
+    skipped_countries: int
+    newer_than: datetime | None
+
+
+@dataclass(frozen=True)
+class Converted:
+    """The staged fact of the new lines; no path if there were none."""
+
+    lines: int = 0
+    fact: str | None = None
+    quality: dict[str, Any] = field(default_factory=dict)
+    metrics: dict[str, Any] = field(default_factory=dict)
+
+
+@dataclass(frozen=True)
+class Report:
+    """What one whole run did."""
+
+    received: int
+    added: int
+    changed: int
+    newer_than: str | None
+    quality: dict[str, Any]
+    metrics: dict[str, Any]
 
 
 def run_extract(
@@ -38,60 +71,58 @@ def run_extract(
     fx_json: str,
     metadata_path: str,
     *,
+    multi_line: bool,
     min_countries: int = MIN_COUNTRIES,
     **csv_options: Any,
-) -> dict[str, Any]:
+) -> Staged:
     """Stage the lines newer than the stored mark, and the reference data."""
     prepare(spark)
+    fit_shuffles(spark, [sales_csv] if isinstance(sales_csv, str) else sales_csv)
     mark = get_last_watermark(spark, metadata_path)
-    paths = {name: _stamped(spark, name) for name in ("sales_raw", "countries", "fx_rates")}
-    sales = stage(read_sales_csv(spark, sales_csv, mark, **csv_options), "sales_raw", paths["sales_raw"])
-    check_sales(sales)
-    stage(read_countries(spark, countries_json, min_countries), "countries", paths["countries"])
-    records = sales.count()
-    if records:
-        stage(read_fx_rates(spark, fx_json), "fx_rates", paths["fx_rates"])
-    return {
-        "records": records,
-        "sales_parquet": paths["sales_raw"],
-        "countries_parquet": paths["countries"],
-        "fx_parquet": paths["fx_rates"],
-        "watermark": mark.isoformat() if mark else None,
-    }
-
-
-def run_transform(spark: SparkSession, extracted: dict[str, Any]) -> dict[str, Any]:
-    """Stage the fact of the extracted lines and report on its quality; nothing to do without lines."""
+    sales_path, countries_path, rates_path = (scratch_path(spark, n) for n in ("sales", "countries", "rates"))
+    feed = read_sales_csv(spark, sales_csv, mark, multi_line=multi_line, **csv_options)
+    sales = check_sales(stage(feed, "sales", sales_path))
+    countries = stage(read_countries(spark, countries_json, min_countries), "countries", countries_path)
+    normalized = check_unique_countries(normalize_countries(countries))
+    lines = sales.count()
+    if lines:
+        stage(read_fx_rates(spark, fx_json), "rates", rates_path)
+    return Staged(
+        lines, sales_path, countries_path, rates_path, data_bytes(normalized), count_unnamed(spark, countries_json), mark
+    )
+
+
+def run_transform(spark: SparkSession, staged: Staged) -> Converted:
+    """Stage the fact of the extracted lines, hold it to its contracts and report on it; nothing without lines."""
     prepare(spark)
-    if not extracted["records"]:
-        return {"records": 0, "fact_parquet": None, "quality_report": {}}
-    sales = read_sales_parquet(spark, extracted["sales_parquet"])
-    countries = spark.read.schema(COUNTRIES).parquet(extracted["countries_parquet"])
-    fx = spark.read.schema(FX_RATES).parquet(extracted["fx_parquet"])
+    if not staged.lines:
+        return Converted()
+    sales = read_sales_parquet(spark, staged.sales)
+    countries = spark.read.schema(COUNTRIES).parquet(staged.countries)
+    fx = spark.read.schema(FX_RATES).parquet(staged.rates)
     if fx.isEmpty():
         raise ValueError("there are sales to convert but no FX rates")
-    path = _stamped(spark, "fact_sales")
-    fact = stage(without_key_text(to_fact(sales, countries, fx)), "fact_sales", path)
-    report = build_quality_report(clean_counters(sales), fact).first().asDict()
-    return {"records": fact.count(), "fact_parquet": path, "quality_report": report}
+    path = scratch_path(spark, "fact")
+    fact = stage(without_key_text(to_fact(sales, countries, fx, staged.countries_bytes)), "fact", path)
+    counters = stage(clean_counters(sales), "counters")
+    lines = fact.count()
+    check_accounts(counters.first().asDict(), lines)
+    quality = build_quality_report(counters, fact).first().asDict()
+    noted = run_metrics(sales, normalize_countries(countries), fx, staged.countries_bytes).first().asDict()
+    return Converted(lines, path, quality, {**noted, "skipped_countries": staged.skipped_countries})
 
 
 def run_load(
-    spark: SparkSession,
-    transformed: dict[str, Any],
-    fact_path: str,
-    metadata_path: str,
-    grain: str = "month",
+    spark: SparkSession, converted: Converted, fact_path: str, metadata_path: str, grain: str = "month"
 ) -> dict[str, int]:
     """Upsert the staged fact, then advance the mark: a load that fails is simply repeated.
 
     Without rows the mark stays.
     """
     prepare(spark)
-    staged = transformed.get("fact_parquet")
-    if not staged:
+    if not converted.fact:
         return {"records": 0, "upserted": 0, "modified": 0}
-    fact = spark.read.schema(FACT).parquet(staged)
+    fact = spark.read.schema(FACT).parquet(converted.fact)
     counts = upsert_into(spark, fact_path, fact, grain)
     if counts["records"]:
         newest = next_watermark(fact).select(F.unix_micros("invoice_date")).first()[0]
@@ -107,15 +138,20 @@ def run_daily(
     fact_path: str,
     metadata_path: str,
     *,
+    multi_line: bool,
     grain: str = "month",
     min_countries: int = MIN_COUNTRIES,
     **csv_options: Any,
-) -> dict[str, Any]:
-    """One whole run; returns the load counts with the quality report."""
-    extracted = run_extract(
-        spark, sales_csv, countries_json, fx_json, metadata_path,
-        min_countries=min_countries, **csv_options,
+) -> Report:
+    """One whole run. What it stages goes when it ends, well or not: a run that failed begins anew."""
+    with run_scratch(spark, "run"):
+        staged = run_extract(
+            spark, sales_csv, countries_json, fx_json, metadata_path,
+            multi_line=multi_line, min_countries=min_countries, **csv_options,
+        )
+        converted = run_transform(spark, staged)
+        counts = run_load(spark, converted, fact_path, metadata_path, grain)
+    return Report(
+        counts["records"], counts["upserted"], counts["modified"],
+        staged.newer_than.isoformat() if staged.newer_than else None, converted.quality, converted.metrics,
     )
-    transformed = run_transform(spark, extracted)
-    counts = run_load(spark, transformed, fact_path, metadata_path, grain)
-    return {**counts, "quality_report": transformed["quality_report"], "watermark": extracted["watermark"]}

@@ -82,6 +82,7 @@ REGION_NOT_GIVEN = "Unknown"
 MIN_COUNTRIES = 100
 MIN_FX_RATE = 0.5
 MAX_FX_RATE = 2.5
+MAX_FX_DAYS = 100 * 366
 
 # Fixed value: illustrative GBP->EUR rate for insights straight from the sales feed.
 CONSTANT_FX_RATE = 1.17

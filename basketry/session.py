@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_SHUFFLE = "spark.sql.shuffle.partitions"
 _local_scratch: dict[str, str] = {}
+# Folders of the runs that are open, the innermost last.
+_open_runs: list[str] = []
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -34,17 +39,11 @@ _DEFAULTS = {
 _PARTITION_BYTES = 256 * 1024 * 1024
 
 
-def job_session(name: str, shuffle_bytes: int = 0) -> SparkSession:
-    """Session of a job. ``shuffle_bytes`` is the largest amount one step shuffles.
-
-    For a cold load that is about the size of the fact. Shuffles start with partitions of 256 MB, at
-    least four per core, so that a task's share fits its memory; adaptive execution merges small ones.
-    """
+def job_session(name: str) -> SparkSession:
+    """Session of a job, with settings that hold from one core to a large cluster."""
     spark = SparkSession.builder.appName(name).getOrCreate()
     given = spark.sparkContext.getConf()
-    cores = spark.sparkContext.defaultParallelism
-    partitions = max(4 * cores, -(-shuffle_bytes // _PARTITION_BYTES))
-    for key, value in {**_DEFAULTS, "spark.sql.shuffle.partitions": str(partitions)}.items():
+    for key, value in _DEFAULTS.items():
         if not given.contains(key):
             spark.conf.set(key, value)
     return prepare(spark)
@@ -78,9 +77,64 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder; nothing is ever written twice to the same one."""
+    """A new path under the shared folder, in the run's own one while a run is open; never used twice."""
     app = spark.sparkContext.applicationId
-    return f"{scratch_dir(spark)}/basketry/{app}/{name}-{uuid.uuid4().hex}"
+    base = _open_runs[-1] if _open_runs else f"{scratch_dir(spark)}/basketry/{app}"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """All that is staged inside lies in one folder, which goes when the block ends, well or not."""
+    folder = scratch_path(spark, name)
+    _open_runs.append(folder)
+    try:
+        yield folder
+    finally:
+        _open_runs.remove(folder)
+        delete_path(spark, folder)
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; nothing happens if there is none."""
+    files, hadoop = _file_system(spark, path)
+    files.delete(hadoop, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none if there is no such folder."""
+    files, hadoop = _file_system(spark, path)
+    return sorted(entry.getPath().getName() for entry in files.listStatus(hadoop)) if files.exists(hadoop) else []
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop = _file_system(spark, path)
+    return files.exists(hadoop)
+
+
+def input_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Size of the files at these paths or patterns; 0 for what is not there."""
+    total = 0
+    for path in paths:
+        files, hadoop = _file_system(spark, path)
+        total += sum(files.getContentSummary(found.getPath()).getLength() for found in files.globStatus(hadoop) or ())
+    return total
+
+
+def fit_shuffles(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Let shuffles start with partitions of 256 MB of the input, unless the submitter has set their number.
+
+    Adaptive execution merges what turns out small; it cannot split the partition of an aggregate.
+    """
+    if spark.sparkContext.getConf().contains(_SHUFFLE):
+        return
+    wanted = max(4 * spark.sparkContext.defaultParallelism, -(-input_bytes(spark, paths) // _PARTITION_BYTES))
+    spark.conf.set(_SHUFFLE, str(wanted))
 
 
 def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:

@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.functions.aggregates import literal_row
 from basketry.operators.contracts import ContractViolation
-from basketry.operators.upsert import INSERT, SAME, UPDATE, classify, deduplicate, upsert
+from basketry.operators.upsert import INSERT, UPDATE, classify, deduplicate, upsert
 from basketry.schemas import FACT
-from basketry.session import read_if_exists, scratch_path, stage
+from basketry.session import delete_path, list_names, path_exists, read_if_exists, run_scratch, stage
 
 PERIOD = "invoice_period"
 # Partition granularities; use days once a month of lines outgrows a comfortable rewrite.
 PERIOD_FORMATS = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}
 
 _STORED = T.StructType(FACT.fields + [T.StructField(PERIOD, T.StringType())])
-_REWRITES = T.StructType(
-    [T.StructField("path", T.StringType()), T.StructField("published", T.BooleanType())]
-)
+_PERIODS = T.StructType([T.StructField("periods", T.StringType())])
 
 
 def period_of(grain: str) -> Column:
@@ -54,26 +57,59 @@ def _replace_periods(rows: DataFrame, path: str) -> None:
     _by_period(rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def _log_rewrite(spark: SparkSession, path: str, rewrite: str, published: bool) -> None:
-    entry = literal_row(spark, _REWRITES, rewrite, published)
-    entry.write.mode("append").parquet(f"{path.rstrip('/')}_rewrites")
+def _log(path: str) -> str:
+    return f"{path.rstrip('/')}_writes"
+
+
+def _log_write(spark: SparkSession, path: str, kind: str, periods: list[str], rows: DataFrame | None = None) -> str:
+    """Announce a write, with its rows if they replace stored ones; the list of periods comes last and completes it.
+
+    Entries are named by time, so their names are in the order of the writes.
+    """
+    entry = f"{_log(path)}/{time.time_ns():020d}-{kind}-{uuid.uuid4().hex}"
+    if rows is not None:
+        rows.write.parquet(f"{entry}/rows")
+    listed = literal_row(spark, _PERIODS, ",".join(periods)).coalesce(1)
+    listed.write.parquet(f"{entry}/periods")
+    return entry
+
 
+def _complete(spark: SparkSession, path: str) -> dict[str, set[str]]:
+    """Announced writes, oldest first, with their periods. What a crash left half announced has changed nothing."""
+    found = {}
+    for name in list_names(spark, _log(path)):
+        entry = f"{_log(path)}/{name}"
+        if path_exists(spark, f"{entry}/periods/_SUCCESS"):
+            found[entry] = set(spark.read.schema(_PERIODS).parquet(f"{entry}/periods").first()["periods"].split(","))
+    return found
 
-def _publish(spark: SparkSession, path: str, rewrite: str) -> None:
-    rows = spark.read.schema(_STORED).parquet(rewrite)
-    _replace_periods(rows, path)
-    _log_rewrite(spark, path, rewrite, True)
+
+def _publish(spark: SparkSession, path: str, entry: str) -> None:
+    """Put the announced rows in place of their periods; only then do the announced rows go."""
+    _replace_periods(spark.read.schema(_STORED).parquet(f"{entry}/rows"), path)
+    delete_path(spark, entry)
 
 
 def finish_pending_rewrites(spark: SparkSession, path: str) -> None:
-    """Publish again what a crashed load had staged but not reported as published."""
-    log = read_if_exists(spark, f"{path.rstrip('/')}_rewrites", _REWRITES)
-    if log is None:
-        return
-    open_rewrites = log.groupBy("path").agg(F.bool_or("published").alias("done")).filter("not done")
-    # At most the one rewrite of the load that crashed: every load starts here.
-    for row in open_rewrites.limit(1).collect():
-        _publish(spark, path, row["path"])
+    """Publish again, oldest first, whatever crashed loads had announced but not put in place.
+
+    Nothing is published over rows that were written later: that needs a person, and no load goes on before.
+    Afterwards nothing is pending, so the log is emptied: it holds one load's entries at most.
+    """
+    writes = _complete(spark, path)
+    for at, entry in enumerate(writes):
+        if "-rewrite-" not in entry:
+            continue
+        later = [e for e in list(writes)[at + 1 :] if writes[e] & writes[entry]]
+        if later:
+            raise RuntimeError(
+                f"{entry} holds rows of periods that {later[0]} has written since: compare both with the fact,"
+                " then remove the older one"
+            )
+    for entry in writes:
+        if "-rewrite-" in entry:
+            _publish(spark, path, entry)
+    delete_path(spark, _log(path))
 
 
 def _check_grain(target: DataFrame | None, grain: str) -> None:
@@ -83,81 +119,77 @@ def _check_grain(target: DataFrame | None, grain: str) -> None:
         raise ValueError(f"the stored fact is not partitioned by {grain}, it has the period {some[0]}")
 
 
+# With more periods than this a batch is pruned by period only, not by the time ranges in them.
+_MAX_RANGES = 100
+
+
 def upsert_into(spark: SparkSession, path: str, batch: DataFrame, grain: str = "month") -> dict[str, int]:
     """Upsert ``batch`` (stage it first: it is read several times) into the stored fact.
 
     The invoice time is part of the row hash, so equal keys share their time and period (but for
-    collisions of the 48-bit hash within one invoice, product and customer). Only stored rows in the
-    batch's time range can match; for a batch newer than the mark the statistics skip all of them.
+    collisions of the 48-bit hash within one invoice, product and customer). Only stored rows of the
+    batch's own periods can match, and of those only rows in the time range that the batch has in the
+    period; for a batch newer than the mark the statistics skip all of them.
 
-    * nothing stored in that range: the deduplicated batch is appended;
+    * nothing stored there: the deduplicated batch is appended;
     * matches, none changed (a replay): only new keys are appended;
-    * changed rows: their periods are rewritten. The rewrite is staged in full and logged before
-      the old files go, so a crash in between loses nothing.
+    * changed rows: their periods are rewritten. The rewrite is kept beside the fact, in full, until
+      it is in place, so a crash in between loses nothing, whatever becomes of the scratch folder.
+
+    A stored key that occurs twice fails the load.
     """
     finish_pending_rewrites(spark, path)
-    bounds = batch.agg(
-        F.count(F.lit(1)).alias("records"),
-        F.count_if(F.col("invoice_date").isNull()).alias("undated"),
-        F.min("invoice_date").alias("first"),
-        F.max("invoice_date").alias("last"),
-        F.min(period_of(grain)).alias("first_period"),
-        F.max(period_of(grain)).alias("last_period"),
-    ).select(
-        "records",
-        "undated",
-        F.unix_micros("first").alias("first"),
-        F.unix_micros("last").alias("last"),
-        "first_period",
-        "last_period",
+    period = period_of(grain)
+    # At most one row per calendar day, and one for undated rows.
+    found = (
+        batch.groupBy(period.alias(PERIOD))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("invoice_date").alias("first"), F.max("invoice_date").alias("last"))
+        .select(PERIOD, "n", F.unix_micros("first").alias("first"), F.unix_micros("last").alias("last"))
+        .orderBy(PERIOD)
+        .collect()
     )
-    span = bounds.first()
-    if not span["records"]:
+    records = sum(row["n"] for row in found)
+    if not records:
         return {"records": 0, "upserted": 0, "modified": 0}
-    if span["undated"]:
-        raise ContractViolation(f"invoice_date is missing in {span['undated']} rows")
-
-    def in_periods(rows: DataFrame) -> DataFrame:
-        return rows.filter(F.col(PERIOD).between(span["first_period"], span["last_period"]))
-
-    def in_span(rows: DataFrame) -> DataFrame:
-        first, last = (F.timestamp_micros(F.lit(span[end])) for end in ("first", "last"))
-        return in_periods(rows).filter(F.col("invoice_date").between(first, last))
+    if found[0][PERIOD] is None:
+        raise ContractViolation(f"invoice_date is missing in {found[0]['n']} rows")
+    periods = [row[PERIOD] for row in found]
+
+    def touched(rows: DataFrame) -> DataFrame:
+        rows = rows.filter(F.col(PERIOD).isin(periods))
+        if len(found) > _MAX_RANGES:
+            return rows
+        moment = lambda micros: F.timestamp_micros(F.lit(micros))
+        ranges = [F.col("invoice_date").between(moment(r["first"]), moment(r["last"])) for r in found]
+        return rows.filter(reduce(or_, ranges))
 
     target = _stored(spark, path)
     _check_grain(target, grain)
-    if target is None or in_span(target).isEmpty():
-        _append(deduplicate(batch).withColumn(PERIOD, period_of(grain)), path)
-        return {
-            "records": span["records"],
-            "upserted": in_span(_stored(spark, path)).count(),
-            "modified": 0,
-        }
-
-    changes = stage(
-        classify(in_span(target), batch)
-        .filter(F.col("_change").isin(INSERT, UPDATE, SAME))
-        .withColumn(PERIOD, period_of(grain)),
-        "changes",
-    )
-    counts = dict(changes.groupBy("_change").count().collect())
-    inserts = changes.filter(F.col("_change") == INSERT)
-    if counts.get(UPDATE):
-        # At most one row per calendar day: a broadcast of bounded size.
-        dirty = F.broadcast(changes.filter(F.col("_change") == UPDATE).select(PERIOD).distinct())
+    if target is None or touched(target).isEmpty():
+        _log_write(spark, path, "append", periods)
+        _append(deduplicate(batch).withColumn(PERIOD, period), path)
+        return {"records": records, "upserted": touched(_stored(spark, path)).count(), "modified": 0}
+
+    changes = classify(touched(target), batch, unique_target=True).filter(F.col("_change").isin(INSERT, UPDATE))
+    with run_scratch(spark, "upsert"):
+        return {"records": records, **_apply(spark, path, target, stage(changes.withColumn(PERIOD, period), "changes"), grain)}
+
+
+def _apply(spark: SparkSession, path: str, target: DataFrame, changes: DataFrame, grain: str) -> dict[str, int]:
+    """Write new keys and changed rows; a replay has neither and writes nothing."""
+    period = period_of(grain)
+    found = {(r[PERIOD], r["_change"]): r["count"] for r in changes.groupBy(PERIOD, "_change").count().collect()}
+    counts = {kind: sum(n for (_, k), n in found.items() if k == kind) for kind in (INSERT, UPDATE)}
+    dirty = [p for p, kind in found if kind == UPDATE]
+    new_in = {p for p, kind in found if kind == INSERT} - set(dirty)
+    inserts = changes.filter((F.col("_change") == INSERT) & ~F.col(PERIOD).isin(dirty))
+    if dirty:
         rewritten = upsert(
-            in_periods(target).join(dirty, PERIOD, "left_semi"),
-            changes.join(dirty, PERIOD, "left_semi"),
-        ).withColumn(PERIOD, period_of(grain))
-        inserts = inserts.join(dirty, PERIOD, "left_anti")
-        rewrite = scratch_path(spark, "rewrite")
-        stage(rewritten.select(*_STORED.fieldNames()), "rewrite", rewrite)
-        _log_rewrite(spark, path, rewrite, False)
-        _publish(spark, path, rewrite)
-    if counts.get(INSERT):
+            target.filter(F.col(PERIOD).isin(dirty)), changes.filter(F.col(PERIOD).isin(dirty))
+        ).withColumn(PERIOD, period)
+        entry = _log_write(spark, path, "rewrite", sorted(dirty), rewritten.select(*_STORED.fieldNames()))
+        _publish(spark, path, entry)
+    if new_in:
+        _log_write(spark, path, "append", sorted(new_in))
         _append(inserts, path)
-    return {
-        "records": span["records"],
-        "upserted": counts.get(INSERT, 0),
-        "modified": counts.get(UPDATE, 0),
-    }
+    return {"upserted": counts[INSERT], "modified": counts[UPDATE]}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.aggregates import one_row
 from basketry.operators.contracts import expect
-from basketry.schemas import MAX_FX_RATE, MIN_COUNTRIES, MIN_FX_RATE, REGION_NOT_GIVEN
+from basketry.schemas import MAX_FX_DAYS, MAX_FX_RATE, MIN_COUNTRIES, MIN_FX_RATE, REGION_NOT_GIVEN
 
 
 def _country_records(spark: SparkSession, path: str) -> DataFrame:
@@ -17,7 +17,7 @@ def _country_records(spark: SparkSession, path: str) -> DataFrame:
     """
     payload = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("payload"))
     is_list = F.schema_of_variant("payload").startswith("ARRAY")
-    not_list = F.raise_error(F.lit("countries data is a non-list payload")).cast("array<variant>")
+    not_list = F.raise_error(F.lit("the countries file holds no JSON list")).cast("array<variant>")
     items = F.when(is_list, F.try_variant_get("payload", "$", "array<variant>")).otherwise(not_list)
     return payload.select(F.explode(items).alias("item"))
 
@@ -43,9 +43,14 @@ def parse_countries(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def count_unnamed(spark: SparkSession, path: str) -> int:
+def skipped_countries(spark: SparkSession, path: str) -> DataFrame:
+    """How many entries the reading of the countries skips because they have no name."""
     name = F.try_variant_get("item", "$.name.common", "string")
-    return _country_records(spark, path).filter(F.coalesce(F.length(name), F.lit(0)) == 0).count()
+    return one_row(_country_records(spark, path), skipped_countries=F.count_if(F.coalesce(F.length(name), F.lit(0)) == 0))
+
+
+def count_unnamed(spark: SparkSession, path: str) -> int:
+    return skipped_countries(spark, path).first()[0]
 
 
 def read_countries(spark: SparkSession, path: str, minimum: int = MIN_COUNTRIES) -> DataFrame:
@@ -73,7 +78,11 @@ def check_fx_rates(fx: DataFrame, low: float = MIN_FX_RATE, high: float = MAX_FX
     expect(
         fx,
         {
-            f"FX rate outside sanity bounds [{low}, {high}]": F.count_if(~within) == 0,
+            f"an FX rate is not within {low} and {high}": F.count_if(~within) == 0,
+            # The calendar between the first and the last day is expanded and broadcast.
+            f"FX dates span more than {MAX_FX_DAYS} days": F.coalesce(
+                F.date_diff(F.max("date"), F.min("date")), F.lit(0)
+            ) < MAX_FX_DAYS,
             "FX date is missing": F.count_if(F.col("date").isNull()) == 0,
             "FX date has several rates": F.count_distinct("date") == F.count("date"),
         },

@@ -67,13 +67,13 @@ def read_sales_csv(
     path: str | list[str],
     mark: datetime | None = None,
     *,
+    multi_line: bool,
     timestamp_format: str | None = None,
-    multi_line: bool = True,
 ) -> DataFrame:
     """Scan the sales feed by header name and keep the lines newer than ``mark``.
 
-    ``multi_line`` keeps line breaks inside quotes but makes each file one task; pass ``False`` for
-    large files that are known to hold one line per row, so that they split.
+    ``multi_line`` has no default, as the feed decides: ``True`` keeps line breaks inside quotes but makes each
+    file one task; ``False`` splits large files, which must then hold one line per row.
     """
     raw = spark.read.options(**_csv_options(multi_line)).csv(path)
     return newer_than(typed_sales(raw, timestamp_format), mark)
@@ -83,9 +83,9 @@ def stream_sales_csv(
     spark: SparkSession,
     folder: str,
     *,
+    multi_line: bool,
     columns: tuple[str, ...] = tuple(SALES.fieldNames()),
     timestamp_format: str | None = None,
-    multi_line: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """The same scan over files as they land; ``columns`` is the header order of the feed."""

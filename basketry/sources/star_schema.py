@@ -1,7 +1,8 @@
 """Sales, countries and rates derived from the star-schema test tables.
 
 The tables hold no dirty lines; the derivation adds cancelled lines, free items, anonymous customers,
-feed-style country names, an unmatched country, weekend gaps and days before the first rate.
+feed-style country names, an unmatched country, lines without a product code, long descriptions, a weekday
+without sales, weekend gaps and days before the first rate.
 """
 
 from __future__ import annotations
@@ -50,22 +51,20 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(_table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey"))
         .join(_table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
     )
-    items = _table(spark, sf_dir, "lineitem")
-    lines = items.join(buyers, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    lines = _table(spark, sf_dir, "lineitem").join(buyers, F.col("l_orderkey") == F.col("o_orderkey")).join(
         _table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey")
     )
-    cores = spark.sparkContext.defaultParallelism
-    if items.rdd.getNumPartitions() < cores:
-        # One small file would keep one core busy. Tables of many files are left as they are.
-        lines = lines.repartition(cores, "o_orderkey", "l_partkey")
     quantity = F.when(F.col("o_orderkey") % 41 == 0, -F.col("l_quantity")).otherwise(F.col("l_quantity"))
     derived = {
         "InvoiceNo": F.col("o_orderkey"),
-        "StockCode": F.col("l_partkey"),
-        "Description": F.col("p_name"),
+        "StockCode": F.when(F.col("l_partkey") % 97 != 0, F.col("l_partkey")),
+        "Description": F.when(F.col("l_partkey") % 7 == 0, F.concat_ws(" of ", *["p_name"] * 6)).otherwise(F.col("p_name")),
         "Quantity": quantity,
         "UnitPrice": F.when(F.col("l_partkey") % 53 == 0, 0.0).otherwise(F.col("p_retailprice")),
-        "InvoiceDate": F.col("o_orderdate"),
+        # The shop is closed on Sundays.
+        "InvoiceDate": F.when(
+            F.dayofweek("o_orderdate") == 1, F.col("o_orderdate") + F.expr("interval 1 day")
+        ).otherwise(F.col("o_orderdate")),
         "CustomerID": F.when(
             F.col("o_orderkey") % 29 != 0, F.concat(F.lit("  C"), F.col("o_custkey").cast("string"), F.lit(" "))
         ),
@@ -94,26 +93,32 @@ def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def land_feeds(spark: SparkSession, sf_dir: str, folder: str, mark: str) -> dict[str, str]:
-    """Write the derived data in the form the sources read: CSV files with a header, and JSON.
+def land_sales(spark: SparkSession, sf_dir: str, folder: str, mark: str) -> dict[str, str]:
+    """Write the derived sales as CSV files with a header, the lines up to ``mark`` and the newer ones apart.
 
-    The sales land in two folders, the lines up to ``mark`` and the newer ones.
+    One scan writes both folders.
     """
-    paths = {name: f"{folder}/{name}" for name in ("sales/early", "sales/late", "countries", "fx")}
-    lines = sales(spark, sf_dir)
-    early = F.col("InvoiceDate") <= F.lit(mark).cast("timestamp")
-    for name, part in (("sales/early", lines.filter(early)), ("sales/late", lines.filter(~early))):
-        part.write.csv(
-            paths[name],
-            header=True,
-            encoding="ISO-8859-1",
-            ignoreLeadingWhiteSpace=False,
-            ignoreTrailingWhiteSpace=False,
-        )
+    part = F.when(F.col("InvoiceDate") <= F.lit(mark).cast("timestamp"), "early").otherwise("late")
+    sales(spark, sf_dir).withColumn("part", part).write.partitionBy("part").csv(
+        f"{folder}/sales",
+        header=True,
+        encoding="ISO-8859-1",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
+    return {name: f"{folder}/sales/part={name}" for name in ("early", "late")}
+
+
+def land_countries(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Write the countries as one JSON list of some 25 entries, and one without a name."""
     entry = F.struct(F.struct(F.col("country").alias("common")).alias("name"), "region", "population")
-    # One JSON list of some 25 countries.
-    listed = countries(spark, sf_dir).agg(F.to_json(F.collect_list(entry)).alias("value"))
-    listed.write.text(paths["countries"])
+    listed = F.concat(F.collect_list(entry), F.array(F.first(entry).withField("name.common", F.lit(""))))
+    countries(spark, sf_dir).agg(F.to_json(listed).alias("value")).write.text(f"{folder}/countries")
+    return f"{folder}/countries"
+
+
+def land_rates(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Write the rates as JSON lines, one per day."""
     rates = F.create_map(F.lit("EUR"), F.col("fx_rate_gbp_eur")).alias("rates")
-    fx_rates(spark, sf_dir).select("date", rates).write.json(paths["fx"])
-    return paths
+    fx_rates(spark, sf_dir).select("date", rates).write.json(f"{folder}/fx")
+    return f"{folder}/fx"

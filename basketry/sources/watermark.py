@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from basketry.functions.times import as_utc, from_micros
 from basketry.functions.aggregates import literal_row, one_row
 from basketry.schemas import METADATA
-from basketry.session import read_if_exists
+from basketry.session import delete_path, list_names, read_if_exists
 
 _ID = "last_watermark"
 
@@ -32,6 +32,9 @@ def get_last_watermark(spark: SparkSession, path: str) -> datetime | None:
 
 
 def update_watermark(spark: SparkSession, path: str, mark: datetime) -> None:
-    """Append the new mark. The old ones stay, so a crash here cannot lose the last one."""
+    """Append the new mark, then drop the files of older ones: a crash in between loses no mark."""
+    older = [name for name in list_names(spark, path) if name.startswith("part-")]
     row = literal_row(spark, METADATA, _ID, as_utc(mark), datetime.now(timezone.utc))
-    row.write.mode("append").parquet(path)
+    row.coalesce(1).write.mode("append").parquet(path)
+    for name in older:
+        delete_path(spark, f"{path.rstrip('/')}/{name}")

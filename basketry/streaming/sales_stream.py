@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from basketry.operators.enrich import data_bytes, normalize_countries
 from basketry.operators.fact import without_key_text
 from basketry.plans.transform import to_fact
-from basketry.session import stage
+from basketry.session import run_scratch, stage
 from basketry.sources.fact_table import upsert_into
 
 
@@ -25,12 +26,15 @@ def load_stream(
 
     A micro-batch that runs again after a failure upserts the same keys, so the fact holds each of
     them once. Which files are new is the checkpoint's business; the high-water mark filter belongs
-    to the batch runs only. ``once`` stops when all landed files are loaded.
+    to the batch runs only. What a micro-batch stages goes once it is loaded. ``once`` stops when all landed files are loaded.
     """
 
     def load(lines: DataFrame, batch_id: int) -> None:
-        fact = without_key_text(to_fact(lines, countries, fx))
-        upsert_into(lines.sparkSession, fact_path, stage(fact, f"stream-{batch_id}"), grain)
+        session = lines.sparkSession
+        with run_scratch(session, f"stream-{batch_id}"):
+            fact = without_key_text(to_fact(lines, countries, fx, size))
+            upsert_into(session, fact_path, stage(fact, "fact"), grain)
 
+    size = data_bytes(normalize_countries(countries))
     writer = sales.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

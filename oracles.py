@@ -13,11 +13,15 @@ OVERLAP_END = datetime(1998, 12, 31)
 
 _SOURCES = """
 sales as (
-  select cast(o.o_orderkey as varchar) as InvoiceNo, cast(l.l_partkey as varchar) as StockCode,
-    p.p_name as Description,
+  select cast(o.o_orderkey as varchar) as InvoiceNo,
+    case when l.l_partkey % 97 <> 0 then cast(l.l_partkey as varchar) end as StockCode,
+    case when l.l_partkey % 7 = 0
+      then concat_ws(' of ', p.p_name, p.p_name, p.p_name, p.p_name, p.p_name, p.p_name)
+      else p.p_name end as Description,
     cast(case when o.o_orderkey % 41 = 0 then -l.l_quantity else l.l_quantity end as bigint) as Quantity,
     case when l.l_partkey % 53 = 0 then 0.0e0 else p.p_retailprice end as UnitPrice,
-    cast(o.o_orderdate as timestamp) as InvoiceDate,
+    cast(o.o_orderdate as timestamp)
+      + case when dayofweek(o.o_orderdate) = 0 then interval 1 day else interval 0 day end as InvoiceDate,
     case when o.o_orderkey % 29 = 0 then null
       else concat('  C', cast(o.o_custkey as varchar), ' ') end as CustomerID,
     case n.n_nationkey when 1 then 'EIRE' when 2 then 'USA' when 3 then 'RSA' when 4 then 'Channel Islands'
@@ -76,7 +80,7 @@ def _fact(name: str, lines: str = "true", rates: str = "true") -> str:
     Quantity as quantity, UnitPrice as unit_price_gbp, InvoiceDate as invoice_date,
     CustomerID as customer_id, Country as country, region, population, revenue_gbp,
     round_even(revenue_gbp * fx_rate_gbp_eur, 4) as revenue_eur, fx_rate_gbp_eur,
-    left(sha1(concat_ws('|', InvoiceNo, StockCode, CustomerID, cast(Quantity as varchar),
+    left(sha1(concat_ws('|', InvoiceNo, coalesce(StockCode, '<NA>'), CustomerID, cast(Quantity as varchar),
       cast(UnitPrice as varchar), strftime(InvoiceDate, '%Y-%m-%d %H:%M:%S+00:00'))), 12) as row_hash
   from {name}_converted)"""
 
@@ -109,12 +113,13 @@ late_matched as (
 feed as (
   select InvoiceNo as invoice_no, StockCode as stock_code, Description as description,
     InvoiceDate as invoice_date, CustomerID as customer_id, Country as country,
-    round_even(Quantity * UnitPrice * 1.17e0, 4) as revenue_eur
+    cast(Quantity as decimal(12,0)) * cast(UnitPrice as decimal(14,4)) * cast(1.17 as decimal(3,2)) as revenue_eur
   from cleaned)""",
     ]
 )
 
-_REVENUE = "cast(sum(cast(revenue_eur as decimal(18,4))) as double)"
+# The fact holds doubles of 4 places, the feed's lines exact decimals of 6.
+_REVENUE = "cast(sum(cast(revenue_eur as decimal(28,6))) as double)"
 
 
 def _headline(lines: str) -> str:
@@ -137,7 +142,7 @@ def _home(lines: str, home: str) -> str:
         next5_markets, next5_revenue, 100.0e0 * next5_revenue / total as next5_share_pct
       from t, (select revenue from c where country = '{home}') h,
         (select string_agg(country, ', ' order by revenue desc, country) as next5_markets,
-          cast(sum(cast(revenue as decimal(18,4))) as double) as next5_revenue from n) five"""
+          cast(sum(cast(revenue as decimal(28,6))) as double) as next5_revenue from n) five"""
 
 
 def _peak(lines: str) -> str:
@@ -171,21 +176,23 @@ def _percent(value: str) -> str:
     return f"format('{{:.1f}}', {value}) || '%'"
 
 
-_CONCENTRATION = f"""with c as ({_by("fact", "customer_id", "customer_id")}),
+def _concentration(lines: str) -> str:
+    return f"""with c as ({_by(lines, "customer_id", "customer_id")}),
       r as (select revenue, row_number() over (order by revenue desc) as nth, count(*) over () as n from c),
       k as (select max(n) as customers, greatest(1, cast(floor(max(n) * 0.01e0) as bigint)) as few,
-        cast(sum(cast(revenue as decimal(18,4))) as double) as total from r)
+        cast(sum(cast(revenue as decimal(28,6))) as double) as total from r)
       select customers,
-        100.0e0 * (select cast(sum(cast(revenue as decimal(18,4))) as double) from r where nth <= 10) / total
+        100.0e0 * (select cast(sum(cast(revenue as decimal(28,6))) as double) from r where nth <= 10) / total
           as top10_share_pct,
         few as top1pct_customers,
-        100.0e0 * (select cast(sum(cast(revenue as decimal(18,4))) as double) from r
+        100.0e0 * (select cast(sum(cast(revenue as decimal(28,6))) as double) from r
           where nth <= (select few from k)) / total as top1pct_share_pct
       from k"""
 
-_REPEAT = """select *, 100 - one_off_pct as repeat_pct from (
+def _repeat(lines: str) -> str:
+    return f"""select *, 100 - one_off_pct as repeat_pct from (
       select count(*) as customers, 100 * count(*) filter (invoices = 1) / count(*) as one_off_pct
-      from (select customer_id, count(distinct invoice_no) as invoices from fact
+      from (select customer_id, count(distinct invoice_no) as invoices from {lines}
         where customer_id is not null group by 1) per_customer) shares"""
 
 _SELECTS = {
@@ -209,8 +216,18 @@ _SELECTS = {
       count(*) as total_rows, (select median(fx_rate_gbp_eur) from fx) as fallback_rate
       from fact_converted""",
     "fact_sales": "select * from fact",
+    "fact_without_descriptions": "select * replace ('' as description) from fact",
+    "run_metrics": """select misses.*, fallback_lines, fallback_rate, days_needed, days_missing, rates.*,
+        cast(1 as bigint) as skipped_countries
+      from (select count(*) filter (region is null) as unmatched_rows, count(*) as total_rows from joined) misses,
+        (select count(*) filter (known_rate is null) as fallback_lines,
+          (select median(fx_rate_gbp_eur) from fx) as fallback_rate from fact_converted) fallback,
+        (select count(*) as days_needed,
+          count(*) filter (invoice_day not in (select date from fx)) as days_missing from days) needed,
+        (select count(*) as rates_fetched, min(fx_rate_gbp_eur) as min_rate,
+          max(fx_rate_gbp_eur) as max_rate from fx) rates""",
     "row_hash_key": """select invoice_no, stock_code, customer_id, row_hash,
-      concat_ws('|', invoice_no, stock_code, customer_id, row_hash) as _bk from fact""",
+      concat_ws('|', invoice_no, coalesce(stock_code, '<NA>'), customer_id, row_hash) as _bk from fact""",
     "duplicate_keys": """select invoice_no, stock_code, customer_id, row_hash, count(*) as rows
       from fact group by all having count(*) > 1""",
     "quality_report": f"""select rows_in as rows_input, rows_out as rows_output,
@@ -237,7 +254,7 @@ _SELECTS = {
     "incremental_sales": f"select * from sales where InvoiceDate > timestamp '{MARK}'",
     "upsert_fact": """select * from late_once union all
       select e.* from early_once e where not exists (select 1 from late_once l
-        where l.invoice_no = e.invoice_no and l.stock_code = e.stock_code
+        where l.invoice_no = e.invoice_no and l.stock_code is not distinct from e.stock_code
           and l.customer_id = e.customer_id and l.row_hash = e.row_hash)""",
     "upsert_counts": """select (select count(*) from late) as records,
       count(*) filter (not matched) as upserted, count(*) filter (changed) as modified from late_matched""",
@@ -266,15 +283,15 @@ _SELECTS = {
     "top_months": _by("fact", "strftime(invoice_date, '%Y-%m')", "month")
     + " order by revenue desc, month limit 5",
     "peak_month": _peak("fact"),
-    "customer_concentration": _CONCENTRATION,
+    "customer_concentration": _concentration("fact"),
     "customer_concentration_text": f"""select format('{{:,}}', customers) as customers,
       {_percent("top10_share_pct")} as top10_share_pct,
       format('{{:,}}', top1pct_customers) as top1pct_customers,
-      {_percent("top1pct_share_pct")} as top1pct_share_pct from ({_CONCENTRATION}) figures""",
-    "repeat_customers": _REPEAT,
+      {_percent("top1pct_share_pct")} as top1pct_share_pct from ({_concentration("fact")}) figures""",
+    "repeat_customers": _repeat("fact"),
     "repeat_customers_text": f"""select format('{{:,}}', customers) as customers,
       {_percent("one_off_pct")} as one_off_pct, {_percent("repeat_pct")} as repeat_pct
-      from ({_REPEAT}) figures""",
+      from ({_repeat("fact")}) figures""",
     "home_market_text": f"""select home_market, {_euro("home_revenue")} as home_revenue,
       {_percent("home_share_pct")} as home_share_pct, next5_markets, {_euro("next5_revenue")} as next5_revenue,
       {_percent("next5_share_pct")} as next5_share_pct from ({_home("fact", "united kingdom")}) figures""",
@@ -282,7 +299,9 @@ _SELECTS = {
       {_euro("median_month_revenue")} as median_month_revenue,
       format('{{:.1f}}', peak_vs_median) || '×' as peak_vs_median from ({_peak("fact")}) figures""",
     "top_products": _products("fact"),
-    "weekday_revenue": _weekdays("fact"),
+    "weekday_revenue": f"""select cast(d as integer) as weekday_no,
+        dayname(date '2024-01-01' + cast(d - 1 as integer)) as weekday, revenue
+      from range(1, 8) days(d) left join ({_weekdays("fact")}) sold on weekday_no = d""",
     "revenue_by_region": f"""select region, {_REVENUE} as revenue_eur, count(distinct invoice_no) as invoices
       from fact group by region""",
     "revenue_trend": _by("fact", "cast(invoice_date as date)", "day"),
@@ -294,6 +313,10 @@ _SELECTS = {
     "constant_rate_headline": _headline("feed"),
     "constant_rate_home_share": _home("feed", "United Kingdom"),
     "constant_rate_peak_month": _peak("feed"),
+    "constant_rate_concentration": _concentration("feed"),
+    "constant_rate_repeat": _repeat("feed"),
+    "constant_rate_top_months": _by("feed", "strftime(invoice_date, '%Y-%m')", "month")
+    + " order by revenue desc, month limit 5",
     "constant_rate_top_products": _products("feed"),
     "constant_rate_weekdays": _weekdays("feed"),
 }

@@ -26,31 +26,32 @@ def line(invoice="A1", **changes):
     return tuple(values[name] for name in SALES.fieldNames())
 
 
+# One line breaks each cleaning rule; the last one is padded; the rate changes between the two lines that are kept.
 RAW = [
-    line("A1", Quantity=2),
-    line("A2", StockCode="Y", Description="b", Quantity=-1, UnitPrice=5.0, InvoiceDate=utc("2011-01-02"),
-         CustomerID="c2", Country="France"),
-    line("A3", StockCode="Z", Description="c", Quantity=3, UnitPrice=0.0, InvoiceDate=utc("2011-01-03"),
-         CustomerID="c3", Country="Germany"),
-    line("A4", StockCode="W", Description="d", Quantity=5, UnitPrice=2.5, InvoiceDate=utc("2011-01-04"),
-         CustomerID=None, Country="Spain"),
-    line("A5", StockCode="V", Description="e", UnitPrice=4.0, InvoiceDate=utc("2011-01-05"),
-         CustomerID="  C5  ", Country="  United Kingdom  "),
+    line("K1", StockCode="M4", Description="bowl", Quantity=3, UnitPrice=2.5),
+    line("K2", StockCode="M5", Description="jar", Quantity=-4, UnitPrice=1.25, InvoiceDate=utc("2011-01-06"),
+         CustomerID="n8", Country="Norway"),
+    line("K3", StockCode="M6", Description="lid", Quantity=6, UnitPrice=0.0, InvoiceDate=utc("2011-01-08"),
+         CustomerID="n9", Country="Italy"),
+    line("K4", StockCode="M7", Description="mug", Quantity=2, UnitPrice=7.75, InvoiceDate=utc("2011-01-09"),
+         CustomerID=None, Country="Portugal"),
+    line("K5", StockCode="M8", Description="cup", UnitPrice=8.0, InvoiceDate=utc("2011-01-11"),
+         CustomerID=" N5\t", Country="\tUnited Kingdom "),
 ]
 
-EUROPE = [
-    ("United Kingdom", "Europe", 67_000_000),
-    ("France", "Europe", 65_000_000),
-    ("Germany", "Europe", 83_000_000),
-    ("Spain", "Europe", 47_000_000),
+LISTED = [
+    ("United Kingdom", "Europe", 60_100_000),
+    ("Norway", "Europe", 5_400_000),
+    ("Italy", "Europe", 58_900_000),
+    ("Portugal", "Europe", 10_300_000),
 ]
 
 RATES = [
-    (date(2011, 1, 1), 1.17),
-    (date(2011, 1, 2), 1.17),
-    (date(2011, 1, 3), 1.18),
-    (date(2011, 1, 4), 1.18),
-    (date(2011, 1, 5), 1.19),
+    (date(2011, 1, 1), 1.2),
+    (date(2011, 1, 6), 1.2),
+    (date(2011, 1, 8), 1.3),
+    (date(2011, 1, 9), 1.3),
+    (date(2011, 1, 11), 1.25),
 ]
 
 
@@ -58,7 +59,7 @@ def sales(spark, rows=RAW):
     return spark.createDataFrame(rows, SALES)
 
 
-def countries(spark, rows=EUROPE):
+def countries(spark, rows=LISTED):
     return spark.createDataFrame(rows, COUNTRIES)
 
 

@@ -1,8 +1,10 @@
 import json
+import os
 import random
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from samples import RATES, countries, fact_row, facts, line, rates, sales, sorted_rows, utc
 
 import basketry.sources.fact_table as fact_table
@@ -12,7 +14,7 @@ from basketry.operators.upsert import classify, deduplicate, upsert, upsert_coun
 from basketry.plans import runs
 from basketry.plans.transform import to_fact
 from basketry.schemas import FACT
-from basketry.session import scratch_dir, stage
+from basketry.session import list_names, run_scratch, scratch_dir, stage
 from basketry.sources.fact_table import read_fact, upsert_into
 from basketry.sources.sales import stream_sales_csv
 from basketry.sources.watermark import get_last_watermark
@@ -161,7 +163,7 @@ def feeds(tmp_path, *files):
     folder.mkdir(exist_ok=True)
     for name, rows in files:
         (folder / name).write_text("\n".join([header, *rows, ""]))
-    listed = [{"name": {"common": "United Kingdom"}, "region": "Europe", "population": 67_000_000}]
+    listed = [{"name": {"common": "United Kingdom"}, "region": "Europe", "population": 60_100_000}, {"region": "none"}]
     (tmp_path / "countries.json").write_text(json.dumps(listed))
     days = [json.dumps({"date": d.isoformat(), "rates": {"EUR": r}}) for d, r in RATES]
     (tmp_path / "fx.json").write_text("\n".join(days))
@@ -169,37 +171,150 @@ def feeds(tmp_path, *files):
 
 
 FIRST = ("1.csv", [
-    "A1,X,a,2,10.0,2011-01-01,c1,United Kingdom", "A2,Y,b,-1,5.0,2011-01-02,c2,France",
-    "A3,Z,c,3,1.0,2011-01-03,c3,Atlantis", "A3,Z,c again,3,1.0,2011-01-03,c3,Atlantis",
-    "A9,Z,c,3,0,2011-01-04,c3,Atlantis",
+    "K1,M4,bowl,3,2.5,2011-01-01,c1,United Kingdom", "K2,M5,jar,-4,1.25,2011-01-06,n8,Norway",
+    "K3,M6,lid,2,1.5,2011-01-08,n9,Atlantis", "K3,M6,lid too,2,1.5,2011-01-08,n9,Atlantis",
+    "K4,M6,lid,2,0,2011-01-09,n9,Atlantis",
 ])
-SECOND = ("2.csv", ["A5,V,e,1,4.0,2011-01-05,  C5  ,  United Kingdom  ", "A0,V,late,1,4.0,2011-01-02,c9,Spain"])
+SECOND = ("2.csv", ["K5,M8,cup,1,8.0,2011-01-11, N5 , United Kingdom ", "K0,M8,late,1,8.0,2011-01-02,n7,Italy"])
 
 
 def test_runs(spark, tmp_path):
+    before = scratch_names(spark)
     fact, meta = str(tmp_path / "fact"), str(tmp_path / "meta")
 
     def run(inputs):
-        return runs.run_daily(spark, *inputs, fact, meta, min_countries=1)
+        return runs.run_daily(spark, *inputs, fact, meta, min_countries=1, multi_line=True)
 
     first = run(feeds(tmp_path, FIRST))
-    assert (first["records"], first["upserted"], first["modified"], first["watermark"]) == (3, 2, 0, None)
-    assert first["quality_report"]["rows_input"] == 5 and first["quality_report"]["rows_output"] == 3
+    assert (first.received, first.added, first.changed, first.newer_than) == (3, 2, 0, None)
+    assert first.quality["rows_input"] == 5 and first.quality["rows_output"] == 3
+    assert first.metrics == {
+        "unmatched_rows": 2, "total_rows": 3, "fallback_lines": 0, "fallback_rate": 1.25, "days_needed": 4,
+        "days_missing": 0, "rates_fetched": 5, "min_rate": 1.2, "max_rate": 1.3, "skipped_countries": 1,
+    }
     # The mark is that of the cleaned fact: the free item of a later day does not move it.
-    assert get_last_watermark(spark, meta) == utc("2011-01-03")
+    assert get_last_watermark(spark, meta) == utc("2011-01-08")
 
     second = run(feeds(tmp_path, FIRST, SECOND))
-    assert second["watermark"] == "2011-01-03T00:00:00+00:00"
-    assert (second["records"], second["upserted"], second["quality_report"]["rows_input"]) == (1, 1, 2)
-    assert get_last_watermark(spark, meta) == utc("2011-01-05")
+    assert second.newer_than == "2011-01-08T00:00:00+00:00"
+    assert (second.received, second.added, second.quality["rows_input"]) == (1, 1, 2)
+    assert get_last_watermark(spark, meta) == utc("2011-01-11")
 
     third = run(feeds(tmp_path, FIRST, SECOND))
-    assert (third["records"], third["upserted"], third["quality_report"]) == (0, 0, {})
-    assert get_last_watermark(spark, meta) == utc("2011-01-05")
+    assert (third.received, third.added, third.quality, third.metrics) == (0, 0, {}, {})
+    assert get_last_watermark(spark, meta) == utc("2011-01-11")
     rows = {r["invoice_no"]: r for r in read_fact(spark, fact).collect()}
-    assert set(rows) == {"A1", "A3", "A5"}
-    assert rows["A3"]["description"] == "c" and rows["A3"]["region"] == "unknown"
-    assert rows["A5"]["customer_id"] == "c5" and rows["A5"]["revenue_eur"] == 4.76
+    assert set(rows) == {"K1", "K3", "K5"}
+    assert rows["K3"]["description"] == "lid" and rows["K3"]["region"] == "unknown"
+    assert rows["K5"]["customer_id"] == "n5" and rows["K5"]["revenue_eur"] == 10.0
+    assert scratch_names(spark) == before
+
+
+def scratch_names(spark):
+    return list_names(spark, f"{scratch_dir(spark)}/basketry/{spark.sparkContext.applicationId}")
+
+
+def test_colliding_countries_fail_the_run(spark, tmp_path):
+    sales_csv, countries_json, fx_json = feeds(tmp_path, FIRST)
+    listed = [{"name": {"common": n}, "region": "Europe", "population": 1} for n in ("Norway", " norway ")]
+    (tmp_path / "countries.json").write_text(json.dumps(listed))
+    with pytest.raises(ContractViolation, match="collide"):
+        runs.run_daily(spark, sales_csv, countries_json, fx_json, str(tmp_path / "fact"), str(tmp_path / "meta"),
+                       min_countries=1, multi_line=False)
+
+
+def test_lost_lines_fail_the_run(spark, tmp_path, monkeypatch):
+    inputs = feeds(tmp_path, FIRST)
+    monkeypatch.setattr(runs, "to_fact", lambda *args: to_fact(*args).limit(2))
+    with pytest.raises(ContractViolation, match="3 lines kept, but 2"):
+        runs.run_daily(spark, *inputs, str(tmp_path / "fact"), str(tmp_path / "meta"), min_countries=1, multi_line=False)
+
+
+def test_stored_key_held_twice_fails_the_load(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    upsert_into(spark, path, stage(facts(spark, [fact_row()]), "batch"))
+    fact_table._append(facts(spark, [fact_row(region="Asia")]).withColumn("invoice_period", F.lit("2011-01")), path)
+    with pytest.raises(Exception, match="business key is not unique"):
+        upsert_into(spark, path, stage(facts(spark, [fact_row(row_hash="new")]), "batch"))
+
+
+def crashed(spark, path, monkeypatch, *rows):
+    """A load that dies after it has announced its rewrite; nothing of it is put in place."""
+    with monkeypatch.context() as patch:
+        def die(*_):
+            raise RuntimeError("driver died")
+
+        patch.setattr(fact_table, "_publish", die)
+        patch.setattr(fact_table, "finish_pending_rewrites", lambda *_: None)
+        with run_scratch(spark, "lost"), pytest.raises(RuntimeError):
+            upsert_into(spark, path, stage(facts(spark, list(rows)), "batch"))
+
+
+MONTHS = [fact_row(row_hash=f"{m}{i}", invoice_date=utc(f"2011-{m}-0{i}")) for m in ("01", "02", "03") for i in (1, 2)]
+
+
+def changed(row, region="Asia"):
+    return tuple(region if n == "region" else v for n, v in zip(NAMES, row))
+
+
+def regions(spark, path):
+    return {r["row_hash"]: r["region"] for r in read_fact(spark, path).collect()}
+
+
+def test_two_open_rewrites_lose_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    upsert_into(spark, path, stage(facts(spark, MONTHS), "batch"))
+    crashed(spark, path, monkeypatch, changed(MONTHS[0]))
+    crashed(spark, path, monkeypatch, changed(MONTHS[2]))  # the scratch folders of both are gone
+    extra = fact_row(row_hash="extra", invoice_date=utc("2011-02-09"))
+    upsert_into(spark, path, stage(facts(spark, [changed(MONTHS[3], "Africa"), extra]), "batch"))
+    upsert_into(spark, path, stage(facts(spark, [fact_row(row_hash="other", invoice_date=utc("2011-05-01"))]), "batch"))
+    assert regions(spark, path) == {
+        "011": "Asia", "012": "Europe", "021": "Asia", "022": "Africa", "031": "Europe", "032": "Europe",
+        "extra": "Europe", "other": "Europe",
+    }
+    assert [n for n in list_names(spark, f"{path}_writes") if "rewrite" in n] == []
+
+
+def test_nothing_is_published_over_newer_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    upsert_into(spark, path, stage(facts(spark, MONTHS), "batch"))
+    crashed(spark, path, monkeypatch, changed(MONTHS[0]))
+    late = fact_row(row_hash="late", invoice_date=utc("2011-01-20"))
+    with monkeypatch.context() as patch:  # a writer that did not look at the log
+        patch.setattr(fact_table, "finish_pending_rewrites", lambda *_: None)
+        upsert_into(spark, path, stage(facts(spark, [late]), "batch"))
+    with pytest.raises(RuntimeError, match="written since"):
+        upsert_into(spark, path, stage(facts(spark, [late]), "batch"))
+    assert regions(spark, path)["late"] == "Europe"
+
+
+def test_only_touched_periods_are_read_and_a_replay_writes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    year = [fact_row(row_hash=f"m{m}", invoice_date=utc(f"2011-{m:02}-03")) for m in range(1, 13)]
+    upsert_into(spark, path, stage(facts(spark, year), "batch"))
+    files = sorted(f for f in os.listdir(path) if "=" in f)
+    assert len(files) == 12
+    plans = []
+    monkeypatch.setattr(
+        fact_table, "classify",
+        lambda target, batch, **options: plans.append(target) or classify(target, batch, **options),
+    )
+    before = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "fact").rglob("*.parquet")}
+    counts = upsert_into(spark, path, stage(facts(spark, [year[0], year[11]]), "batch"))
+    assert counts == {"records": 2, "upserted": 0, "modified": 0}
+    assert {str(f): f.stat().st_mtime_ns for f in (tmp_path / "fact").rglob("*.parquet")} == before
+    scan = [p.select(F.input_file_name()).distinct().count() for p in plans]
+    assert scan == [2]
+
+
+def test_the_log_of_writes_does_not_grow(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    for i in range(4):
+        row = fact_row(row_hash="r", region=f"Region {i}")
+        extra = fact_row(row_hash=f"e{i}")
+        upsert_into(spark, path, stage(facts(spark, [row, extra]), "batch"))
+    assert len(list_names(spark, f"{path}_writes")) <= 1
 
 
 def test_failed_load_is_repeated(spark, tmp_path, monkeypatch):
@@ -212,20 +327,20 @@ def test_failed_load_is_repeated(spark, tmp_path, monkeypatch):
 
     monkeypatch.setattr(runs, "update_watermark", fail)
     with pytest.raises(RuntimeError):
-        runs.run_daily(spark, *inputs, fact, meta, min_countries=1)
+        runs.run_daily(spark, *inputs, fact, meta, min_countries=1, multi_line=False)
     assert get_last_watermark(spark, meta) is None
     before = stored(spark, fact)
     monkeypatch.setattr(runs, "update_watermark", update)
-    again = runs.run_daily(spark, *inputs, fact, meta, min_countries=1)
-    assert (again["records"], again["upserted"], again["modified"]) == (3, 0, 0)
-    assert stored(spark, fact) == before and get_last_watermark(spark, meta) == utc("2011-01-03")
+    again = runs.run_daily(spark, *inputs, fact, meta, min_countries=1, multi_line=False)
+    assert (again.received, again.added, again.changed) == (3, 0, 0)
+    assert stored(spark, fact) == before and get_last_watermark(spark, meta) == utc("2011-01-08")
 
 
 def test_all_lines_dropped_leaves_the_mark(spark, tmp_path):
     fact, meta = str(tmp_path / "fact"), str(tmp_path / "meta")
-    inputs = feeds(tmp_path, ("1.csv", ["A2,Y,b,-1,5.0,2011-01-02,c2,France"]))
-    result = runs.run_daily(spark, *inputs, fact, meta, min_countries=1)
-    assert (result["records"], result["upserted"], result["quality_report"]["rows_output"]) == (0, 0, 0)
+    inputs = feeds(tmp_path, ("1.csv", ["K2,M5,jar,-4,1.25,2011-01-06,n8,Norway"]))
+    result = runs.run_daily(spark, *inputs, fact, meta, min_countries=1, multi_line=False)
+    assert (result.received, result.added, result.quality["rows_output"]) == (0, 0, 0)
     assert get_last_watermark(spark, meta) is None
 
 
@@ -234,7 +349,7 @@ def test_sales_without_rates_fail(spark, tmp_path):
     (tmp_path / "none.json").write_text("")
     with pytest.raises(ValueError, match="no FX rates"):
         runs.run_daily(spark, sales_csv, countries_json, str(tmp_path / "none.json"),
-                       str(tmp_path / "fact"), str(tmp_path / "meta"), min_countries=1)
+                       str(tmp_path / "fact"), str(tmp_path / "meta"), min_countries=1, multi_line=False)
 
 
 def test_any_split_into_two_loads_equals_one(spark, tmp_path):
@@ -255,17 +370,19 @@ def test_any_split_into_two_loads_equals_one(spark, tmp_path):
 
 
 def test_stream_loads_each_file_once(spark, tmp_path):
+    before = scratch_names(spark)
     fact, checkpoint = str(tmp_path / "fact"), str(tmp_path / "checkpoint")
 
     def run(folder):
-        lines = stream_sales_csv(spark, folder, max_files_per_trigger=1)
+        lines = stream_sales_csv(spark, folder, max_files_per_trigger=1, multi_line=True)
         load_stream(spark, lines, countries(spark), rates(spark), fact, checkpoint).awaitTermination()
         return {r["invoice_no"] for r in read_fact(spark, fact).collect()}
 
-    assert run(feeds(tmp_path, FIRST)[0]) == {"A1", "A3"}
+    assert run(feeds(tmp_path, FIRST)[0]) == {"K1", "K3"}
     # A stream takes late lines too: the mark belongs to the batch runs.
-    assert run(feeds(tmp_path, FIRST, SECOND)[0]) == {"A0", "A1", "A3", "A5"}
-    assert run(feeds(tmp_path, FIRST, SECOND)[0]) == {"A0", "A1", "A3", "A5"}
+    assert run(feeds(tmp_path, FIRST, SECOND)[0]) == {"K0", "K1", "K3", "K5"}
+    assert run(feeds(tmp_path, FIRST, SECOND)[0]) == {"K0", "K1", "K3", "K5"}
+    assert scratch_names(spark) == before
     check_unique_key(read_fact(spark, fact))
 
 

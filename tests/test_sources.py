@@ -4,7 +4,16 @@ from datetime import date, datetime
 import pytest
 from pyspark.errors import AnalysisException
 
-from basketry.operators.contracts import ContractViolation, check_sales, check_unique_key, contract_report
+from basketry.functions.money import exact_sum
+from basketry.operators.contracts import (
+    ContractViolation,
+    check_accounts,
+    check_sales,
+    check_unique_countries,
+    check_unique_key,
+    contract_report,
+)
+from basketry.operators.enrich import normalize_countries
 from basketry.plans.transform import to_fact
 from basketry.schemas import FX_RATES, SALES
 from basketry.sources.reference import (
@@ -14,10 +23,15 @@ from basketry.sources.reference import (
     read_countries,
     read_fx_rates,
 )
-from basketry.sources.sales import read_sales_csv, read_sales_parquet
+from basketry.sources import sales as sales_source
+from basketry.sources.sales import read_sales_parquet
 from basketry.sources.watermark import get_last_watermark, update_watermark
 from samples import countries, fact_row, facts, line, sales, utc
 
+def read_sales_csv(spark, path, *args, multi_line=True, **options):
+    return sales_source.read_sales_csv(spark, path, *args, multi_line=multi_line, **options)
+
+
 HEADER = "InvoiceNo,StockCode,Description,Quantity,UnitPrice,InvoiceDate,CustomerID,Country"
 
 
@@ -39,9 +53,9 @@ def test_full_scan(spark, tmp_path):
     assert found.filter("InvoiceNo = 'A2'").first()["InvoiceDate"] == datetime(2011, 1, 2)
 
 
-@pytest.mark.parametrize("mark", [datetime(2011, 1, 4), utc("2011-01-04"), utc("2011-01-01")])
+@pytest.mark.parametrize("mark", [datetime(2012, 6, 3), utc("2012-06-03"), utc("2012-06-02")])
 def test_only_lines_newer_than_the_mark(spark, tmp_path, mark):
-    path = csv_file(tmp_path / "s", plain(1, "2011-01-01"), plain(2, "2011-01-05"), plain(3, "2011-01-10"))
+    path = csv_file(tmp_path / "s", plain(1, "2012-06-02"), plain(2, "2012-06-04"), plain(3, "2012-07-30"))
     assert {r["InvoiceNo"] for r in read_sales_csv(spark, path, mark).collect()} == {"A2", "A3"}
 
 
@@ -97,7 +111,7 @@ def test_zoneless_parquet_times_are_utc(spark, tmp_path):
     sales(spark).selectExpr("* except (InvoiceDate)", "cast(InvoiceDate as timestamp_ntz) InvoiceDate").write.parquet(path)
     staged = read_sales_parquet(spark, path)
     assert dict(staged.dtypes)["InvoiceDate"] == "timestamp"
-    assert staged.filter("InvoiceNo = 'A1'").first()["InvoiceDate"] == datetime(2011, 1, 1)
+    assert staged.filter("InvoiceNo = 'K1'").first()["InvoiceDate"] == datetime(2011, 1, 1)
 
 
 def json_file(folder, value):
@@ -122,7 +136,7 @@ def test_too_few_countries_fail(spark, tmp_path):
 
 
 def test_countries_must_be_a_list(spark, tmp_path):
-    with pytest.raises(Exception, match="non-list"):
+    with pytest.raises(Exception, match="no JSON list"):
         read_countries(spark, json_file(tmp_path / "c", {"oops": True}))
 
 
@@ -174,7 +188,7 @@ def test_bounds_are_included(spark, tmp_path, rate):
 
 @pytest.mark.parametrize("rate, currency", [(9.99, "EUR"), (0.49, "EUR"), (None, "EUR"), (1.17, "USD")])
 def test_rates_out_of_bounds_fail(spark, tmp_path, rate, currency):
-    with pytest.raises(ContractViolation, match="sanity bounds"):
+    with pytest.raises(ContractViolation, match="not within"):
         read_fx_rates(spark, fx_files(tmp_path / "f", rated("2011-01-01", rate, currency)))
 
 
@@ -215,3 +229,48 @@ def test_mark_round_trip(spark, tmp_path):
     aware = utc("2011-12-10T00:00:00.000005")
     update_watermark(spark, path, aware)
     assert get_last_watermark(spark, path) == aware
+
+
+def test_marks_do_not_pile_up(spark, tmp_path):
+    path = tmp_path / "meta"
+    for day in range(1, 6):
+        update_watermark(spark, str(path), datetime(2011, 12, day))
+    assert len(list(path.glob("part-*"))) == 1
+    assert get_last_watermark(spark, str(path)) == utc("2011-12-05")
+
+
+def test_the_feed_decides_about_line_breaks(spark, tmp_path):
+    with pytest.raises(TypeError, match="multi_line"):
+        sales_source.read_sales_csv(spark, str(tmp_path))
+
+
+def test_stray_dates_are_refused(spark, tmp_path):
+    path = fx_files(tmp_path / "f", rated("2011-01-01", 1.1), rated("9999-01-01", 1.1))
+    with pytest.raises(ContractViolation, match="span more than"):
+        read_fx_rates(spark, path)
+
+
+def test_colliding_country_names_are_refused(spark):
+    check_unique_countries(normalize_countries(countries(spark)))
+    twice = countries(spark, [("Norway", "Europe", 1), (" NORWAY", "Europe", 1)])
+    with pytest.raises(ContractViolation, match="collide"):
+        check_unique_countries(normalize_countries(twice))
+
+
+def test_accounts():
+    counters = {"rows_in": 3, "dropped": 1, "rows_out": 2}
+    check_accounts(counters, 2)
+    for broken, lines in (({**counters, "dropped": 0}, 2), (counters, 1), (counters, 3)):
+        with pytest.raises(ContractViolation):
+            check_accounts(broken, lines)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_amounts_too_large_for_exact_sums_fail(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        frame = spark.createDataFrame([(2e14,), (5.0,), (None,)], "v double")
+        with pytest.raises(Exception, match="too large to sum"):
+            frame.agg(exact_sum(frame.v)).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

@@ -6,20 +6,27 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from basketry.llm.common import bounded_slices, ship_package, texts
-from basketry.llm.pretokens import Remembered
 
 #: Ids of a block, at least; it ends with the document that fills it.
 BLOCK_IDS = 1 << 16
 #: Words that are encoded in one string.
-_AT_ONCE = 256
+_AT_ONCE = 64
+#: Bytes of texts that are encoded at a time.
+_SLICE = 16 << 20
+#: Words without white space beyond doubt; letters before a mark; the marks.
+_FINE = r"^\n?[!-~\x{A1}-\x{AC}\x{AE}-\x{24F}]+$"
+_MARKED = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}]+[.,]$"
+_MARKS = ".,"
 
 _BLOCK = (
     "part int, block int, first_id long, n_ids long, width int, doc_ids array<long>, sizes array<long>, payload binary"
@@ -55,61 +62,100 @@ def unpack(payload: bytes, width: int, start: int, n: int) -> np.ndarray:
     return np.packbits(wide, 1, bitorder="little").view("<u4").ravel()
 
 
-@lru_cache(maxsize=2)
-def encoder(tokenizer_json: str):
-    """Texts to ids as little-endian bytes of four each; one per Python worker.
+class Encoder:
+    """Texts to ids, whole columns at a time.
 
     The tokenizer splits before white space anyway. So a text whose words are parted by single spaces and line ends is
-    cut there, and a word that came before is not merged again. Any other text is encoded in one go.
+    cut there, and the distinct words of a column are encoded once, many side by side. Any other text is encoded
+    in one go.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals the work out
-    tokenizer = Tokenizer.from_str(tokenizer_json)
-    lengths = np.array([len(tokenizer.id_to_token(i) or "") for i in range(_size(tokenizer))], np.int64)
-    special = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
-
-    def ids_of(text: str) -> np.ndarray:
-        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def side_by_side(words: list[str]) -> Iterator[bytes]:
-        """Words with the white space before them, many in one text: no token reaches over it."""
-        for start in range(0, len(words), _AT_ONCE):
-            part = words[start : start + _AT_ONCE]
-            ids = ids_of("".join(part))
-            # A token has as many letters as bytes, so bytes tell where a word's tokens end.
-            ends = np.cumsum([len(w.encode()) for w in part])
-            cuts = (4 * (np.searchsorted(np.cumsum(lengths[ids]), ends) + 1)).tolist()
-            data = ids.tobytes()
-            yield from map(data.__getitem__, map(slice, [0, *cuts[:-1]], cuts))
-
-    letters = Remembered(side_by_side)
-    marks = {mark: ids_of(mark).tobytes() for mark in ".,"}
-
-    def with_marks(words: list[str]) -> Iterator[bytes | bool]:
-        """``words`` lack their space, but have their line end. Not a single word after all: False."""
-        single = [len(w.split()) == 1 and w.rfind("\n") < 1 and not any(s in w for s in special) for w in words]
-        single = [s and not w[-1].isspace() and (w[0] == "\n" or not w[0].isspace()) for w, s in zip(words, single)]
-        spaced = [w if w[:1] == "\n" else " " + w for w in words]
-        # A mark after letters is a piece of its own, so the letters may be known from elsewhere.
-        cut = [w[-1:] in marks and w[:-1].isalpha() for w in words]
-        asked = [s[:-1] if c else s for s, c, ok in zip(spaced, cut, single) if ok]
-        found = iter(letters.look_up([asked])[0])
-        return (next(found) + (marks[w[-1]] if c else b"") if ok else False for w, c, ok in zip(words, cut, single))
-
-    known = Remembered(with_marks)
-
-    def encode(texts: list[str]) -> list[bytes]:
-        rows = [text.replace("\n", " \n").split(" ") for text in texts]
-        heads = [row.pop(0) for row in rows]
-        found = known.look_up(rows)
-        plain = [len(h.split()) == 1 and h.split()[0] == h and False not in f for h, f in zip(heads, found)]
-        plain = [p and not any(s in h for s in special) for p, h in zip(plain, heads)]
-        first = tokenizer.encode_batch_fast(
-            [h if p else text for h, p, text in zip(heads, plain, texts)], add_special_tokens=False
-        )
-        starts = [np.array(c.ids, "<u4").tobytes() for c in first]
-        return [b"".join([start, *rest]) if p else start for start, rest, p in zip(starts, found, plain)]
-
-    return encode
+
+    def __init__(self, tokenizer_json: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals the work out
+        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(_size(self.tokenizer))]
+        self.lengths = np.array([len(t) for t in tokens], np.int64)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [c.ids for c in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _is_word(self, word: str) -> bool:
+        return word.split() == [word] and not any(s in word for s in self.special)
+
+    def _broken(self, words: pa.StringArray) -> np.ndarray:
+        """Which of them, apart from a line end in front, are not a single word."""
+        fine = pc.match_substring_regex(words, _FINE)
+        for special in self.special:
+            fine = pc.and_not(fine, pc.match_substring(words, special))
+        broken = ~fine.to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(broken):
+            word = words[int(i)].as_py()
+            broken[i] = not self._is_word(word[1:] if word[:1] == "\n" else word)
+        return broken
+
+    def _side_by_side(self, words: pa.StringArray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that each begin with white space, and how many each has: no token reaches over it."""
+        found = []
+        for start in range(0, len(words), 500 * _AT_ONCE):  # what the library returns takes far more room than ids
+            data = words.slice(start, 500 * _AT_ONCE).to_pylist()
+            ids = self._ids(["".join(data[i : i + _AT_ONCE]) for i in range(0, len(data), _AT_ONCE)])
+            found.append(np.fromiter(chain.from_iterable(ids), np.uint32, sum(map(len, ids))))
+        flat = np.concatenate(found) if found else np.empty(0, np.uint32)
+        # A token has as many letters as bytes, so bytes tell where a word's tokens end.
+        ends = np.searchsorted(np.cumsum(self.lengths[flat]), np.cumsum(lengths)) + 1
+        return flat, np.diff(ends, prepend=0)
+
+    def encode(self, texts: pa.StringArray, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and how many each text has, with ``end_id`` after each if given."""
+        n = len(texts)
+        if not n:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        starts, sizes = bounds[:-1] - bounds[0], np.diff(bounds)
+        coded = pc.dictionary_encode(lists.flatten())
+        places, words = coded.indices.to_numpy(), coded.dictionary
+
+        # A mark after letters is a piece of its own, so words share what comes before it.
+        marked = pc.match_substring_regex(words, _MARKED).to_numpy(zero_copy_only=False)
+        stems = pc.if_else(pa.array(marked), pc.utf8_slice_codeunits(words, 0, -1), words)
+        stems = pc.dictionary_encode(stems)
+        stem_of, stems = stems.indices.to_numpy(), stems.dictionary
+        broken = self._broken(stems)
+        spaced = pc.if_else(pc.starts_with(stems, "\n"), stems, pc.binary_join_element_wise(" ", stems, ""))
+        spaced = pc.if_else(pa.array(broken), pa.scalar(" -"), spaced)
+        values, counts = self._side_by_side(spaced, pc.binary_length(spaced).to_numpy().astype(np.int64))
+
+        # A text's first word has nothing before it; a text with anything but single words is one piece.
+        inner = broken[stem_of][places]
+        inner[starts] = False
+        heads = words.take(pa.array(places[starts])).to_pylist()
+        plain = (np.add.reduceat(inner, starts) == 0) & [self._is_word(h) for h in heads]
+        firsts = self._ids([h if p else t.as_py() for h, p, t in zip(heads, plain, texts)])
+        extra = [*firsts, [], [] if end_id is None else [end_id], *self._ids(list(_MARKS))]
+        empty = len(stems) + n
+        counts = np.concatenate((counts, [len(e) for e in extra]))
+        values = np.concatenate((values, np.fromiter(chain.from_iterable(extra), np.uint32)))
+
+        # Two entries for each word, its stem and its mark, and one for the end of each text.
+        mark_of = np.full(len(words), empty)
+        for i, mark in enumerate(_MARKS):
+            mark_of[marked & pc.ends_with(words, mark).to_numpy(zero_copy_only=False)] = empty + 2 + i
+        entries = np.stack((stem_of[places], mark_of[places]), 1)
+        entries[np.repeat(~plain, sizes)] = empty
+        entries[starts] = np.stack((len(stems) + np.arange(n), np.full(n, empty)), 1)
+        entries = np.insert(entries.ravel(), 2 * (starts + sizes), empty + 1)
+        offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+        pieces = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+        ids = pieces.take(pa.array(entries)).flatten().to_numpy()
+        return ids, np.add.reduceat(counts[entries], 2 * starts + np.arange(n))
+
+
+@lru_cache(maxsize=2)
+def encoder(tokenizer_json: str) -> Encoder:
+    """One per Python worker."""
+    return Encoder(tokenizer_json)
 
 
 def _size(tokenizer: Tokenizer) -> int:
@@ -120,13 +166,14 @@ def _blocks(shared, end_id: int, width: int, block_ids: int):
     """Documents of a part, in order, to its blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_ids = encoder(shared.value)
-        end = np.array([end_id], "<u4").tobytes()
+        coder = encoder(shared.value)
         part = block = first = n = 0
-        docs, sizes, held = [], [], []
+        docs: list = []
+        sizes: list[int] = []
+        held: list[np.ndarray] = []
 
         def made() -> pa.RecordBatch:
-            payload = pack(np.frombuffer(b"".join(held), "<u4"), width)
+            payload = pack(np.concatenate(held), width)
             values = [part, block, first, n, width, docs, sizes, payload]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
             kinds += [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
@@ -134,13 +181,16 @@ def _blocks(shared, end_id: int, width: int, block_ids: int):
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
 
         for batch in batches:
-            for rows in bounded_slices(batch, 1):
+            for rows in bounded_slices(batch, 1, _SLICE):
                 part = rows.column(2)[0].as_py()
-                for doc, ids in zip(rows.column(0).to_pylist(), to_ids(rows.column(1).to_pylist())):
+                ids, counts = coder.encode(rows.column(1).cast(pa.string()), end_id)
+                at = 0
+                for doc, count in zip(rows.column(0).to_pylist(), counts.tolist()):
                     docs.append(doc)
-                    sizes.append(len(ids) // 4 + 1)
-                    held += [ids, end]
-                    n += sizes[-1]
+                    sizes.append(count)
+                    held.append(ids[at : at + count])
+                    at += count
+                    n += count
                     if n >= block_ids:
                         yield made()
                         block, first, n = block + 1, first + n, 0

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -33,7 +34,9 @@ def hf():
     return Tokenizer.from_str(JSON)
 
 
-TEXTS = st.text(st.sampled_from("ab éß漢\U0001f600 \n\t  \x85\x1c.,'s1<|>") | st.characters(codec="utf-8"), max_size=60)
+TEXTS = st.lists(st.sampled_from([" the", " The.", "\nof", " <|endoftext|>", " ß,", " été.", " ,", " a.b", "x", " "])).map(
+    "".join
+) | st.text(st.sampled_from("ab éß漢\U0001f600 \n\t  \x85\x1c.,'s1<|>") | st.characters(codec="utf-8"), max_size=60)
 
 
 @settings(max_examples=200, deadline=None)
@@ -44,15 +47,16 @@ def test_encoders_agree_with_the_libraries(texts):
     library = _tik(ranks)
     assert [c.tolist() for c in coded] == [library.encode_ordinary(t) for t in texts]
     assert [byte_bpe.decoder(MODEL)(c.tolist()) for c in coded] == [t.encode() for t in texts]
-    packed = token_files.encoder(JSON)(texts)
-    whole = Tokenizer.from_str(JSON) if not _hf else _hf[0]
-    _hf[:] = [whole]
-    assert [np.frombuffer(p, "<u4").tolist() for p in packed] == [
-        c.ids for c in whole.encode_batch(texts, add_special_tokens=False)
-    ]
+    coder = token_files.encoder(JSON)
+    for end_id in (None, 2):
+        ids, counts = coder.encode(pa.array(texts, pa.string()), end_id)
+        cut = np.split(ids, np.cumsum(counts)[:-1]) if texts else []
+        end = [] if end_id is None else [end_id]
+        assert [c.tolist() for c in cut] == [
+            [*c.ids, *end] for c in coder.tokenizer.encode_batch(texts, add_special_tokens=False)
+        ]
 
 
-_hf: list = []
 _tiks: list = []
 
 

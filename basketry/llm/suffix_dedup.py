@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -305,7 +304,6 @@ def _sort_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for part in bounded_slices(batch, batch.schema.get_field_index("data"), PIECE // 4):
             rows = pa.Table.from_batches([part])
-            rows = rows.filter(pc.invert(rows.column("hot")))
             held.append(rows)
             size += rows.nbytes
             if size < PIECE:
@@ -329,10 +327,6 @@ def _cut_batches(width: int):
         for batch in batches:
             for part in bounded_slices(batch, batch.schema.get_field_index("data")):
                 rows = pa.Table.from_batches([part])
-                if "hot" in rows.column_names:
-                    rows = rows.filter(rows.column("hot"))
-                if not rows.num_rows:
-                    continue
                 texts = rows.column("data").to_pylist()
                 lengths = np.array([len(t) for t in texts], np.int64)
                 hashes = prefix_hashes(np.frombuffer(b"".join(texts), np.uint8))
@@ -364,12 +358,15 @@ def _cut_batches(width: int):
 _PART = "g long, c long, known boolean, k1 long, k2 int, lo long, n long, offset long, data binary"
 
 
-def _classified(rows: DataFrame, by: str = "g") -> DataFrame:
-    """Rows whose ``by`` is not alone, with ``alike``: whether all of them cover the same bytes."""
-    groups = rows.groupBy(by).agg(
-        F.count("*").alias("together"), F.min("c").alias("least"), F.max("c").alias("most")
-    ).filter("together > 1").select(by, (F.col("least") == F.col("most")).alias("alike"))
-    return rows.join(groups.hint("shuffle_merge"), by)
+def _classified(rows: DataFrame, name: str, by: str = "g") -> DataFrame:
+    """Rows whose ``by`` is not alone, with ``alike``: whether all of them cover the same bytes.
+
+    The groups are written first. So the join reads both sides as plain shuffles, and adaptive execution splits
+    the partition of a hot group.
+    """
+    groups = rows.groupBy(by).agg(F.count("*").alias("together"), F.min("c").alias("least"), F.max("c").alias("most"))
+    some = groups.filter("together > 1").select(by, (F.col("least") == F.col("most")).alias("alike"))
+    return rows.join(stage(some, name).hint("shuffle_merge"), by)
 
 
 def repeated_spans(docs: DataFrame, sorted_limit: int = SORTED) -> DataFrame:
@@ -378,7 +375,7 @@ def repeated_spans(docs: DataFrame, sorted_limit: int = SORTED) -> DataFrame:
     ``sorted_limit``: surroundings of one anchor that are put into suffix order in one task.
     """
     runs = docs.mapInArrow(_anchor_batches, "h long, c long, k1 long, k2 int, run long")
-    together = stage(_classified(runs, "h"), "anchors")
+    together = stage(_classified(runs, "anchors", "h"), "runs")
     start, more = F.shiftright("run", 16), F.col("run").bitwiseAND(F.lit(0xFFFF))
     span = (start.alias("lo"), (start + more + LENGTH).alias("hi"))
     alike = together.filter("alike").select("k1", "k2", *span)
@@ -392,21 +389,23 @@ def repeated_spans(docs: DataFrame, sorted_limit: int = SORTED) -> DataFrame:
     copies = mixed.select("h", "c", "k1", "k2", "run").join(
         kinds.filter("known").select("h", "c").hint("shuffle_merge"), ["h", "c"]
     ).select("k1", "k2", *span)
-    hot = kinds.groupBy("h").count().select("h", (F.col("count") > sorted_limit).alias("hot"))
-    wanted = kinds.join(hot, "h").groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "run", "known", "hot")).alias("wanted"))
-
-    contexts = docs.join(wanted, ["k1", "k2"]).select("k1", "k2", "data", "wanted").mapInArrow(_context_batches, _CONTEXT)
-    dealt = contexts.repartition("g")
-    sorted_spans = dealt.sortWithinPartitions("g").mapInArrow(_sort_batches, _SPAN)
+    hot = stage(kinds.groupBy("h").count().filter(F.col("count") > sorted_limit).select("h"), "hot-anchors")
+    marked = kinds.join(hot.withColumn("hot", F.lit(True)).hint("shuffle_merge"), "h", "left")
+    one = F.struct("h", "run", "known", F.coalesce("hot", F.lit(False)).alias("hot"))
+    wanted = marked.groupBy("k1", "k2").agg(F.collect_list(one).alias("wanted"))
+    found = docs.join(wanted, ["k1", "k2"]).select("k1", "k2", "data", "wanted")
+    contexts = stage(found.mapInArrow(_context_batches, _CONTEXT), "contexts")
+    dealt = contexts.filter("not hot").repartition("g").sortWithinPartitions("g")
+    sorted_spans = dealt.mapInArrow(_sort_batches, _SPAN)
 
     # Hot anchors: cut by cut by hash, and what is still mixed string by string.
-    of_part = (F.col("lo"), (F.col("lo") + F.col("n") - 1 + LENGTH).alias("hi"))
-    cuts = _classified(dealt.mapInArrow(_cut_batches(CUT), _PART))
-    strings = _classified(cuts.filter("not alike").drop("alike").mapInArrow(_cut_batches(1), _PART).drop("data"))
-    found = [
-        rows.filter("alike and not known").select("k1", "k2", *of_part) for rows in (cuts.drop("data"), strings)
-    ]
-    return alike.union(copies).union(sorted_spans).union(found[0]).union(found[1])
+    whole = (F.col("lo"), (F.col("lo") + F.col("n") - 1 + LENGTH).alias("hi"))
+    cuts = stage(contexts.filter("hot").mapInArrow(_cut_batches(CUT), _PART), "cuts")
+    cuts = _classified(cuts, "cut-groups")
+    strings = cuts.filter("not alike").drop("alike").mapInArrow(_cut_batches(1), _PART).drop("data")
+    parts = [cuts.drop("data"), _classified(strings, "string-groups")]
+    hot_spans = [rows.filter("alike and not known").select("k1", "k2", *whole) for rows in parts]
+    return alike.union(copies).union(sorted_spans).union(hot_spans[0]).union(hot_spans[1])
 
 
 def _merged(spans) -> list[tuple[int, int]]:
@@ -476,7 +475,7 @@ def remove_repeats(
     An anchor with more than ``sorted_limit`` different surroundings is cut up by hash instead, in counts that are
     combined before the shuffle, so nothing of it has to meet in one task.
 
-    Texts are shuffled once, and a task works on about a megabyte of them at a time. Null or short text: nothing is
+    Texts are shuffled twice, once to fetch what is sorted and once to cut, and a task works on about a megabyte of them at a time. Null or short text: nothing is
     removed. Null ids stay null. Repeated rows repeat each other: all lose their strings. An empty table gives no
     rows; other columns are dropped, whatever their names.
     """

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm import (
     byte_bpe,
+    oracles,
     order_minhash,
     packing,
     quality_rules,
@@ -122,4 +123,4 @@ QUERIES = {
     "op10_url_filter": op10_url_filter,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op5_suffix_dedup": oracles.repeats(), "op8_quality_rules": oracles.quality()}

@@ -6,7 +6,7 @@ from collections import Counter
 
 import corpus_pipeline
 import pytest
-from conftest import table
+from rows import table
 from test_near_duplicates import plain_components, plain_mark, plain_removed
 from test_packing import check
 

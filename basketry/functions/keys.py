@@ -20,7 +20,8 @@ def float_text(col: Column) -> Column:
     """A double as Python prints it: plain digits from 1e-4 up to 1e16, ``1e-05`` style outside.
 
     Spark switches to its ``1.0E7`` style earlier (from 1e7 and below 1e-3). Between the two limits
-    the digits are moved with a decimal cast; beyond them the exponent is re-spelled. Kept short:
+    the digits are moved with a decimal cast; beyond them the exponent is re-spelled. From 1e16 on, the JVM
+    prints more digits than Python for about half of all doubles, so keys of such prices differ from stored ones. Kept short:
     with the rest of the fact it must fit the 8000 bytes of bytecode the JVM is willing to compile.
     """
     shown = col.cast("string")

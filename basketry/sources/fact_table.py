@@ -172,7 +172,8 @@ def upsert_into(spark: SparkSession, path: str, batch: DataFrame, grain: str = "
 
     changes = classify(touched(target), batch, unique_target=True).filter(F.col("_change").isin(INSERT, UPDATE))
     with run_scratch(spark, "upsert"):
-        return {"records": records, **_apply(spark, path, target, stage(changes.withColumn(PERIOD, period), "changes"), grain)}
+        changes = stage(changes.withColumn(PERIOD, period), "changes")
+        return {"records": records, **_apply(spark, path, target, changes, grain)}
 
 
 def _apply(spark: SparkSession, path: str, target: DataFrame, changes: DataFrame, grain: str) -> dict[str, int]:

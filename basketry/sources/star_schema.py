@@ -44,8 +44,12 @@ def _named(names: dict[int, str]):
     return F.coalesce(F.create_map(*entries)[F.col("n_nationkey")], F.col("n_name"))
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One sales line per line item. Small sides are broadcast by their measured file size."""
+def sales(spark: SparkSession, sf_dir: str, spread: int | None = None) -> DataFrame:
+    """One sales line per line item. Small sides are broadcast by their measured file size.
+
+    ``spread``: deal the lines to so many partitions first. That is a full shuffle, for callers who know that a table
+    is one small file of one row group, which a scan cannot split; it is off by default.
+    """
     buyers = (
         _table(spark, sf_dir, "orders")
         .join(_table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey"))
@@ -54,6 +58,8 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem").join(buyers, F.col("l_orderkey") == F.col("o_orderkey")).join(
         _table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey")
     )
+    if spread:
+        lines = lines.repartition(spread, "o_orderkey", "l_partkey")
     quantity = F.when(F.col("o_orderkey") % 41 == 0, -F.col("l_quantity")).otherwise(F.col("l_quantity"))
     derived = {
         "InvoiceNo": F.col("o_orderkey"),
@@ -93,13 +99,15 @@ def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def land_sales(spark: SparkSession, sf_dir: str, folder: str, mark: str) -> dict[str, str]:
+def land_sales(
+    spark: SparkSession, sf_dir: str, folder: str, mark: str, spread: int | None = None
+) -> dict[str, str]:
     """Write the derived sales as CSV files with a header, the lines up to ``mark`` and the newer ones apart.
 
     One scan writes both folders.
     """
     part = F.when(F.col("InvoiceDate") <= F.lit(mark).cast("timestamp"), "early").otherwise("late")
-    sales(spark, sf_dir).withColumn("part", part).write.partitionBy("part").csv(
+    sales(spark, sf_dir, spread).withColumn("part", part).write.partitionBy("part").csv(
         f"{folder}/sales",
         header=True,
         encoding="ISO-8859-1",

@@ -26,7 +26,8 @@ def load_stream(
 
     A micro-batch that runs again after a failure upserts the same keys, so the fact holds each of
     them once. Which files are new is the checkpoint's business; the high-water mark filter belongs
-    to the batch runs only. What a micro-batch stages goes once it is loaded. ``once`` stops when all landed files are loaded.
+    to the batch runs only. What a micro-batch stages goes once it is loaded. ``once`` stops when all
+    landed files are loaded.
     """
 
     def load(lines: DataFrame, batch_id: int) -> None:

@@ -11,7 +11,8 @@ from basketry.operators.clean import clean_sales
 from basketry.operators.enrich import enrich_with_countries, normalize_countries, normalize_sales
 from basketry.operators.upsert import classify
 from basketry.plans.transform import to_fact
-from basketry.session import stage
+from basketry import session
+from basketry.session import fit_shuffles, input_bytes, stage
 from basketry.sources import star_schema as star
 from basketry.sources.fact_table import read_fact, upsert_into
 from basketry.sources.sales import newer_than
@@ -68,6 +69,31 @@ def test_upsert_sorts_no_stored_rows_before_the_shuffle(spark, tmp_path):
     assert batch.count("HashAggregate") == 2 and "partial_count" in batch and "partial_min" in batch
 
 
+def test_reference_scans_land_no_sales(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("sales were landed")
+
+    monkeypatch.setattr(star, "land_sales", refuse)
+    assert registered.queries()["countries_json_scan"](spark, SF_DIR).count() == 25
+    assert registered.queries()["fx_json_scan"](spark, SF_DIR).count() > 0
+
+
+def test_shuffles_are_sized_by_the_input(spark, tmp_path, monkeypatch):
+    for name, size in (("a.csv", 1000), ("b.csv", 500)):
+        (tmp_path / name).write_bytes(b"x" * size)
+    assert input_bytes(spark, [str(tmp_path), str(tmp_path / "none")]) == 1500
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    fit_shuffles(spark, [str(tmp_path)])
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before  # the submitter's setting stays
+    monkeypatch.setattr(type(spark.sparkContext.getConf()), "contains", lambda *_: False)
+    monkeypatch.setattr(session, "input_bytes", lambda *_: 100 * 2**30)
+    try:
+        fit_shuffles(spark, [str(tmp_path)])
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "400"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_stored_fact_is_pruned_by_period_and_time(spark, tmp_path):
     path = str(tmp_path / "fact")
     rows = [fact_row(row_hash=m, invoice_date=utc(f"2011-{m}-01")) for m in ("01", "02", "03")]

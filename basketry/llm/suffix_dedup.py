@@ -403,6 +403,7 @@ def repeated_spans(docs: DataFrame, sorted_limit: int = SORTED) -> DataFrame:
     cuts = stage(contexts.filter("hot").mapInArrow(_cut_batches(CUT), _PART), "cuts")
     cuts = _classified(cuts, "cut-groups")
     strings = cuts.filter("not alike").drop("alike").mapInArrow(_cut_batches(1), _PART).drop("data")
+    strings = stage(strings, "strings")
     parts = [cuts.drop("data"), _classified(strings, "string-groups")]
     hot_spans = [rows.filter("alike and not known").select("k1", "k2", *whole) for rows in parts]
     return alike.union(copies).union(sorted_spans).union(hot_spans[0]).union(hot_spans[1])
@@ -475,8 +476,8 @@ def remove_repeats(
     An anchor with more than ``sorted_limit`` different surroundings is cut up by hash instead, in counts that are
     combined before the shuffle, so nothing of it has to meet in one task.
 
-    Texts are shuffled twice, once to fetch what is sorted and once to cut, and a task works on about a megabyte of them at a time. Null or short text: nothing is
-    removed. Null ids stay null. Repeated rows repeat each other: all lose their strings. An empty table gives no
+    Texts are shuffled twice, once to fetch what is sorted and once to cut, and a task works on about a megabyte of
+    them at a time. Null or short text: nothing is removed. Null ids stay null. Repeated rows repeat each other: all lose their strings. An empty table gives no
     rows; other columns are dropped, whatever their names.
     """
     ship_package(df.sparkSession)

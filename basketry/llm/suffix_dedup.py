@@ -26,7 +26,7 @@ CUT = 16
 _BASE = 0x9E3779B97F4A7C15
 #: Stands for a null id in keys.
 _NO_ID = -(1 << 63)
-_SPAN = "k1 long, k2 int, lo long, hi long"
+_SPAN = "k1 long, k2 long, lo long, hi long"
 _ROOM = PIECE + 64 * 1024
 _powers: list[np.ndarray] = []
 
@@ -168,11 +168,11 @@ def _anchor_of(data: bytes) -> int:
 
 
 def _contexts(out: list[list], names: list[str]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    kinds = [pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     return _batch([pa.array(v, k) for v, k in zip(out, kinds)], names)
 
 
-_CONTEXT = "g long, hot boolean, known boolean, k1 long, k2 int, lo long, n long, offset long, data binary"
+_CONTEXT = "g long, hot boolean, known boolean, k1 long, k2 long, lo long, n long, offset long, data binary"
 
 
 class _Suffixes:
@@ -296,7 +296,7 @@ def _sort_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 los, his = _spans_of(found, lo)
                 for column, value in zip(out, ([k1] * len(los), [k2] * len(los), los.tolist(), his.tolist())):
                     column += value
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64()]
         return _batch([pa.array(v, k) for v, k in zip(out, kinds)], ["k1", "k2", "lo", "hi"])
 
     held: list[pa.Table] = []
@@ -355,7 +355,7 @@ def _cut_batches(width: int):
     return run
 
 
-_PART = "g long, c long, known boolean, k1 long, k2 int, lo long, n long, offset long, data binary"
+_PART = "g long, c long, known boolean, k1 long, k2 long, lo long, n long, offset long, data binary"
 
 
 def _classified(rows: DataFrame, name: str, by: str = "g") -> DataFrame:
@@ -374,7 +374,7 @@ def repeated_spans(docs: DataFrame, sorted_limit: int = SORTED) -> DataFrame:
 
     ``sorted_limit``: surroundings of one anchor that are put into suffix order in one task.
     """
-    runs = docs.mapInArrow(_anchor_batches, "h long, c long, k1 long, k2 int, run long")
+    runs = docs.mapInArrow(_anchor_batches, "h long, c long, k1 long, k2 long, run long")
     together = stage(_classified(runs, "anchors", "h"), "runs")
     start, more = F.shiftright("run", 16), F.col("run").bitwiseAND(F.lit(0xFFFF))
     span = (start.alias("lo"), (start + more + LENGTH).alias("hi"))
@@ -448,7 +448,7 @@ def _keys(id_column: str, text_column: str) -> list[Column]:
     text = F.coalesce(quoted(text_column), F.lit(""))
     return [
         F.coalesce(quoted(id_column).cast("long"), F.lit(_NO_ID).cast("long")).alias("k1"),
-        F.hash(text).alias("k2"),
+        F.xxhash64(text).alias("k2"),
         text.cast("binary").alias("data"),
     ]
 

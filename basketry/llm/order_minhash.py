@@ -13,6 +13,8 @@ K, TUPLE, TUPLES = 3, 2, 32
 PIECE = 16
 #: Ranges of ids for each shuffle partition.
 RANGES_PER_PARTITION = 4
+#: The driver holds no more bounds than this, and a row is placed by two searches over the square root of it.
+MAX_RANGES = 20_000
 
 
 def _kmers(words: Column, k: int) -> Column:
@@ -132,7 +134,7 @@ def with_next(df: DataFrame, id_column: str, *columns: str) -> DataFrame:
     last. If no id is known, all rows are one range.
     """
     spark, key = df.sparkSession, F.col(id_column)
-    ranges = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(MAX_RANGES, RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
     wanted = [(i + 1) / ranges for i in range(ranges)]
     quantiles = df.agg(F.percentile_approx(key, wanted, 10 * ranges)).first()[0]
     bounds = sorted(set(quantiles or []))

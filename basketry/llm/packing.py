@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import quoted, ship_package
+from basketry.session import stage
 
 #: Words a bin holds.
 CAPACITY = 2048
@@ -108,15 +109,19 @@ def pack(
     ship_package(df.sparkSession)
     text = F.coalesce(quoted(text_column), F.lit(""))
     same = F.xxhash64(F.regexp_replace(F.lower(text), r"[\x20\x09-\x0D]+", " "))
-    groups = max(1, -(-df.count() // group_rows))
-    rows = df.select(
+    # Three uses below, of a few numbers each; the texts are read once.
+    measured = stage(df.select(
         quoted(id_column).cast("long").alias("doc_id"),
         quoted(source_column).cast("string").alias("source"),
         (quoted(cluster_column).cast("string") if cluster_column else same.cast("string")).alias("cluster"),
         count_words(text).alias("n_words"),
         # Repeated rows share all columns, so their place in the input deals them out.
-        F.pmod(F.xxhash64(quoted(id_column), same, F.monotonically_increasing_id()), F.lit(groups)).alias("pack_group"),
-    ).withColumn("rest", F.col("n_words") % capacity)
+        F.xxhash64(quoted(id_column), same, F.monotonically_increasing_id()).alias("deal"),
+    ), "measured")
+    groups = max(1, -(-measured.count() // group_rows))
+    rows = measured.withColumns(
+        {"pack_group": F.pmod("deal", F.lit(groups)), "rest": F.col("n_words") % capacity}
+    )
     whole = rows.filter(F.col("n_words") >= capacity).withColumn(
         "piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("n_words") / capacity) - 1))
     )

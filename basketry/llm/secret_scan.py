@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import quoted, texts
+from basketry.session import stage
 
 #: A run of the characters keys are made of.
 CANDIDATE = r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}+={0,2}"
@@ -153,7 +154,8 @@ def train(
     rows = df.select(F.coalesce(quoted(text_column), F.lit("")).alias("text"))
     dictionary = common_words(rows)
     if findings is None:
-        contexts = _with_pieces(rows, "text").select(F.explode(_contexts()).alias("c")).select("c.*")
+        # Looked for once, used several times.
+        contexts = stage(_with_pieces(rows, "text").select(F.explode(_contexts()).alias("c")).select("c.*"), "candidates")
         findings = contexts.withColumn("label", label(F.col("found"), F.col("before")))
     known = findings.filter(F.col("label").isin(0, 1)).select(
         *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("found", "before", "after")],
@@ -162,7 +164,7 @@ def train(
     low = F.xxhash64("found", "before", "after")
     chosen = [known.filter(F.col("label") == y).orderBy(low, "found", "before").limit(per_class) for y in (0, 1)]
     values = features(F.col("found"), F.col("before"), F.col("after"), dictionary)
-    sample = chosen[0].union(chosen[1]).select("label", array_to_vector(values).alias("features"))
+    sample = stage(chosen[0].union(chosen[1]), "findings").select("label", array_to_vector(values).alias("features"))
     if sample.select("label").distinct().count() < 2:
         return Forest((), tuple(dictionary))
     grower = RandomForestClassifier(labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED)

@@ -22,7 +22,7 @@ BLOCK_IDS = 1 << 16
 #: Words that are encoded in one string.
 _AT_ONCE = 64
 #: Bytes of texts that are encoded at a time.
-_SLICE = 16 << 20
+_SLICE = 10 << 20
 #: Words without white space beyond doubt; letters before a mark; the marks.
 _FINE = r"^\n?[!-~\x{A1}-\x{AC}\x{AE}-\x{24F}]+$"
 _MARKED = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}]+[.,]$"
@@ -142,7 +142,7 @@ class Encoder:
         mark_of = np.full(len(words), empty)
         for i, mark in enumerate(_MARKS):
             mark_of[marked & pc.ends_with(words, mark).to_numpy(zero_copy_only=False)] = empty + 2 + i
-        entries = np.stack((stem_of[places], mark_of[places]), 1)
+        entries = np.stack((stem_of[places], mark_of[places].astype(np.int32)), 1)
         entries[np.repeat(~plain, sizes)] = empty
         entries[starts] = np.stack((len(stems) + np.arange(n), np.full(n, empty)), 1)
         entries = np.insert(entries.ravel(), 2 * (starts + sizes), empty + 1)

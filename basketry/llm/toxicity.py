@@ -22,7 +22,7 @@ HASH_BITS = 40
 #: Features in fewer fitted documents than this cannot pass the L1 threshold and are left out before.
 MIN_DOCUMENTS = 4
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 6.0, 0.1
-EPOCHS = 10
+EPOCHS = 20
 THRESHOLD = 0.7
 #: Letters of a word's stem, so that inflected forms share a feature.
 STEM = 5

@@ -221,11 +221,14 @@ def drop_near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column:
     first = parts.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "component_id").agg(
         F.min("text_key").alias("text_key")
     )
-    keep = first.select(F.struct(F.col("component_id").alias("i"), F.col("text_key").alias("k")).alias("kept"))
+    kept = F.struct(F.col("component_id").alias("i"), F.col("text_key").alias("k"))
+    keep = first.select(kept.cast("struct<i:bigint,k:bigint>").alias("kept"))
     text_key = F.xxhash64(F.coalesce(quoted(text_column), F.lit("")))
     keyed = df.select(
         F.struct(*[quoted(c) for c in df.columns]).alias("row"),
-        F.struct(quoted(id_column).cast("long").alias("i"), text_key.alias("k")).alias("own"),
+        # As nullable as the other side's: else the join casts it, and the step after it shuffles the texts again.
+        F.struct(quoted(id_column).cast("long").alias("i"), text_key.alias("k")).cast("struct<i:bigint,k:bigint>").alias("own"),
     )
-    joined = keyed.join(keep, F.col("own").eqNullSafe(F.col("kept")), "left_semi")
+    # Inside a key a null id equals a null id. Both steps need the key's distribution: texts are shuffled once.
+    joined = keyed.join(keep, F.col("own") == F.col("kept"), "left_semi")
     return joined.dropDuplicates(["own"]).select("row.*")

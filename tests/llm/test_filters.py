@@ -191,6 +191,45 @@ def test_url_model_against_plain_counts(spark):
         assert model.ratio(u) == pytest.approx(log_likelihood(u, "allow") - log_likelihood(u, "block"), abs=1e-9)
 
 
+def test_url_model_counts_every_gram_apart(spark, monkeypatch):
+    r = np.random.default_rng(11)
+    name = lambda k: "".join(r.choice(list("abcdefghijklmnopqrstuvwxyz0123456789é漢"), k))
+    urls = [f"http://{h}/{name(12)}" for h in ("a.net/es", "a.com", "b.org") for _ in range(900)]
+    urls += [urls[0], urls[0], None, "", urls[-1]]
+    pages = spark.createDataFrame([(i if i % 7 else None, u) for i, u in enumerate(urls)], "page_id long, url string")
+    counts = {"allow": Counter(), "block": Counter()}
+    texts_of = lambda u: f"\x02{u}\x03"
+    full = lambda t, i, o: t[max(0, i - o) : i + 1]
+    for u in urls:
+        if kind := plain_rule(*plain_host_path(u))[1]:
+            t = texts_of(u)
+            for i in range(1, len(t)):
+                for o in range(url_filter.ORDER + 1):
+                    counts[kind].update([("b", o, full(t, i, o)), ("c", o, full(t, i, o)[:-1])])
+    longest = {k[2] for c in counts.values() for k in c if k[:2] == ("b", url_filter.ORDER)}
+    assert len(longest) > 16_000
+
+    def score(u, kind):
+        total, t = 0.0, texts_of(u)
+        for i in range(1, len(t)):
+            p = 1 / url_filter.ALPHABET
+            for o in range(url_filter.ORDER + 1):
+                seen = counts[kind]["c", o, full(t, i, o)[:-1]]
+                p = (counts[kind]["b", o, full(t, i, o)] + 3.0 * p) / (seen + 3.0)
+            total += np.log(p)
+        return total / (len(t) - 1)
+
+    want = Counter((u or "", round(score(u or "", "allow") - score(u or "", "block"), 8)) for u in urls)
+    for hot in (url_filter.HOT, 16):  # most grams are looked up, most are joined
+        monkeypatch.setattr(url_filter, "HOT", hot)
+        model = url_filter.train(pages)
+        stored = {r.gram: (r.n0, r.n1) for r in model.counts.collect()}
+        assert stored == {g: (counts["allow"]["b", 4, g], counts["block"]["b", 4, g]) for g in longest}
+        rows = url_filter.judge_urls(pages, model).collect()
+        assert Counter((r.url, round(r.ratio, 8)) for r in rows) == want
+        assert sum(r.page_id is None for r in rows) == sum(i % 7 == 0 for i in range(len(urls)))
+
+
 def test_url_query_separates_what_rules_know(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     model = url_filter.train(pages)

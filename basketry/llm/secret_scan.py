@@ -20,7 +20,7 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}+={0,2}"
 CONTEXT = 48
 #: Words of the dictionary: the most frequent ones of the whole corpus. Its size is a limit by design.
 DICTIONARY = 400
-#: Labelled findings of each class that the forest is grown on, at most: those that hash lowest.
+#: Labelled findings of each class that the forest is grown on, at most: those that hash lowest, copies left out.
 SAMPLE_PER_CLASS = 4000
 TREES, DEPTH, SEED = 15, 6, 7
 MASK = "<secret>"
@@ -148,8 +148,8 @@ def train(
     """Grow the forest on labelled findings: ``found``, ``before``, ``after``, ``label`` (0 or 1).
 
     Without ``findings``, those of ``df`` that ``label`` is sure of are taken. The dictionary is counted over all
-    texts. Of each class at most ``per_class`` findings are used, those that hash lowest. If a class is missing, there
-    are no trees, and nothing passes for a secret.
+    texts. Of each class at most ``per_class`` different findings are used, those that hash lowest; a finding with many
+    copies counts once. If a class is missing, there are no trees, and nothing passes for a secret.
     """
     rows = df.select(F.coalesce(quoted(text_column), F.lit("")).alias("text"))
     dictionary = common_words(rows)
@@ -160,7 +160,7 @@ def train(
     known = findings.filter(F.col("label").isin(0, 1)).select(
         *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("found", "before", "after")],
         F.col("label").cast("double").alias("label"),
-    ).filter("found <> ''")
+    ).filter("found <> ''").distinct()
     low = F.xxhash64("found", "before", "after")
     chosen = [known.filter(F.col("label") == y).orderBy(low, "found", "before").limit(per_class) for y in (0, 1)]
     values = features(F.col("found"), F.col("before"), F.col("after"), dictionary)

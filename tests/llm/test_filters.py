@@ -322,6 +322,18 @@ def test_given_findings(spark, empty):
     assert secret_scan.scan(text, forest).first().redacted == "id <secret> x"
 
 
+def test_copies_of_a_finding_do_not_fill_the_sample(spark, monkeypatch):
+    rows = [(f"{i:024d}", "id ", " x", 1) for i in range(40)] + [("a" * 20 + str(i), "say ", " y", 0) for i in range(40)]
+    findings = spark.createDataFrame(rows, "found string, before string, after string, label int")
+    lowest = findings.withColumn("h", F.xxhash64("found", "before", "after")).groupBy("label").agg(F.min_by("found", "h").alias("found"))
+    copied = findings.join(lowest, ["label", "found"]).crossJoin(spark.range(100)).select(findings.columns)
+    staged, stage = {}, secret_scan.stage
+    monkeypatch.setattr(secret_scan, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    secret_scan.train(spark.createDataFrame([("text",)], "text string"), findings=findings.union(copied), per_class=30)
+    used = Counter((r.label, r.found) for r in staged["findings"].collect())
+    assert len(used) == 60 and set(used.values()) == {1}
+
+
 def test_secret_query_finds_planted_forms(spark):
     sf_dir = "/root/testdata/sf0.01"
     true = re.compile(r'AKIA[A-Z0-9]{16}|(?<=token = ")[0-9a-f]{40}|(?<=password=)[0-9a-f]{18}')

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from basketry.llm.common import quoted, texts
 from basketry.session import stage
 
-#: A run of the characters keys are made of.
-CANDIDATE = r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}+={0,2}"
 #: Characters of context on either side.
 CONTEXT = 48
+#: Characters of a candidate, at least.
+SHORTEST = 6
 #: Words of the dictionary: the most frequent ones of the whole corpus. Its size is a limit by design.
 DICTIONARY = 400
 #: Labelled findings of each class that the forest is grown on, at most: those that hash lowest, copies left out.
@@ -28,6 +28,21 @@ MASK = "<secret>"
 # Words that stand beside secrets, and beside what only looks like one.
 SECRET_WORDS = "password|passwd|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|credential|bearer|auth"
 OTHER_WORDS = "commit|checksum|sha1|sha256|md5|digest|uuid|example|sample|placeholder|dummy|isbn|revision"
+_NAMED = rf"""(?:{SECRET_WORDS})["']?[ \t]{{0,3}}[:=][ \t]{{0,3}}["']?"""
+_ENDS = r"""\s"'`,;&<>()\[\]{}|\\"""
+#: After a secret's name and a sign: what stands in quotes; else a run that is more than a word, or any right after ``=``.
+ASSIGNED = (
+    rf"""(?<=[:=\s"'])(?<=[:=][ \t]{{0,3}}["']?)(?<=(?i:{_NAMED}))(?![:=])"""
+    rf"""(?:(?<=["'])[^\s"'`]{{{SHORTEST},}}(?=["'])"""
+    rf"""|(?:(?<==)|(?=[^{_ENDS}]*[0-9!@#$%^*_+~]))[^{_ENDS}]{{{SHORTEST - 1},}}[^{_ENDS}.:?])"""
+)
+#: A run of the characters keys are made of, but no secret's name; equals signs that a value follows are not its padding.
+RUN = (
+    r"""(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}+"""
+    rf"""(?!(?<=(?i:{SECRET_WORDS}))["']?[ \t]{{0,3}}[:=][ \t]{{0,3}}[^\s=])"""
+    r"""(?:={1,2}(?!["']?[^\s"',;:)\]}>&|.?#]))?"""
+)
+CANDIDATE = f"{ASSIGNED}|{RUN}"
 #: Formats that are secrets beyond doubt.
 KNOWN = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^sk_live_[A-Za-z0-9]{16,}$"
 
@@ -75,7 +90,7 @@ def features(found: Column, before: Column, after: Column, dictionary: list[str]
 def label(found: Column, before: Column) -> Column:
     """1 for findings of a known format or assigned to a secret's name, 0 for words and numbers, else null."""
     mixed = found.rlike("[0-9]") & found.rlike("[A-Za-z]")
-    assigned = F.lower(before).rlike(rf"""({SECRET_WORDS})\s*[:=]\s*["']?$""")
+    assigned = F.lower(before).rlike(rf"""({SECRET_WORDS})["']?\s*[:=]\s*["']?$""")
     plain = found.rlike(r"^[A-Za-z]?[a-z_/-]+$|^[A-Z_/-]+$|^[0-9+/_-]+=*$|^[a-z]+([A-Z][a-z]+)+$")
     other = F.lower(before).rlike(f"({OTHER_WORDS})\\W{{0,6}}$")
     return F.when(found.rlike(KNOWN) | (assigned & mixed), 1.0).when((plain | other) & ~assigned, 0.0)
@@ -96,13 +111,38 @@ def _with_pieces(df: DataFrame, text_column: str) -> DataFrame:
     })
 
 
-def _contexts() -> Column:
-    """Candidates with the text on either side."""
-    return F.transform("_found", lambda c, i: F.struct(
-        c.alias("found"),
-        F.right(F.get("_pieces", i), F.lit(CONTEXT)).alias("before"),
-        F.left(F.get("_pieces", i + 1), F.lit(CONTEXT)).alias("after"),
-    ))
+def _with_contexts(df: DataFrame, text_column: str) -> DataFrame:
+    """``_found`` and ``_pieces``, and ``_contexts``: candidates with the text on either side, other candidates included.
+
+    As many neighbours as could fit are put together, each cut to size, never the whole text.
+    """
+    near = F.lit(-(-CONTEXT // SHORTEST))
+    size = F.lit(CONTEXT)
+    # Arrays are handed on as arguments: a column inside a lambda may be worked out again for every element.
+    bind = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
+
+    def interleaved(row: Column, cut) -> Column:
+        found = F.concat(row["found"], F.array(F.lit("")))
+        return F.flatten(F.zip_with(row["pieces"], found, lambda p, c: F.array(cut(p, size), cut(c, size))))
+
+    def contexts(row: Column) -> Column:
+        # Piece i stands at 2 i, candidate i at 2 i + 1; slices count from 1.
+        before = lambda i: F.slice(row["ends"], F.greatest(2 * i + 2 - 2 * near, F.lit(1)), F.least(2 * i + 1, 2 * near))
+        after = lambda i: F.slice(row["starts"], 2 * i + 3, 2 * near)
+        return F.transform(row["found"], lambda c, i: F.struct(
+            c.alias("found"),
+            F.right(F.array_join(before(i), ""), size).alias("before"),
+            F.left(F.array_join(after(i), ""), size).alias("after"),
+        ))
+
+    row = F.struct(F.col("_found").alias("found"), F.col("_pieces").alias("pieces"))
+    both = lambda r: F.struct(
+        r["found"].alias("found"), interleaved(r, F.right).alias("ends"), interleaved(r, F.left).alias("starts")
+    )
+    found = F.when(F.size("_found") > 0, bind(row, lambda r: bind(both(r), contexts)))
+    return _with_pieces(df, text_column).withColumn(
+        "_contexts", F.coalesce(found, F.array().cast("array<struct<found:string,before:string,after:string>>"))
+    )
 
 
 @dataclass(frozen=True)
@@ -155,7 +195,7 @@ def train(
     dictionary = common_words(rows)
     if findings is None:
         # Looked for once, used several times.
-        contexts = stage(_with_pieces(rows, "text").select(F.explode(_contexts()).alias("c")).select("c.*"), "candidates")
+        contexts = stage(_with_contexts(rows, "text").select(F.explode("_contexts").alias("c")).select("c.*"), "candidates")
         findings = contexts.withColumn("label", label(F.col("found"), F.col("before")))
     known = findings.filter(F.col("label").isin(0, 1)).select(
         *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("found", "before", "after")],
@@ -173,7 +213,7 @@ def train(
 
 def _with_secrets(df: DataFrame, forest: Forest, text_column: str) -> DataFrame:
     """``_judged``: candidates with ``votes``, and ``_found`` and ``_pieces``."""
-    pieces = _with_pieces(df, text_column).withColumn("_contexts", _contexts())
+    pieces = _with_contexts(df, text_column)
     # Features first, votes after: every tree then reads values instead of working them out again.
     valued = pieces.withColumn("_valued", F.transform("_contexts", lambda c: F.struct(
         c["found"].alias("found"),

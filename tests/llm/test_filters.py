@@ -322,6 +322,59 @@ def test_given_findings(spark, empty):
     assert secret_scan.scan(text, forest).first().redacted == "id <secret> x"
 
 
+KEY = "q7Xw2mKd9RtB4vNz8LcP"
+
+
+@pytest.mark.parametrize("text, secret", [
+    (f"AWS_SECRET_ACCESS_KEY={KEY} end", KEY), (f"DATABASE_PASSWORD = {KEY}", KEY), (f'GITHUB_ACCESS_TOKEN="{KEY}"', KEY),
+    (f"a {KEY}== b", f"{KEY}=="), ('password = "hunter2!"', "hunter2!"), ("see password: hunter2, then", "hunter2"),
+    ("DATABASE_PASSWORD=swordfish&x=1", "swordfish"), ('{"api_key": "k3y-4me"}', "k3y-4me"), (f"token={KEY}!x.", f"{KEY}!x"),
+])
+def test_candidates_and_their_names(spark, text, secret):
+    df = spark.createDataFrame([(text,)], "text string")
+    found = [r.c for r in secret_scan._with_contexts(df, "text").select(F.explode("_contexts").alias("c")).collect()]
+    (c,) = [c for c in found if c.found == secret]
+    at = text.index(secret)
+    assert (c.before, c.after) == (text[max(0, at - 48) : at], text[at + len(secret) :][:48])
+    assert "=" not in "".join(c.found for c in found if c.found != secret)
+    if not secret.endswith("=="):
+        names = secret_scan.features(F.lit(c.found), F.lit(c.before), F.lit(c.after), [])
+        values = dict(zip(secret_scan.FEATURES, df.select(names.alias("v")).first().v))
+        assert values["secret_word"] == values["assigned"] == 1
+
+
+def test_words_of_prose_are_no_candidates(spark):
+    text = "The secret: everybody knows it. Author: Smithson99. Password: remember yours. Token = nothing more."
+    assert spark.createDataFrame([(text,)], "text string").transform(secret_scan._with_contexts, "text").first()._found == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from([KEY, KEY[:16], " ", "password=", "abc123", '"', "é", "漢 😀", "x " * 40, "=", "="]), max_size=30))
+def test_contexts_are_those_of_the_text(spark, parts):
+    text = "".join(parts)
+    row = secret_scan._with_contexts(spark.createDataFrame([(text,)], "text string"), "text").first()
+    at = 0
+    for piece, c in zip(row._pieces, row._contexts):
+        at += len(piece)
+        assert text[at : at + len(c.found)] == c.found
+        assert (c.before, c.after) == (text[max(0, at - 48) : at], text[at + len(c.found) :][:48])
+        at += len(c.found)
+    assert text[at:] == row._pieces[-1]
+
+
+def test_keys_after_long_names_are_masked(spark):
+    rows, _ = planted(120)
+    rows += [(1000 + i, f"export DEPLOYMENT_SECRET_TOKEN={zlib.crc32(b'%d' % i):08x}{i:016x} now") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    key = "0123456789abcdef0a1b2c3d4e5f6a7b8c9d0e1f"
+    texts = [f"AWS_SECRET_ACCESS_KEY={key}", f'DATABASE_PASSWORD = "{key}"', 'password = "hunter2!"']
+    kept = [f"see commit {key}"]
+    asked = spark.createDataFrame(list(enumerate(texts + kept)), "doc_id long, text string")
+    got = {r.doc_id: r.redacted for r in secret_scan.scan(asked, secret_scan.train(df)).collect()}
+    masked = [t.replace(key, secret_scan.MASK).replace("hunter2!", secret_scan.MASK) for t in texts]
+    assert [got[i] for i in range(4)] == masked + kept
+
+
 def test_copies_of_a_finding_do_not_fill_the_sample(spark, monkeypatch):
     rows = [(f"{i:024d}", "id ", " x", 1) for i in range(40)] + [("a" * 20 + str(i), "say ", " y", 0) for i in range(40)]
     findings = spark.createDataFrame(rows, "found string, before string, after string, label int")

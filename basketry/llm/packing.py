@@ -127,7 +127,8 @@ def pack(
     )
     full = whole.select(
         "doc_id", "piece", (F.col("piece") * capacity).alias("from_word"), F.lit(capacity).cast("long").alias("n_words"),
-        F.concat_ws("-", F.lit("full"), "doc_id", "cluster", "piece").alias("bin_id"),
+        # Repeated rows fill bins of their own: only ``deal`` tells them apart.
+        F.concat_ws("-", F.lit("full"), "doc_id", "cluster", "deal", "piece").alias("bin_id"),
         F.lit(0).cast("long").alias("bin_offset"),
     )
     empty = rows.filter("n_words = 0").select(

@@ -108,3 +108,10 @@ def test_query(spark):
     rows = queries.op4_best_fit_packing(spark, SF).collect()
     check(rows, docs, packing.CAPACITY)
     assert sum(r.n_words for r in rows) > 0.6 * packing.CAPACITY * len({r.bin_id for r in rows} - {None})
+
+
+def test_repeated_rows_longer_than_a_bin(spark):
+    rows = [(1, "w " * 25, "s"), (1, "w " * 25, "s"), (None, "v " * 20, "s"), (None, "v " * 20, "s")]
+    full = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string"), capacity=10).filter("n_words = 10")
+    bins = Counter(r.bin_id for r in full.collect())
+    assert len(bins) == 8 and set(bins.values()) == {1}

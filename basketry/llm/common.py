@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow.compute as pc
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import basketry
-from basketry.session import prepare, stage
+from basketry.session import prepare, run_scratch, scratch_path, stage
 
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _shipped: set[str] = set()
@@ -63,6 +64,33 @@ def bounded_slices(batch, size_of: int, max_bytes: int = 1 << 20):
         start = stop
 
 
+def finished(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` gives, written as a table of its own; whatever it stages on the way goes when that is done."""
+    path = scratch_path(spark, name)
+    with run_scratch(spark, name):
+        return stage(build(), name, path)
+
+
+def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
+    """``df`` with a column ``name`` of 1, 2, 3, ... in an order that no two rows share.
+
+    Rows are dealt by ranges of the order and numbered in them; how many each range holds is all that reaches the driver.
+    """
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    parts = stage(dealt.withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    part = F.shiftright("_at", 33)
+    before, total = [], 0
+    for row in parts.groupBy(part.alias("part")).count().orderBy("part").collect():
+        before.append((row["part"], total))
+        total += row["count"]
+    starts = df.sparkSession.createDataFrame(before, "_part long, _before long")
+    at = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return (
+        parts.withColumn("_part", part).join(F.broadcast(starts), "_part")
+        .withColumn(name, F.col("_before") + at + 1).drop("_part", "_before", "_at")
+    )
+
+
 def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``node``, ``root`` (smallest node it is linked to, over any number of links) of ``a``, ``b`` pairs.
 

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import (
+    alignment,
     byte_bpe,
+    importance,
     oracles,
     order_minhash,
     packing,
@@ -24,9 +26,15 @@ from basketry.session import scratch_path
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 END_ID = 2
 
 
+def _tokenizer_json() -> str:
+    with open(public_tokenizers.path(TOKENIZER), encoding="utf-8") as file:
+        return file.read()
+
+
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = order_minhash.fingerprints(table(spark, sf_dir, "documents"))
     pairs = order_minhash.with_next(marked, "doc_id", "text", "fingerprint")
@@ -88,10 +96,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with open(public_tokenizers.path(TOKENIZER), encoding="utf-8") as file:
-        tokenizer_json = file.read()
     path = scratch_path(spark, "tokens")
-    token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_json, END_ID)
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, _tokenizer_json(), END_ID)
     return token_files.read_digests(spark, path)
 
 
@@ -110,6 +116,17 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.train(pages)).drop("url")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path(PIECES), "rb") as file:
+        model = file.read()
+    return alignment.digests(table(spark, sf_dir, "documents"), _tokenizer_json(), model)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_byte_bpe": op2_byte_bpe,
@@ -121,6 +138,8 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
     "op10_url_filter": op10_url_filter,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLES = {"op5_suffix_dedup": oracles.repeats(), "op8_quality_rules": oracles.quality()}

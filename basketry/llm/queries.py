@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from basketry.llm import (
     alignment,
     byte_bpe,
+    disclosure,
     importance,
     oracles,
     order_minhash,
@@ -116,6 +117,19 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.train(pages)).drop("url")
 
 
+def op11_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = disclosure.find_private(table(spark, sf_dir, "documents"))
+    of_kind = lambda kind: F.filter("spans", lambda s: s["kind"] == kind)
+    base = F.filter("spans", lambda s: s["kind"] < len(disclosure.KINDS))
+    counts = [F.size(of_kind(i)).cast("long").alias(f"n_{k}") for i, k in enumerate((*disclosure.KINDS, disclosure.TERM))]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(disclosure.written(base), 256).alias("base_sha256"),
+        disclosure.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path(PIECES), "rb") as file:
         model = file.read()
@@ -138,6 +152,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
     "op10_url_filter": op10_url_filter,
+    "op11_disclosure": op11_disclosure,
     "op12_token_alignment": op12_token_alignment,
     "op13_importance_resampling": op13_importance_resampling,
 }

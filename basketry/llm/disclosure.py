@@ -210,16 +210,13 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, broadcast_rows: int = BR
 
     # The same for the families of these terms.
     families = known.select("entity", _family(F.col("term")).alias("family")).distinct()
-    few = families.select("family").distinct()
-    small = few.count() <= broadcast_rows
     starts = F.array_distinct(F.transform(_distinct_words(F.col("text")), _family))
-    n_family = (
-        docs.select(F.explode(starts).alias("family")).join(_sized(few, small), "family")
-        .groupBy("family").agg(F.count("*").alias("n_family"))
-    )
+    # Few letters make few families, so they are counted by task before any are joined.
+    n_family = docs.select(F.explode(starts).alias("family")).groupBy("family").agg(F.count("*").alias("n_family"))
     n_both = beside.select("row", "entity", _family(F.col("term")).alias("family")).join(families, ["entity", "family"])
     n_both = n_both.groupBy("entity", "family").agg(F.countDistinct("row").alias("n_near"))
-    wide = known.withColumn("family", _family(F.col("term"))).join(n_both, ["entity", "family"]).join(n_family, "family")
+    wide = known.withColumn("family", _family(F.col("term"))).join(n_both, ["entity", "family"])
+    wide = wide.join(n_family.hint("shuffle_merge"), "family")
     told = F.log2(total * F.col("n_near") / (F.col("n_entity") * F.col("n_family")))
     still = _information(told, F.log2(total / F.col("n_entity")) - told)
     # A term may disclose several entities: what is needed for one of them is done.

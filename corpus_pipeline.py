@@ -9,6 +9,8 @@ from basketry.llm.common import table
 from basketry.session import stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Bytes of a passage that stays once: about fifty words of five bytes with the space.
+PASSAGE_BYTES = 250
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +24,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the strings that stand elsewhere in the corpus too."""
-    return suffix_dedup.drop_repeats(docs.select(*COLUMNS))
+    """Without the passages that an earlier document, or place, of the corpus has too."""
+    return suffix_dedup.drop_repeats(docs.select(*COLUMNS), length=PASSAGE_BYTES, keep_first=True)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

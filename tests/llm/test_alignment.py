@@ -33,14 +33,14 @@ def plain(files, texts):
     pair = alignment.Pair(*files)
     counted, rows = Counter(), []
     for text in texts:
-        sides = [a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)] if text else [[], []]
+        sides = [a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)] if text else ([], [])
         parts = [[table_[i] for i in ids] for table_, ids in zip((pair.bytes_a, pair.bytes_b), sides)]
         if any(b"".join(p) != (" " + (text or "")).encode() for p in parts):
             sides, parts = [[], []], [[], []]
-        ends = [np.cumsum([len(x) for x in p]).tolist() for p in parts]
+        ends = [{end: i for i, end in enumerate(np.cumsum([len(x) for x in p]).tolist())} for p in parts]
         groups, links, done = [], [], [0, 0]
         for end in sorted(set(ends[0]) & set(ends[1])):
-            stops = [e.index(end) + 1 for e in ends]
+            stops = [e[end] + 1 for e in ends]
             groups.append("|".join(",".join(map(str, ids[lo:hi])) for ids, lo, hi in zip(sides, done, stops)))
             links.append((sides[0][stops[0] - 1], sides[1][stops[1] - 1]))
             done = stops

@@ -138,6 +138,25 @@ def plain_removed(texts, length=suffix_dedup.LENGTH):
     return out
 
 
+def plain_kept_once(rows, length):
+    """Texts without the bytes of strings that stand earlier too: by id, hash of the text, place."""
+    rows = [(-(1 << 63) if i is None else i, (t or "").encode()) for i, t in rows]
+    first = {}
+    keys = [(i, xxhash.xxh64_intdigest(t, 42) - (1 << 64) * (xxhash.xxh64_intdigest(t, 42) >> 63)) for i, t in rows]
+    for key, (_, t) in zip(keys, rows):
+        for at in range(len(t) - length + 1):
+            place = (*key, at)
+            first[t[at : at + length]] = min(first.get(t[at : at + length], place), place)
+    out = []
+    for key, (_, t) in zip(keys, rows):
+        gone = bytearray(len(t))
+        for at in range(len(t) - length + 1):
+            if first[t[at : at + length]] != (*key, at):
+                gone[at : at + length] = b"\1" * length
+        out.append(bytes(b for b, g in zip(t, gone) if not g).decode("utf-8", "ignore"))
+    return out
+
+
 def shared_passages(seed, n=120):
     r = random.Random(seed)
     text = lambda k: "".join(r.choice("abcdefgh é\n") for _ in range(k))
@@ -163,6 +182,29 @@ def test_repeats_are_all_removed(spark, sorted_limit):
     )
 
 
+@pytest.mark.parametrize("sorted_limit, length", [(512, 250), (3, 250), (1, 400)])
+def test_first_copies_stay(spark, sorted_limit, length):
+    rows = shared_passages(6)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix_dedup.drop_repeats(df, sorted_limit=sorted_limit, length=length, keep_first=True).collect()
+    want = plain_kept_once(rows, length)
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((i, w) for (i, _), w in zip(rows, want))
+
+
+def test_first_copies_of_odd_rows_stay(odd, odd_rows):
+    got = suffix_dedup.drop_repeats(odd, length=250, keep_first=True).collect()
+    want = plain_kept_once(odd_rows, 250)
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((i, w) for (i, _), w in zip(odd_rows, want))
+
+
+def test_a_passage_of_51_short_words_stays_once(spark):
+    passage = " ".join(["river", "mill", "and", "oak"][i % 4] + str(i % 10) for i in range(51))
+    assert 250 < len(passage) < 400
+    rows = [(i, f"{'own words ' * 3}{i} {passage} and the end of {i}") for i in range(3)]
+    kept = suffix_dedup.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length=250, keep_first=True)
+    assert [r.doc_id for r in kept.collect() if passage in r.text] == [0]
+
+
 def test_repeats_in_odd_rows(odd, odd_rows):
     want = plain_removed([(t or "").encode() for _, t in odd_rows])
     got = suffix_dedup.remove_repeats(odd).collect()

@@ -7,7 +7,7 @@ from collections import Counter
 import corpus_pipeline
 import pytest
 from rows import table
-from test_near_duplicates import plain_components, plain_mark, plain_removed
+from test_near_duplicates import plain_components, plain_kept_once, plain_mark
 from test_packing import check
 
 import __spark_entry__ as registered
@@ -39,7 +39,7 @@ def test_stages_against_plain_versions(spark):
     label = plain_components([plain_mark(t) for _, t in rows])
     rows = [row for k, row in enumerate(rows) if label[k] == k]
     assert sorted((r.doc_id, r.text) for r in unique.collect()) == rows
-    left = [w[3].decode("utf-8", "ignore") for w in plain_removed([t.encode() for _, t in rows])]
+    left = plain_kept_once(rows, corpus_pipeline.PASSAGE_BYTES)
     rows = [(i, t) for (i, _), t in zip(rows, left)]
     assert sorted((r.doc_id, r.text) for r in cut.collect()) == rows
     rows = [(i, TRUE.sub(secret_scan.MASK, t)) for i, t in rows]

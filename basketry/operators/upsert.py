@@ -38,16 +38,19 @@ def _first_of_each_key(batch: DataFrame) -> DataFrame:
     )
 
 
-def classify(target: DataFrame | None, batch: DataFrame, unique_target: bool = False) -> DataFrame:
+def classify(
+    target: DataFrame | None, batch: DataFrame, unique_target: bool = False, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Target and batch merged by key; ``_change`` says what the upsert does to each row.
 
     The target's rows are shuffled as they are, once, and matched with the batch's one row per key.
-    ``unique_target``: a key that the target holds twice fails.
+    ``unique_target``: a key that the target holds twice fails. ``carry``: columns of the target that are kept
+    beside its rows, null for new ones.
     """
     new = _first_of_each_key(batch)
     if target is None:
         return new.withColumnRenamed("new", "row").select(*_unpacked(), F.lit(INSERT).alias("_change"), "batch_rows")
-    old = target.select(_key(), F.struct(*_PAYLOAD).alias("old"))
+    old = target.select(_key(), F.struct(*_PAYLOAD).alias("old"), *carry)
     if unique_target:
         # The match needs the same distribution and order, so numbering costs no shuffle of its own.
         number = F.row_number().over(Window.partitionBy("key").orderBy("key"))
@@ -61,7 +64,7 @@ def classify(target: DataFrame | None, batch: DataFrame, unique_target: bool = F
         .otherwise(UPDATE)
     )
     merged = old.join(new, "key", "full_outer").withColumns({"_change": change, "row": F.coalesce(after, before)})
-    return merged.select(*_unpacked(), "_change", F.coalesce("batch_rows", F.lit(0)).alias("batch_rows"))
+    return merged.select(*_unpacked(), "_change", F.coalesce("batch_rows", F.lit(0)).alias("batch_rows"), *carry)
 
 
 def upsert(target: DataFrame | None, batch: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from basketry.plans.metrics import run_metrics
 from basketry.plans.transform import to_fact
 from basketry.schemas import COUNTRIES, FACT, FX_RATES, MIN_COUNTRIES
 from basketry.session import fit_shuffles, prepare, run_scratch, scratch_path, stage
-from basketry.sources.fact_table import upsert_into
+from basketry.sources.fact_table import stored_mark, upsert_into
 from basketry.sources.reference import count_unnamed, read_countries, read_fx_rates
 from basketry.sources.sales import read_sales_csv, read_sales_parquet
 from basketry.sources.watermark import get_last_watermark, next_watermark, update_watermark
@@ -73,12 +73,17 @@ def run_extract(
     *,
     multi_line: bool,
     min_countries: int = MIN_COUNTRIES,
+    fact_path: str | None = None,
     **csv_options: Any,
 ) -> Staged:
-    """Stage the lines newer than the stored mark, and the reference data."""
+    """Stage the lines newer than the stored mark, and the reference data.
+
+    The mark is the one committed with the fact, if that is named and has one; else that of the metadata.
+    """
     prepare(spark)
     fit_shuffles(spark, [sales_csv] if isinstance(sales_csv, str) else sales_csv)
-    mark = get_last_watermark(spark, metadata_path)
+    committed = from_micros(stored_mark(spark, fact_path)) if fact_path else None
+    mark = committed or get_last_watermark(spark, metadata_path)
     sales_path, countries_path, rates_path = (scratch_path(spark, n) for n in ("sales", "countries", "rates"))
     feed = read_sales_csv(spark, sales_csv, mark, multi_line=multi_line, **csv_options)
     sales = check_sales(stage(feed, "sales", sales_path))
@@ -115,18 +120,20 @@ def run_transform(spark: SparkSession, staged: Staged) -> Converted:
 def run_load(
     spark: SparkSession, converted: Converted, fact_path: str, metadata_path: str, grain: str = "month"
 ) -> dict[str, int]:
-    """Upsert the staged fact, then advance the mark: a load that fails is simply repeated.
+    """Upsert the staged fact and advance the mark in one commit: a load that fails is simply repeated.
 
-    Without rows the mark stays.
+    Without rows the mark stays. The metadata get a copy of the mark for other readers; if a crash left it behind, the
+    next load brings it up.
     """
     prepare(spark)
-    if not converted.fact:
-        return {"records": 0, "upserted": 0, "modified": 0}
-    fact = spark.read.schema(FACT).parquet(converted.fact)
-    counts = upsert_into(spark, fact_path, fact, grain)
-    if counts["records"]:
+    counts = {"records": 0, "upserted": 0, "modified": 0}
+    if converted.fact:
+        fact = spark.read.schema(FACT).parquet(converted.fact)
         newest = next_watermark(fact).select(F.unix_micros("invoice_date")).first()[0]
-        update_watermark(spark, metadata_path, from_micros(newest))
+        counts = upsert_into(spark, fact_path, fact, grain, newest)
+    mark = from_micros(stored_mark(spark, fact_path))
+    if mark is not None and mark != get_last_watermark(spark, metadata_path):
+        update_watermark(spark, metadata_path, mark)
     return counts
 
 
@@ -147,7 +154,7 @@ def run_daily(
     with run_scratch(spark, "run"):
         staged = run_extract(
             spark, sales_csv, countries_json, fx_json, metadata_path,
-            multi_line=multi_line, min_countries=min_countries, **csv_options,
+            multi_line=multi_line, min_countries=min_countries, fact_path=fact_path, **csv_options,
         )
         converted = run_transform(spark, staged)
         counts = run_load(spark, converted, fact_path, metadata_path, grain)

@@ -117,6 +117,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, on the driver."""
+    files, hadoop = _file_system(spark, path)
+    stream = files.open(hadoop)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, from the driver."""
+    files, hadoop = _file_system(spark, path)
+    stream = files.create(hadoop, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; the folder it goes to is made."""
+    files, hadoop = _file_system(spark, source)
+    _, aim = _file_system(spark, target)
+    files.mkdirs(aim.getParent())
+    if not files.rename(hadoop, aim):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def input_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
     """Size of the files at these paths or patterns; 0 for what is not there."""
     total = 0

@@ -1,144 +1,147 @@
-"""The stored fact: Parquet, partitioned by invoice period, loaded by upsert."""
+"""The stored fact: Parquet files by invoice period, under versions, loaded by upsert."""
 
 from __future__ import annotations
 
-import time
 import uuid
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.functions.aggregates import literal_row
 from basketry.operators.contracts import ContractViolation
 from basketry.operators.upsert import INSERT, UPDATE, classify, deduplicate, upsert
 from basketry.schemas import FACT
-from basketry.session import delete_path, list_names, path_exists, read_if_exists, run_scratch, stage
+from basketry.session import delete_path, list_names, move_path, path_exists, run_scratch, stage
+from basketry.sources import snapshots
+from basketry.sources.snapshots import Change, StoredFile, Version
 
 PERIOD = "invoice_period"
 # Partition granularities; use days once a month of lines outgrows a comfortable rewrite.
 PERIOD_FORMATS = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}
+# Files of a period that are smaller than half of this are put together once there are so many of them.
+FILE_BYTES, SMALL_FILES = 256 * 1024 * 1024, 16
+# How often a load begins anew because another one was first in the same periods.
+_ATTEMPTS = 20
 
 _STORED = T.StructType(FACT.fields + [T.StructField(PERIOD, T.StringType())])
-_PERIODS = T.StructType([T.StructField("periods", T.StringType())])
+_FILE = "_file"
+_LOAD = "load"
 
 
 def period_of(grain: str) -> Column:
     return F.date_format("invoice_date", PERIOD_FORMATS[grain])
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    return read_if_exists(spark, path, _STORED)
+def _root(path: str) -> str:
+    return path.rstrip("/")
 
 
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """The fact, empty before the first load. Filter on ``invoice_period`` to prune partitions."""
-    stored = _stored(spark, path)
-    return stored if stored is not None else spark.createDataFrame([], _STORED)
-
-
-def _by_period(rows: DataFrame) -> DataFrameWriter:
-    """Write by period: few files each, a period that is too large for one task split over many.
-
-    Ordering by time gives row groups narrow date ranges, which the next load's filter skips.
-    """
-    laid_out = rows.select(*_STORED.fieldNames()).hint("rebalance", PERIOD)
-    return laid_out.sortWithinPartitions(PERIOD, "invoice_date").write.partitionBy(PERIOD)
-
+def _read_files(spark: SparkSession, path: str, listed: list[StoredFile], with_file: bool = False) -> DataFrame:
+    """The rows of some files; ``with_file`` adds which one each row is from, as it is listed."""
+    names = _STORED.fieldNames()
+    if not listed:
+        none = spark.createDataFrame([], _STORED)
+        return none.withColumn(_FILE, F.lit(None).cast("string")) if with_file else none
+    paths = [f"{_root(path)}/{f.file}" for f in listed]
+    rows = spark.read.schema(_STORED).option("basePath", _root(path)).parquet(*paths)
+    own = F.regexp_extract("_metadata.file_path", rf"({PERIOD}=[^/]+/{_LOAD}=[^/]+/[^/]+)$", 1)
+    return rows.select(*names, own.alias(_FILE)) if with_file else rows.select(*names)
 
-def _append(rows: DataFrame, path: str) -> None:
-    _by_period(rows).mode("append").parquet(path)
 
+def stored_files(spark: SparkSession, path: str) -> list[StoredFile]:
+    """The data files of the newest version."""
+    return snapshots.files(spark, _root(path), _current(spark, path))
 
-def _replace_periods(rows: DataFrame, path: str) -> None:
-    """Replace the periods that occur in ``rows``; the others stay."""
-    _by_period(rows).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
+def _current(spark: SparkSession, path: str) -> Version:
+    version = snapshots.current(spark, _root(path))
+    if not version.number and any(n.startswith(f"{PERIOD}=") for n in list_names(spark, path)):
+        if not path_exists(spark, f"{_root(path)}/_versions"):
+            raise ValueError(f"{path} holds a fact without versions: load it anew into another folder")
+    return version
 
-def _log(path: str) -> str:
-    return f"{path.rstrip('/')}_writes"
 
+def read_fact(spark: SparkSession, path: str) -> DataFrame:
+    """The fact as of its newest version, empty before the first load. Filter on ``invoice_period`` to prune partitions.
 
-def _log_write(spark: SparkSession, path: str, kind: str, periods: list[str], rows: DataFrame | None = None) -> str:
-    """Announce a write, with its rows if they replace stored ones; the list of periods comes last and completes it.
-
-    Entries are named by time, so their names are in the order of the writes.
+    Loads that commit later do not change what is read, as long as not more of them follow than versions are kept.
     """
-    entry = f"{_log(path)}/{time.time_ns():020d}-{kind}-{uuid.uuid4().hex}"
-    if rows is not None:
-        rows.write.parquet(f"{entry}/rows")
-    listed = literal_row(spark, _PERIODS, ",".join(periods)).coalesce(1)
-    listed.write.parquet(f"{entry}/periods")
-    return entry
-
+    return _read_files(spark, path, stored_files(spark, path))
 
-def _complete(spark: SparkSession, path: str) -> dict[str, set[str]]:
-    """Announced writes, oldest first, with their periods. What a crash left half announced has changed nothing."""
-    found = {}
-    for name in list_names(spark, _log(path)):
-        entry = f"{_log(path)}/{name}"
-        if path_exists(spark, f"{entry}/periods/_SUCCESS"):
-            found[entry] = set(spark.read.schema(_PERIODS).parquet(f"{entry}/periods").first()["periods"].split(","))
-    return found
 
+def stored_mark(spark: SparkSession, path: str) -> int | None:
+    """How far the feed was loaded when the newest version was committed, in microseconds."""
+    return snapshots.current(spark, _root(path)).mark
 
-def _publish(spark: SparkSession, path: str, entry: str) -> None:
-    """Put the announced rows in place of their periods; only then do the announced rows go."""
-    _replace_periods(spark.read.schema(_STORED).parquet(f"{entry}/rows"), path)
-    delete_path(spark, entry)
 
+def _laid_out(rows: DataFrame) -> DataFrame:
+    """Few files for each period, a period that is too large for one task split over many. Ordering by time gives row
+    groups narrow ranges of dates, which the next load skips."""
+    return rows.select(*_STORED.fieldNames()).hint("rebalance", PERIOD).sortWithinPartitions(PERIOD, "invoice_date")
 
-def finish_pending_rewrites(spark: SparkSession, path: str) -> None:
-    """Publish again, oldest first, whatever crashed loads had announced but not put in place.
 
-    Nothing is published over rows that were written later: that needs a person, and no load goes on before.
-    Afterwards nothing is pending, so the log is emptied: it holds one load's entries at most.
+def _write(spark: SparkSession, path: str, rows: DataFrame) -> list[StoredFile]:
+    """Write rows, laid out as they are, by period as new files, which belong to no version yet. A load writes to a folder of its own first, as writers to
+    one folder would clear away each other's work; then each period's files are moved as one.
     """
-    writes = _complete(spark, path)
-    for at, entry in enumerate(writes):
-        if "-rewrite-" not in entry:
-            continue
-        later = [e for e in list(writes)[at + 1 :] if writes[e] & writes[entry]]
-        if later:
-            raise RuntimeError(
-                f"{entry} holds rows of periods that {later[0]} has written since: compare both with the fact,"
-                " then remove the older one"
-            )
-    for entry in writes:
-        if "-rewrite-" in entry:
-            _publish(spark, path, entry)
-    delete_path(spark, _log(path))
-
-
-def _check_grain(target: DataFrame | None, grain: str) -> None:
+    root, load = _root(path), uuid.uuid4().hex
+    incoming = f"{root}/_incoming/{load}"
+    rows.select(*_STORED.fieldNames()).write.partitionBy(PERIOD).parquet(incoming)
+    folders = [n for n in list_names(spark, incoming) if n.startswith(f"{PERIOD}=")]
+    for name in folders:
+        move_path(spark, f"{incoming}/{name}", f"{root}/{name}/{_LOAD}={load}")
+    delete_path(spark, incoming)
+    if not folders:
+        return []
+    new = spark.read.schema(_STORED).option("basePath", root).parquet(*[f"{root}/{n}/{_LOAD}={load}" for n in folders])
+    found = new.groupBy(PERIOD, F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_size").alias("size")).agg(
+        F.count("*").alias("n"), F.min(F.unix_micros("invoice_date")).alias("first"),
+        F.max(F.unix_micros("invoice_date")).alias("last"),
+    )
+    return [
+        StoredFile(f"{PERIOD}={r[PERIOD]}/{_LOAD}={load}/{r['name']}", r[PERIOD], r["n"], r["size"], r["first"], r["last"])
+        for r in found.collect()
+    ]
+
+
+def _check_grain(listed: list[StoredFile], grain: str) -> None:
     """One table has one granularity: periods of another one would hide its rows from the match."""
-    some = target.select(PERIOD).first() if target is not None else None
-    if some and len(some[0]) != len(PERIOD_FORMATS[grain]):
-        raise ValueError(f"the stored fact is not partitioned by {grain}, it has the period {some[0]}")
+    if listed and len(listed[0].period) != len(PERIOD_FORMATS[grain]):
+        raise ValueError(f"the stored fact is not partitioned by {grain}, it has the period {listed[0].period}")
 
 
-# With more periods than this a batch is pruned by period only, not by the time ranges in them.
+# With more periods than this the rows of a batch's files are not narrowed down to its time ranges.
 _MAX_RANGES = 100
 
 
-def upsert_into(spark: SparkSession, path: str, batch: DataFrame, grain: str = "month") -> dict[str, int]:
-    """Upsert ``batch`` (stage it first: it is read several times) into the stored fact.
+def _may_match(listed: list[StoredFile], found: list[Row]) -> list[StoredFile]:
+    """Files of the batch's own periods whose times overlap those the batch has in the period."""
+    ranges = {r[PERIOD]: (r["first"], r["last"]) for r in found}
+    return [
+        f for f in listed if f.period in ranges and f.first <= ranges[f.period][1] and ranges[f.period][0] <= f.last
+    ]
+
+
+def upsert_into(
+    spark: SparkSession, path: str, batch: DataFrame, grain: str = "month", mark: int | None = None
+) -> dict[str, int]:
+    """Upsert ``batch`` (stage it first: it is read several times) into the stored fact, as one version.
 
     The invoice time is part of the row hash, so equal keys share their time and period (but for
-    collisions of the 48-bit hash within one invoice, product and customer). Only stored rows of the
-    batch's own periods can match, and of those only rows in the time range that the batch has in the
-    period; for a batch newer than the mark the statistics skip all of them.
+    collisions of the 48-bit hash within one invoice, product and customer). Only files of the batch's
+    own periods whose times overlap the batch's can hold a match; for a batch newer than the mark there are none.
 
-    * nothing stored there: the deduplicated batch is appended;
-    * matches, none changed (a replay): only new keys are appended;
-    * changed rows: their periods are rewritten. The rewrite is kept beside the fact, in full, until
-      it is in place, so a crash in between loses nothing, whatever becomes of the scratch folder.
+    * nothing stored there: the deduplicated batch is added;
+    * matches, none changed (a replay): only new keys are added;
+    * changed rows: the files that hold them are replaced by new ones.
 
-    A stored key that occurs twice fails the load.
+    All of it, with ``mark`` (how far the feed is loaded, in microseconds), becomes visible at once. A crash before leaves files
+    that belong to no version. Two loads may run at a time: the second to commit goes on top of the first, and if both
+    touch a period, it is worked out anew. A stored key that occurs twice fails the load.
     """
-    finish_pending_rewrites(spark, path)
     period = period_of(grain)
     # At most one row per calendar day, and one for undated rows.
     found = (
@@ -153,44 +156,115 @@ def upsert_into(spark: SparkSession, path: str, batch: DataFrame, grain: str = "
         return {"records": 0, "upserted": 0, "modified": 0}
     if found[0][PERIOD] is None:
         raise ContractViolation(f"invoice_date is missing in {found[0]['n']} rows")
-    periods = [row[PERIOD] for row in found]
 
-    def touched(rows: DataFrame) -> DataFrame:
-        rows = rows.filter(F.col(PERIOD).isin(periods))
-        if len(found) > _MAX_RANGES:
-            return rows
+    def change_from(base: Version) -> tuple[Change, dict[str, int]]:
+        listed = snapshots.files(spark, _root(path), base)
+        _check_grain(listed, grain)
+        near = _may_match(listed, found)
+        if near:
+            with run_scratch(spark, "upsert"):
+                change, counts = _merged(spark, path, near, batch, found, grain)
+        else:
+            change = Change(_write(spark, path, _laid_out(deduplicate(batch).withColumn(PERIOD, period))))
+            counts = {"upserted": sum(f.rows for f in change.added), "modified": 0}
+        change.periods, change.mark = frozenset(r[PERIOD] for r in found), mark
+        return change, counts
+
+    counts = _committed(spark, path, change_from)
+    compact(spark, path, {r[PERIOD] for r in found})
+    return {"records": records, **counts}
+
+
+def _committed(spark: SparkSession, path: str, change_from: Callable[[Version], tuple[Change, dict]]) -> dict[str, int]:
+    """Work a change out and commit it, anew as often as another load was first in its periods."""
+    for _ in range(_ATTEMPTS):
+        base = _current(spark, path)
+        change, counts = change_from(base)
+        moves = change.mark is not None and (base.mark is None or change.mark > base.mark)
+        if change.is_empty() and not moves:
+            return counts
+        if snapshots.commit(spark, _root(path), base, change):
+            return counts
+        snapshots.discard(spark, _root(path), change)
+    raise RuntimeError(f"other loads were first in the same periods of {path} {_ATTEMPTS} times")
+
+
+def _merged(
+    spark: SparkSession, path: str, near: list[StoredFile], batch: DataFrame, found: list[Row], grain: str
+) -> tuple[Change, dict[str, int]]:
+    """New keys and changed rows as new files, in place of the files that hold what changed; neither for a replay."""
+    period = period_of(grain)
+    target = _read_files(spark, path, near, with_file=True)
+    if len(found) <= _MAX_RANGES:
         moment = lambda micros: F.timestamp_micros(F.lit(micros))
         ranges = [F.col("invoice_date").between(moment(r["first"]), moment(r["last"])) for r in found]
-        return rows.filter(reduce(or_, ranges))
+        target = target.filter(reduce(or_, ranges))
+    changes = classify(target, batch, unique_target=True, carry=(_FILE,)).filter(F.col("_change").isin(INSERT, UPDATE))
+    changes = stage(changes.withColumn(PERIOD, period), "changes")
+    by_file = {(r["_change"], r[_FILE]): r["count"] for r in changes.groupBy("_change", _FILE).count().collect()}
+    counts = {kind: sum(n for (k, _), n in by_file.items() if k == kind) for kind in (INSERT, UPDATE)}
+    dirty = {file for kind, file in by_file if kind == UPDATE}
+    rows = changes.filter(F.col("_change") == INSERT).select(*_STORED.fieldNames())
+    if dirty:
+        held = _read_files(spark, path, [f for f in near if f.file in dirty])
+        rows = upsert(held, changes.filter(F.col("_change") == UPDATE)).withColumn(PERIOD, period).unionByName(rows)
+    change = Change(_write(spark, path, _laid_out(rows)) if by_file else [], sorted(dirty))
+    return change, {"upserted": counts[INSERT], "modified": counts[UPDATE]}
 
-    target = _stored(spark, path)
-    _check_grain(target, grain)
-    if target is None or touched(target).isEmpty():
-        _log_write(spark, path, "append", periods)
-        _append(deduplicate(batch).withColumn(PERIOD, period), path)
-        return {"records": records, "upserted": touched(_stored(spark, path)).count(), "modified": 0}
 
-    changes = classify(touched(target), batch, unique_target=True).filter(F.col("_change").isin(INSERT, UPDATE))
-    with run_scratch(spark, "upsert"):
-        changes = stage(changes.withColumn(PERIOD, period), "changes")
-        return {"records": records, **_apply(spark, path, target, changes, grain)}
+def append_rows(spark: SparkSession, path: str, rows: DataFrame, grain: str = "month") -> None:
+    """Add rows as they are, without looking for their keys."""
 
+    def change_from(base: Version) -> tuple[Change, dict]:
+        _check_grain(snapshots.files(spark, _root(path), base), grain)
+        return Change(_write(spark, path, _laid_out(rows.withColumn(PERIOD, period_of(grain))))), {}
 
-def _apply(spark: SparkSession, path: str, target: DataFrame, changes: DataFrame, grain: str) -> dict[str, int]:
-    """Write new keys and changed rows; a replay has neither and writes nothing."""
-    period = period_of(grain)
-    found = {(r[PERIOD], r["_change"]): r["count"] for r in changes.groupBy(PERIOD, "_change").count().collect()}
-    counts = {kind: sum(n for (_, k), n in found.items() if k == kind) for kind in (INSERT, UPDATE)}
-    dirty = [p for p, kind in found if kind == UPDATE]
-    new_in = {p for p, kind in found if kind == INSERT} - set(dirty)
-    inserts = changes.filter((F.col("_change") == INSERT) & ~F.col(PERIOD).isin(dirty))
-    if dirty:
-        rewritten = upsert(
-            target.filter(F.col(PERIOD).isin(dirty)), changes.filter(F.col(PERIOD).isin(dirty))
-        ).withColumn(PERIOD, period)
-        entry = _log_write(spark, path, "rewrite", sorted(dirty), rewritten.select(*_STORED.fieldNames()))
-        _publish(spark, path, entry)
-    if new_in:
-        _log_write(spark, path, "append", sorted(new_in))
-        _append(inserts, path)
-    return {"upserted": counts[INSERT], "modified": counts[UPDATE]}
+    _committed(spark, path, change_from)
+
+
+def _bins(small: list[StoredFile], file_bytes: int) -> list[list[StoredFile]]:
+    """Neighbours in time that together make a file of the wanted size at most."""
+    bins: list[list[StoredFile]] = []
+    for f in small:
+        if bins and bins[-1][0].period == f.period and sum(b.bytes for b in bins[-1]) + f.bytes <= file_bytes:
+            bins[-1].append(f)
+        else:
+            bins.append([f])
+    return [b for b in bins if len(b) > 1]
+
+
+def compact(
+    spark: SparkSession,
+    path: str,
+    periods: set[str] | None = None,
+    file_bytes: int = FILE_BYTES,
+    small_files: int = SMALL_FILES,
+) -> int:
+    """Put small files of a period together once it has more than ``small_files`` of them; how many went.
+
+    Rows stay as they are, and so do readers: it is a version like any other. If a load was first in one of these
+    periods, nothing happens; the next one finds the files again.
+    """
+    base = _current(spark, path)
+    by_period: dict[str, list[StoredFile]] = {}
+    for f in snapshots.files(spark, _root(path), base):
+        if f.bytes < file_bytes / 2 and (periods is None or f.period in periods):
+            by_period.setdefault(f.period, []).append(f)
+    bins = _bins([f for small in by_period.values() if len(small) > small_files for f in small], file_bytes)
+    if not bins:
+        return 0
+    old = [f for b in bins for f in b]
+    # One range of numbers for each bin, so no two of them become one file.
+    number = {f.file: at for at, b in enumerate(bins) for f in b}
+    numbers = spark.createDataFrame(list(number.items()), f"{_FILE} string, _bin int")
+    rows = _read_files(spark, path, old, with_file=True).join(F.broadcast(numbers), _FILE)
+    laid_out = rows.repartitionByRange(len(bins), "_bin").sortWithinPartitions(PERIOD, "invoice_date")
+    added = _write(spark, path, laid_out)
+    change = Change(added, [f.file for f in old], frozenset(f.period for f in old))
+    if sum(f.rows for f in added) != sum(f.rows for f in old):
+        snapshots.discard(spark, _root(path), change)
+        raise RuntimeError(f"putting files of {path} together would have changed the number of rows")
+    if snapshots.commit(spark, _root(path), base, change) is None:
+        snapshots.discard(spark, _root(path), change)
+        return 0
+    return len(old)

@@ -1,6 +1,7 @@
 import json
 import os
 import random
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 
 import pytest
@@ -8,13 +9,14 @@ from pyspark.sql import functions as F
 from samples import RATES, countries, fact_row, facts, line, rates, sales, sorted_rows, utc
 
 import basketry.sources.fact_table as fact_table
+import basketry.sources.snapshots as snapshots
 from basketry.operators.contracts import ContractViolation, check_unique_key
 from basketry.operators.fact import without_key_text
 from basketry.operators.upsert import classify, deduplicate, upsert, upsert_counts
 from basketry.plans import runs
 from basketry.plans.transform import to_fact
 from basketry.schemas import FACT
-from basketry.session import list_names, run_scratch, scratch_dir, stage
+from basketry.session import list_names, scratch_dir, stage
 from basketry.sources.fact_table import read_fact, upsert_into
 from basketry.sources.sales import stream_sales_csv
 from basketry.sources.watermark import get_last_watermark
@@ -125,36 +127,24 @@ def test_undated_rows_are_refused(spark, tmp_path):
         upsert_into(spark, str(tmp_path / "fact"), batch)
 
 
-def test_crash_while_publishing_loses_nothing(spark, tmp_path, monkeypatch):
+def die(*_):
+    raise RuntimeError("driver died")
+
+
+@pytest.mark.parametrize("at", ["claim", "_write_list"])
+def test_crash_before_the_commit_changes_nothing(spark, tmp_path, monkeypatch, at):
     path = str(tmp_path / "fact")
     rows = [fact_row(row_hash=f"j{i}") for i in range(4)]
-    upsert_into(spark, path, stage(facts(spark, rows), "batch"))
+    upsert_into(spark, path, stage(facts(spark, rows), "batch"), mark=5)
     change = stage(facts(spark, [fact_row(row_hash="j0", region="Asia")]), "batch")
-    publish = fact_table._publish
-
-    def crash(*_):
-        # The driver dies after the old files of the period went and before the new ones came.
-        nothing = read_fact(spark, path).filter("false")
-        for file in (tmp_path / "fact" / "invoice_period=2011-01").glob("*"):
-            file.write_bytes(nothing_bytes(spark, tmp_path, nothing))
-        raise RuntimeError("driver died")
-
-    monkeypatch.setattr(fact_table, "_publish", crash)
-    with pytest.raises(RuntimeError):
-        upsert_into(spark, path, change)
-    monkeypatch.setattr(fact_table, "_publish", publish)
-    spark.catalog.clearCache()
-    assert upsert_into(spark, path, change) == {"records": 1, "upserted": 0, "modified": 0}
-    found = {r["row_hash"]: r["region"] for r in read_fact(spark, path).collect()}
-    assert found == {"j0": "Asia", "j1": "Europe", "j2": "Europe", "j3": "Europe"}
-
-
-def nothing_bytes(spark, tmp_path, empty):
-    folder = tmp_path / "nothing"
-    if not folder.exists():
-        empty.drop("invoice_period").coalesce(1).write.parquet(str(folder))
-    files = list(folder.glob("part-*.parquet"))
-    return files[0].read_bytes()
+    with monkeypatch.context() as patch:
+        patch.setattr(snapshots, at, die)
+        with pytest.raises(RuntimeError, match="driver died"):
+            upsert_into(spark, path, change, mark=9)
+    assert set(regions(spark, path).values()) == {"Europe"} and fact_table.stored_mark(spark, path) == 5
+    assert upsert_into(spark, path, change, mark=9) == {"records": 1, "upserted": 0, "modified": 1}
+    assert regions(spark, path) == {"j0": "Asia", "j1": "Europe", "j2": "Europe", "j3": "Europe"}
+    assert fact_table.stored_mark(spark, path) == 9
 
 
 def feeds(tmp_path, *files):
@@ -233,23 +223,11 @@ def test_lost_lines_fail_the_run(spark, tmp_path, monkeypatch):
 def test_stored_key_held_twice_fails_the_load(spark, tmp_path):
     path = str(tmp_path / "fact")
     upsert_into(spark, path, stage(facts(spark, [fact_row()]), "batch"))
-    fact_table._append(facts(spark, [fact_row(region="Asia")]).withColumn("invoice_period", F.lit("2011-01")), path)
+    fact_table.append_rows(spark, path, facts(spark, [fact_row(region="Asia")]))
     with pytest.raises(Exception, match="business key is not unique"):
         upsert_into(spark, path, stage(facts(spark, [fact_row(row_hash="new")]), "batch"))
 
 
-def crashed(spark, path, monkeypatch, *rows):
-    """A load that dies after it has announced its rewrite; nothing of it is put in place."""
-    with monkeypatch.context() as patch:
-        def die(*_):
-            raise RuntimeError("driver died")
-
-        patch.setattr(fact_table, "_publish", die)
-        patch.setattr(fact_table, "finish_pending_rewrites", lambda *_: None)
-        with run_scratch(spark, "lost"), pytest.raises(RuntimeError):
-            upsert_into(spark, path, stage(facts(spark, list(rows)), "batch"))
-
-
 MONTHS = [fact_row(row_hash=f"{m}{i}", invoice_date=utc(f"2011-{m}-0{i}")) for m in ("01", "02", "03") for i in (1, 2)]
 
 
@@ -261,32 +239,162 @@ def regions(spark, path):
     return {r["row_hash"]: r["region"] for r in read_fact(spark, path).collect()}
 
 
-def test_two_open_rewrites_lose_nothing(spark, tmp_path, monkeypatch):
+def between(monkeypatch, act):
+    """Run ``act`` once just before the next load claims its version."""
+    claim = snapshots.claim
+    waiting = [act]
+
+    def claim_later(*args):
+        if waiting:
+            waiting.pop()()
+        return claim(*args)
+
+    monkeypatch.setattr(snapshots, "claim", claim_later)
+
+
+def counted(monkeypatch):
+    calls = []
+    monkeypatch.setattr(
+        fact_table, "classify", lambda *args, **options: calls.append(1) or classify(*args, **options)
+    )
+    return calls
+
+
+def test_interleaved_loads_of_one_period_lose_nothing(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "fact")
     upsert_into(spark, path, stage(facts(spark, MONTHS), "batch"))
-    crashed(spark, path, monkeypatch, changed(MONTHS[0]))
-    crashed(spark, path, monkeypatch, changed(MONTHS[2]))  # the scratch folders of both are gone
-    extra = fact_row(row_hash="extra", invoice_date=utc("2011-02-09"))
-    upsert_into(spark, path, stage(facts(spark, [changed(MONTHS[3], "Africa"), extra]), "batch"))
-    upsert_into(spark, path, stage(facts(spark, [fact_row(row_hash="other", invoice_date=utc("2011-05-01"))]), "batch"))
+    mine = stage(facts(spark, [changed(MONTHS[0]), fact_row(row_hash="a", invoice_date=utc("2011-01-01"))]), "mine")
+    theirs = stage(facts(spark, [
+        changed(MONTHS[0], "Africa"), changed(MONTHS[1], "Africa"), fact_row(row_hash="b", invoice_date=utc("2011-01-01"))
+    ]), "theirs")
+    other = []
+    between(monkeypatch, lambda: other.append(upsert_into(spark, path, theirs, mark=8)))
+    calls = counted(monkeypatch)
+    assert upsert_into(spark, path, mine, mark=7) == {"records": 2, "upserted": 1, "modified": 1}
+    assert other == [{"records": 3, "upserted": 1, "modified": 2}] and len(calls) == 3  # mine was worked out twice
     assert regions(spark, path) == {
-        "011": "Asia", "012": "Europe", "021": "Asia", "022": "Africa", "031": "Europe", "032": "Europe",
-        "extra": "Europe", "other": "Europe",
+        "011": "Asia", "012": "Africa", "021": "Europe", "022": "Europe", "031": "Europe", "032": "Europe",
+        "a": "Europe", "b": "Europe",
     }
-    assert [n for n in list_names(spark, f"{path}_writes") if "rewrite" in n] == []
+    assert fact_table.stored_mark(spark, path) == 8
+    check_unique_key(read_fact(spark, path))
+
+
+def test_interleaved_loads_of_different_periods_are_worked_out_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    upsert_into(spark, path, stage(facts(spark, MONTHS), "batch"))
+    mine, theirs = (stage(facts(spark, [changed(MONTHS[i])]), "batch") for i in (0, 2))
+    between(monkeypatch, lambda: upsert_into(spark, path, theirs))
+    calls = counted(monkeypatch)
+    upsert_into(spark, path, mine)
+    assert len(calls) == 2
+    found = regions(spark, path)
+    assert found["011"] == found["021"] == "Asia" and len(found) == len(MONTHS)
+
+
+def test_first_loads_at_the_same_moment(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    both = [stage(facts(spark, [fact_row(row_hash="same"), fact_row(row_hash=name)]), "batch") for name in "ab"]
+    between(monkeypatch, lambda: upsert_into(spark, path, both[1]))
+    assert upsert_into(spark, path, both[0]) == {"records": 2, "upserted": 1, "modified": 0}
+    assert set(regions(spark, path)) == {"same", "a", "b"}
+    check_unique_key(read_fact(spark, path))
 
 
-def test_nothing_is_published_over_newer_rows(spark, tmp_path, monkeypatch):
+def test_only_one_writer_claims_a_version(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: snapshots.claim(spark, path, snapshots.Version(1, mark=i)), range(8)))
+    assert sum(won) == 1 and snapshots.current(spark, path).mark == won.index(True)
+
+
+def test_a_reader_sees_one_version(spark, tmp_path):
     path = str(tmp_path / "fact")
     upsert_into(spark, path, stage(facts(spark, MONTHS), "batch"))
-    crashed(spark, path, monkeypatch, changed(MONTHS[0]))
-    late = fact_row(row_hash="late", invoice_date=utc("2011-01-20"))
-    with monkeypatch.context() as patch:  # a writer that did not look at the log
-        patch.setattr(fact_table, "finish_pending_rewrites", lambda *_: None)
-        upsert_into(spark, path, stage(facts(spark, [late]), "batch"))
-    with pytest.raises(RuntimeError, match="written since"):
-        upsert_into(spark, path, stage(facts(spark, [late]), "batch"))
-    assert regions(spark, path)["late"] == "Europe"
+    before = read_fact(spark, path)
+    for region in ("Asia", "Africa"):
+        upsert_into(spark, path, stage(facts(spark, [changed(r, region) for r in MONTHS]), "batch"))
+        assert {r["region"] for r in before.collect()} == {"Europe"} and before.count() == len(MONTHS)
+        assert set(regions(spark, path).values()) == {region}
+
+
+def test_only_files_with_changes_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    days = [fact_row(row_hash=f"d{d}", invoice_date=utc(f"2011-01-{d:02}")) for d in range(1, 7)]
+    for row in days:
+        upsert_into(spark, path, stage(facts(spark, [row]), "batch"))
+    before = {f.file for f in fact_table.stored_files(spark, path)}
+    assert len(before) == 6
+    upsert_into(spark, path, stage(facts(spark, [changed(days[1]), days[3]]), "batch"))
+    after = {f.file for f in fact_table.stored_files(spark, path)}
+    assert len(before - after) == 1 and len(after - before) == 1
+    assert regions(spark, path) == {f"d{d}": "Asia" if d == 2 else "Europe" for d in range(1, 7)}
+
+
+def test_files_outside_the_times_of_a_batch_are_not_read(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    days = [fact_row(row_hash=f"d{d}", invoice_date=utc(f"2011-01-{d:02}")) for d in range(1, 7)]
+    for row in days:
+        upsert_into(spark, path, stage(facts(spark, [row]), "batch"))
+    read = []
+    inner = fact_table._merged
+    monkeypatch.setattr(fact_table, "_merged", lambda s, p, near, *rest: read.append(len(near)) or inner(s, p, near, *rest))
+    late = fact_row(row_hash="late", invoice_date=utc("2011-01-03"))
+    assert upsert_into(spark, path, stage(facts(spark, [late]), "batch"))["upserted"] == 1
+    assert read == [1]
+
+
+def test_versions_and_what_they_dropped_go(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    monkeypatch.setattr(snapshots, "KEPT", 3)
+    monkeypatch.setattr(snapshots, "_LISTS", 4)
+    for i in range(9):
+        rows = [fact_row(row_hash="r", region=f"Region {i}"), fact_row(row_hash=f"e{i}")]
+        upsert_into(spark, path, stage(facts(spark, rows), "batch"))
+    assert len([n for n in list_names(spark, f"{path}/_versions") if n[0] == "0"]) == 3
+    assert len([n for n in list_names(spark, f"{path}/_versions") if n.startswith("files-")]) <= 4 + 3
+    assert not [n for n in list_names(spark, f"{path}/_versions") if n.startswith("claim")]
+    live = {f.file for f in fact_table.stored_files(spark, path)}
+    on_disk = {str(f.relative_to(path)) for f in (tmp_path / "fact").rglob("part-*.parquet")}
+    assert live <= on_disk and len(on_disk - live) <= 3
+    assert regions(spark, path) == {"r": "Region 8"} | {f"e{i}": "Europe" for i in range(9)}
+
+
+def test_many_small_loads_leave_few_files(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    monkeypatch.setattr(fact_table, "SMALL_FILES", 4)
+    monkeypatch.setattr(fact_table.compact, "__defaults__", (None, fact_table.FILE_BYTES, 4))
+    rows = [fact_row(row_hash=f"r{i}", invoice_date=utc(f"2011-0{1 + i % 2}-{1 + i % 9:02}")) for i in range(24)]
+    for row in rows:
+        upsert_into(spark, path, stage(facts(spark, [row]), "batch"))
+    assert len(fact_table.stored_files(spark, path)) <= 2 * 5
+    assert sorted(regions(spark, path)) == sorted(f"r{i}" for i in range(24))
+    check_unique_key(read_fact(spark, path))
+
+
+def test_put_together_files_keep_their_size_and_yield_to_loads(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    days = [fact_row(row_hash=f"d{d}", invoice_date=utc(f"2011-01-{d:02}")) for d in range(1, 9)]
+    for row in days:
+        upsert_into(spark, path, stage(facts(spark, [row]), "batch"))
+    listed = fact_table.stored_files(spark, path)
+    size = listed[0].bytes * 3
+    with monkeypatch.context() as patch:
+        between(patch, lambda: upsert_into(spark, path, stage(facts(spark, [changed(days[0])]), "batch")))
+        assert fact_table.compact(spark, path, file_bytes=size, small_files=2) == 0
+    assert regions(spark, path)["d1"] == "Asia"
+    assert fact_table.compact(spark, path, file_bytes=size, small_files=2) >= 6
+    after = fact_table.stored_files(spark, path)
+    assert 3 <= len(after) <= 5 and sum(f.rows for f in after) == 8
+    assert all(a.last <= b.first for a, b in zip(after, after[1:]))
+    assert sorted(regions(spark, path)) == sorted(f"d{d}" for d in range(1, 9))
+
+
+def test_a_fact_without_versions_is_refused(spark, tmp_path):
+    path = tmp_path / "fact"
+    (path / "invoice_period=2011-01").mkdir(parents=True)
+    with pytest.raises(ValueError, match="without versions"):
+        read_fact(spark, str(path))
 
 
 def test_only_touched_periods_are_read_and_a_replay_writes_nothing(spark, tmp_path, monkeypatch):
@@ -308,31 +416,35 @@ def test_only_touched_periods_are_read_and_a_replay_writes_nothing(spark, tmp_pa
     assert scan == [2]
 
 
-def test_the_log_of_writes_does_not_grow(spark, tmp_path):
-    path = str(tmp_path / "fact")
-    for i in range(4):
-        row = fact_row(row_hash="r", region=f"Region {i}")
-        extra = fact_row(row_hash=f"e{i}")
-        upsert_into(spark, path, stage(facts(spark, [row, extra]), "batch"))
-    assert len(list_names(spark, f"{path}_writes")) <= 1
-
-
 def test_failed_load_is_repeated(spark, tmp_path, monkeypatch):
     fact, meta = str(tmp_path / "fact"), str(tmp_path / "meta")
     inputs = feeds(tmp_path, FIRST)
-    update = runs.update_watermark
 
-    def fail(*_):
-        raise RuntimeError("lost")
+    def run():
+        return runs.run_daily(spark, *inputs, fact, meta, min_countries=1, multi_line=False)
 
-    monkeypatch.setattr(runs, "update_watermark", fail)
-    with pytest.raises(RuntimeError):
-        runs.run_daily(spark, *inputs, fact, meta, min_countries=1, multi_line=False)
-    assert get_last_watermark(spark, meta) is None
+    with monkeypatch.context() as patch:
+        patch.setattr(snapshots, "claim", die)
+        with pytest.raises(RuntimeError):
+            run()
+    assert fact_table.stored_mark(spark, fact) is None and get_last_watermark(spark, meta) is None
+    assert read_fact(spark, fact).count() == 0
+    again = run()
+    assert (again.received, again.added, again.changed) == (3, 2, 0)
+    assert get_last_watermark(spark, meta) == utc("2011-01-08")
+
+
+def test_no_crash_parts_the_mark_from_the_rows(spark, tmp_path, monkeypatch):
+    fact, meta = str(tmp_path / "fact"), str(tmp_path / "meta")
+    inputs = feeds(tmp_path, FIRST)
+    with monkeypatch.context() as patch:
+        patch.setattr(runs, "update_watermark", die)  # after the commit, before the copy of the mark
+        with pytest.raises(RuntimeError):
+            runs.run_daily(spark, *inputs, fact, meta, min_countries=1, multi_line=False)
     before = stored(spark, fact)
-    monkeypatch.setattr(runs, "update_watermark", update)
+    assert get_last_watermark(spark, meta) is None and fact_table.stored_mark(spark, fact) is not None
     again = runs.run_daily(spark, *inputs, fact, meta, min_countries=1, multi_line=False)
-    assert (again.received, again.added, again.changed) == (3, 0, 0)
+    assert (again.received, again.added, again.newer_than) == (0, 0, "2011-01-08T00:00:00+00:00")
     assert stored(spark, fact) == before and get_last_watermark(spark, meta) == utc("2011-01-08")
 
 

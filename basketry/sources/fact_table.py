@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 
 from basketry.operators.contracts import ContractViolation
 from basketry.operators.upsert import INSERT, UPDATE, classify, deduplicate, upsert
-from basketry.schemas import FACT
+from basketry.schemas import FACT, KEY
 from basketry.session import delete_path, list_names, move_path, path_exists, run_scratch, stage
-from basketry.sources import snapshots
+from basketry.sources import key_filters, snapshots
 from basketry.sources.snapshots import Change, StoredFile, Version
 
 PERIOD = "invoice_period"
@@ -101,10 +101,47 @@ def _write(spark: SparkSession, path: str, rows: DataFrame) -> list[StoredFile]:
         F.count("*").alias("n"), F.min(F.unix_micros("invoice_date")).alias("first"),
         F.max(F.unix_micros("invoice_date")).alias("last"),
     )
-    return [
+    added = [
         StoredFile(f"{PERIOD}={r[PERIOD]}/{_LOAD}={load}/{r['name']}", r[PERIOD], r["n"], r["size"], r["first"], r["last"])
         for r in found.collect()
     ]
+    _write_filters(spark, root, load, added)
+    return added
+
+
+def _keys_path(root: str, load: str) -> str:
+    return f"{root}/_keys/{_LOAD}={load}"
+
+
+def _load_of(file: str) -> str:
+    return file.split(f"/{_LOAD}=")[1].split("/")[0]
+
+
+def _write_filters(spark: SparkSession, root: str, load: str, added: list[StoredFile]) -> None:
+    """A Bloom filter of the keys of each new file."""
+    rows = _read_files(spark, root, added, with_file=True)
+    words = spark.createDataFrame([(f.file, key_filters.words_for(f.rows)) for f in added], "file string, words long")
+    filters = key_filters.build(rows, _FILE, key_filters.key_hash(*KEY), words)
+    filters.sortWithinPartitions("file", "word").write.parquet(_keys_path(root, load))
+
+
+def _that_may_hold(spark: SparkSession, path: str, near: list[StoredFile], batch: DataFrame, grain: str) -> list[StoredFile]:
+    """Of files whose times overlap those of a batch, the ones that may hold a key of it.
+
+    A line is asked for only where its own time lies in the file's; files are told apart by time, so that is in few
+    of them. The list of files is broadcast: as many rows as the driver holds.
+    """
+    root = _root(path)
+    listed = spark.createDataFrame(
+        [(f.file, f.period, f.first, f.last, key_filters.words_for(f.rows)) for f in near],
+        f"file string, {PERIOD} string, first long, last long, words long",
+    )
+    at = F.unix_micros("invoice_date")
+    lines = batch.select(period_of(grain).alias(PERIOD), at.alias("at"), key_filters.key_hash(*KEY).alias("h"))
+    asked = lines.join(F.broadcast(listed), PERIOD).filter(F.col("at").between(F.col("first"), F.col("last")))
+    filters = key_filters.read(spark, sorted({_keys_path(root, _load_of(f.file)) for f in near}))
+    found = {r["file"] for r in key_filters.may_hold(asked, filters).collect()}
+    return [f for f in near if f.file in found]
 
 
 def _check_grain(listed: list[StoredFile], grain: str) -> None:
@@ -132,7 +169,8 @@ def upsert_into(
 
     The invoice time is part of the row hash, so equal keys share their time and period (but for
     collisions of the 48-bit hash within one invoice, product and customer). Only files of the batch's
-    own periods whose times overlap the batch's can hold a match; for a batch newer than the mark there are none.
+    own periods whose times overlap the batch's can hold a match, for a batch newer than the mark none; of
+    these, only files whose key filter knows a key of the batch are read.
 
     * nothing stored there: the deduplicated batch is added;
     * matches, none changed (a replay): only new keys are added;
@@ -161,6 +199,7 @@ def upsert_into(
         listed = snapshots.files(spark, _root(path), base)
         _check_grain(listed, grain)
         near = _may_match(listed, found)
+        near = _that_may_hold(spark, path, near, batch, grain) if near else near
         if near:
             with run_scratch(spark, "upsert"):
                 change, counts = _merged(spark, path, near, batch, found, grain)
@@ -175,6 +214,24 @@ def upsert_into(
     return {"records": records, **counts}
 
 
+def _forgetting(spark: SparkSession, path: str) -> Callable[[set[str]], None]:
+    """Drop the filters of loads of which no version has a file any more."""
+
+    def forget(expired: set[str]) -> None:
+        kept = {_load_of(f) for f in snapshots.kept_files(spark, _root(path), _current(spark, path))}
+        for load in {_load_of(f) for f in expired} - kept:
+            delete_path(spark, _keys_path(_root(path), load))
+
+    return forget
+
+
+def _discard(spark: SparkSession, path: str, change: Change) -> None:
+    """Delete what was written for a change that was not committed."""
+    snapshots.discard(spark, _root(path), change)
+    for load in {_load_of(f.file) for f in change.added}:
+        delete_path(spark, _keys_path(_root(path), load))
+
+
 def _committed(spark: SparkSession, path: str, change_from: Callable[[Version], tuple[Change, dict]]) -> dict[str, int]:
     """Work a change out and commit it, anew as often as another load was first in its periods."""
     for _ in range(_ATTEMPTS):
@@ -183,9 +240,9 @@ def _committed(spark: SparkSession, path: str, change_from: Callable[[Version],
         moves = change.mark is not None and (base.mark is None or change.mark > base.mark)
         if change.is_empty() and not moves:
             return counts
-        if snapshots.commit(spark, _root(path), base, change):
+        if snapshots.commit(spark, _root(path), base, change, _forgetting(spark, path)):
             return counts
-        snapshots.discard(spark, _root(path), change)
+        _discard(spark, path, change)
     raise RuntimeError(f"other loads were first in the same periods of {path} {_ATTEMPTS} times")
 
 
@@ -262,9 +319,9 @@ def compact(
     added = _write(spark, path, laid_out)
     change = Change(added, [f.file for f in old], frozenset(f.period for f in old))
     if sum(f.rows for f in added) != sum(f.rows for f in old):
-        snapshots.discard(spark, _root(path), change)
+        _discard(spark, path, change)
         raise RuntimeError(f"putting files of {path} together would have changed the number of rows")
-    if snapshots.commit(spark, _root(path), base, change) is None:
-        snapshots.discard(spark, _root(path), change)
+    if snapshots.commit(spark, _root(path), base, change, _forgetting(spark, path)) is None:
+        _discard(spark, path, change)
         return 0
     return len(old)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from samples import RATES, countries, fact_row, facts, line, rates, sales, sorted_rows, utc
 
 import basketry.sources.fact_table as fact_table
+import basketry.sources.key_filters as key_filters
 import basketry.sources.snapshots as snapshots
 from basketry.operators.contracts import ContractViolation, check_unique_key
 from basketry.operators.fact import without_key_text
@@ -339,11 +340,50 @@ def test_files_outside_the_times_of_a_batch_are_not_read(spark, tmp_path, monkey
     read = []
     inner = fact_table._merged
     monkeypatch.setattr(fact_table, "_merged", lambda s, p, near, *rest: read.append(len(near)) or inner(s, p, near, *rest))
-    late = fact_row(row_hash="late", invoice_date=utc("2011-01-03"))
-    assert upsert_into(spark, path, stage(facts(spark, [late]), "batch"))["upserted"] == 1
+    assert upsert_into(spark, path, stage(facts(spark, [changed(days[2])]), "batch"))["modified"] == 1
     assert read == [1]
 
 
+def test_a_late_line_reads_only_files_that_may_hold_its_key(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    day = utc("2011-01-05")
+    for i in range(6):  # six files of the same time
+        rows = [fact_row(row_hash=f"f{i}-{n}", invoice_date=day) for n in range(20)]
+        upsert_into(spark, path, stage(facts(spark, rows), "batch"))
+    read = []
+    inner = fact_table._merged
+    monkeypatch.setattr(fact_table, "_merged", lambda s, p, near, *rest: read.append(len(near)) or inner(s, p, near, *rest))
+    new = fact_row(row_hash="late", invoice_date=day)
+    assert upsert_into(spark, path, stage(facts(spark, [new]), "batch"))["upserted"] == 1
+    known = fact_row(row_hash="f3-7", invoice_date=day, region="Asia")
+    assert upsert_into(spark, path, stage(facts(spark, [known]), "batch"))["modified"] == 1
+    assert sum(read) <= 3  # the file that holds it; a filter rarely takes one key for another
+    assert regions(spark, path)["f3-7"] == "Asia" and len(regions(spark, path)) == 121
+    check_unique_key(read_fact(spark, path))
+
+
+def test_key_filters_know_every_key_and_few_others(spark):
+    rows = spark.range(20_000).select(
+        F.concat(F.lit("file"), F.col("id") % 7).alias("f"), F.col("id").cast("string").alias("key"),
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("part"),
+    )
+    sizes = {r["f"]: r["count"] for r in rows.groupBy("f").count().collect()}
+    words = spark.createDataFrame([(f, key_filters.words_for(n)) for f, n in sizes.items()], "file string, words long")
+    hashed = key_filters.key_hash("key", "part")
+    filters = key_filters.build(rows, "f", hashed, words).cache()
+    assert filters.groupBy("file").count().filter("count > 1024").count() == 0
+    own = rows.select(F.col("f").alias("file"), hashed.alias("h")).join(words, "file")
+    assert key_filters.may_hold(own.filter("file = 'file3'").limit(1), filters).first()["file"] == "file3"
+    # One by one: each pair as a file of its own, so that every key is asked for by itself.
+    asked = own.select(key_filters._word(F.col("h"), F.col("words")).alias("word"), key_filters._mask(F.col("h")).alias("mask"), "file")
+    known = asked.join(filters, ["file", "word"]).filter(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
+    assert known.count() == 20_000
+    others = spark.range(20_000).select(F.lit("file1").alias("file"), F.xxhash64(F.col("id") + 10**9).alias("h")).join(words, "file")
+    asked = others.select(key_filters._word(F.col("h"), F.col("words")).alias("word"), key_filters._mask(F.col("h")).alias("mask"), "file")
+    wrong = asked.join(filters, ["file", "word"]).filter(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
+    assert wrong.count() < 600
+
+
 def test_versions_and_what_they_dropped_go(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "fact")
     monkeypatch.setattr(snapshots, "KEPT", 3)
@@ -355,8 +395,10 @@ def test_versions_and_what_they_dropped_go(spark, tmp_path, monkeypatch):
     assert len([n for n in list_names(spark, f"{path}/_versions") if n.startswith("files-")]) <= 4 + 3
     assert not [n for n in list_names(spark, f"{path}/_versions") if n.startswith("claim")]
     live = {f.file for f in fact_table.stored_files(spark, path)}
-    on_disk = {str(f.relative_to(path)) for f in (tmp_path / "fact").rglob("part-*.parquet")}
+    on_disk = {str(f.relative_to(path)) for f in (tmp_path / "fact").glob("invoice_period=*/*/part-*.parquet")}
     assert live <= on_disk and len(on_disk - live) <= 3
+    loads = {f.split("load=")[1].split("/")[0] for f in on_disk}
+    assert {n.split("=")[1] for n in list_names(spark, f"{path}/_keys")} == loads
     assert regions(spark, path) == {"r": "Region 8"} | {f"e{i}": "Europe" for i in range(9)}
 
 

@@ -198,7 +198,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, broadcast_rows: int = BR
     if not n_terms:
         return None
     words = docs.select(F.explode(_distinct_words(F.col("text"))).alias("term"))
-    n_term = words.join(_sized(terms, n_terms <= broadcast_rows), "term").groupBy("term").agg(F.count("*").alias("n_term"))
+    # Words are counted by task before any are joined: a frequent term would make a row for each text that has it.
+    n_term = words.groupBy("term").agg(F.count("*").alias("n_term")).join(_sized(terms, n_terms <= broadcast_rows), "term")
     n_entity = entities.groupBy("entity").agg(F.countDistinct("row").alias("n_entity"))
     total = F.lit(float(docs.count()))
     told = F.log2(total * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))

@@ -24,15 +24,24 @@ def expect(df: DataFrame, conditions: dict[str, Column]) -> None:
         raise ContractViolation("; ".join(broken))
 
 
+def gap_metrics() -> dict[str, Column]:
+    """Lines that lack what the extract's types declare: quantity and time are never missing."""
+    return {
+        "sales_without_quantity": F.count_if(F.col("Quantity").isNull()),
+        "sales_without_date": F.count_if(F.col("InvoiceDate").isNull()),
+    }
+
+
+def check_gaps(counted: dict[str, int]) -> None:
+    """``counted`` holds the values of ``gap_metrics``, among others."""
+    columns = {"sales_without_quantity": "Quantity", "sales_without_date": "InvoiceDate"}
+    broken = [f"{column} has missing values" for name, column in columns.items() if counted[name]]
+    if broken:
+        raise ContractViolation("; ".join(broken))
+
+
 def check_sales(sales: DataFrame) -> DataFrame:
-    """The extract's declared types: quantity and time are never missing."""
-    expect(
-        sales,
-        {
-            "Quantity has missing values": F.count_if(F.col("Quantity").isNull()) == 0,
-            "InvoiceDate has missing values": F.count_if(F.col("InvoiceDate").isNull()) == 0,
-        },
-    )
+    check_gaps(one_row(sales, **gap_metrics()).first().asDict())
     return sales
 
 
@@ -50,7 +59,7 @@ def check_unique_countries(countries_norm: DataFrame) -> DataFrame:
 
 def check_accounts(counters: dict[str, int], fact_lines: int) -> None:
     """Every line read is kept or dropped by one rule, and every kept line is one line of the fact."""
-    parts = sum(n for name, n in counters.items() if name != "rows_in")
+    parts = sum(counters[name] for name in counter_metrics() if name != "rows_in")
     if parts != counters["rows_in"]:
         raise ContractViolation(f"{counters['rows_in']} lines read, but {parts} kept or dropped")
     if fact_lines != counters["rows_out"]:
@@ -76,8 +85,7 @@ def contract_report(sales: DataFrame, countries: DataFrame, fx: DataFrame, fact:
         one_row(
             sales,
             **metrics,
-            sales_without_quantity=F.count_if(F.col("Quantity").isNull()),
-            sales_without_date=F.count_if(F.col("InvoiceDate").isNull()),
+            **gap_metrics(),
         )
         .withColumns(
             {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,9 +15,13 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 def normalize_sales(sales: DataFrame) -> DataFrame:
     """Strip and lower-case country and customer; add the join key with aliases resolved."""
-    return sales.withColumns(
-        {"Country": strip_lower(F.col("Country")), "CustomerID": strip_lower(F.col("CustomerID"))}
-    ).withColumn("country_key", lookup(F.col("Country"), COUNTRY_ALIASES))
+    return with_country_key(sales.withColumn("CustomerID", strip_lower(F.col("CustomerID"))))
+
+
+def with_country_key(df: DataFrame) -> DataFrame:
+    return df.withColumn("Country", strip_lower(F.col("Country"))).withColumn(
+        "country_key", lookup(F.col("Country"), COUNTRY_ALIASES)
+    )
 
 
 def normalize_countries(countries: DataFrame) -> DataFrame:
@@ -72,10 +76,12 @@ def country_join_misses(
     countries: DataFrame,
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
     side_bytes: int | None = None,
+    lines: Column | None = None,
 ) -> DataFrame:
-    """Lines that end up without a region, out of all joined lines."""
+    """Lines that end up without a region, out of all joined lines; ``lines``: how many a row stands for."""
+    n = F.lit(1) if lines is None else lines
     return one_row(
         _join_countries(sales, countries, limit_bytes, side_bytes),
-        unmatched_rows=F.count_if(F.col("region").isNull()),
-        total_rows=F.count(F.lit(1)),
+        unmatched_rows=F.coalesce(F.sum(F.when(F.col("region").isNull(), n)), F.lit(0)).cast("bigint"),
+        total_rows=F.coalesce(F.sum(n), F.lit(0)).cast("bigint"),
     )

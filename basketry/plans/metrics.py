@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from basketry.functions.aggregates import one_row
 from basketry.functions.times import utc_day
-from basketry.operators.clean import clean_sales, counter_metrics
-from basketry.operators.enrich import country_join_misses, normalize_sales
+from basketry.operators.clean import counter_metrics
+from basketry.operators.enrich import country_join_misses, with_country_key
 from basketry.operators.fx import fx_asof
+from basketry.session import stage
 from basketry.sources.reference import fx_rate_stats
 
 
@@ -18,11 +19,12 @@ def run_metrics(
 ) -> DataFrame:
     """One row: country misses, lines at the fallback rate and that rate, days without a rate, rate figures.
 
-    The sales are read twice, each time combined before they are shuffled: per day, and for the country join.
+    The sales are read once and combined per day and country before they are shuffled; that roll-up is staged, as days and
+    countries are both looked up in it.
     """
-    per_day = sales.groupBy(utc_day(F.col("InvoiceDate")).alias("invoice_day")).agg(
-        counter_metrics()["rows_out"].alias("lines")
-    )
+    day = utc_day(F.col("InvoiceDate")).alias("invoice_day")
+    rollup = stage(sales.groupBy(day, "Country").agg(counter_metrics()["rows_out"].alias("lines")), "rollup")
+    per_day = rollup.groupBy("invoice_day").agg(F.sum("lines").alias("lines"))
     rated = fx_asof(per_day, fx).join(
         fx.select(F.col("date").alias("invoice_day"), F.lit(True).alias("landed")).distinct(), "invoice_day", "left"
     )
@@ -32,7 +34,9 @@ def run_metrics(
         days_needed=F.count("invoice_day"),
         days_missing=F.count_if(F.col("landed").isNull() & F.col("invoice_day").isNotNull()),
     )
-    misses = country_join_misses(normalize_sales(clean_sales(sales)), countries_norm, side_bytes=countries_bytes)
+    misses = country_join_misses(
+        with_country_key(rollup), countries_norm, side_bytes=countries_bytes, lines=F.col("lines")
+    )
     return days.withColumns(
         {
             "misses": misses.select(F.struct("*")).scalar(),

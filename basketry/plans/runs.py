@@ -6,34 +6,36 @@ small record. A failed step can be repeated from the record of the one before.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from basketry.functions.aggregates import literal_row
 from basketry.functions.times import from_micros
-from basketry.operators.clean import clean_counters
-from basketry.operators.contracts import check_accounts, check_sales, check_unique_countries
+from basketry.operators.clean import counter_metrics
+from basketry.operators.contracts import check_accounts, check_gaps, check_unique_countries, gap_metrics
 from basketry.operators.enrich import data_bytes, normalize_countries
 from basketry.operators.fact import without_key_text
 from basketry.operators.quality import build_quality_report
 from basketry.plans.metrics import run_metrics
 from basketry.plans.transform import to_fact
 from basketry.schemas import COUNTRIES, FACT, FX_RATES, MIN_COUNTRIES
-from basketry.session import fit_shuffles, prepare, run_scratch, scratch_path, stage
+from basketry.session import fit_shuffles, prepare, run_scratch, scratch_path, stage, stage_observed
 from basketry.sources.fact_table import stored_mark, upsert_into
 from basketry.sources.reference import count_unnamed, read_countries, read_fx_rates
 from basketry.sources.sales import read_sales_csv, read_sales_parquet
-from basketry.sources.watermark import get_last_watermark, next_watermark, update_watermark
+from basketry.sources.watermark import get_last_watermark, update_watermark
 
 
 @dataclass(frozen=True)
 class Staged:
-    """What an extract has put aside: the new lines, and the reference data as of now."""
+    """What an extract has put aside: the new lines, what was counted of them, and the reference data as of now."""
 
-    lines: int
+    counters: dict[str, int]
     sales: str
     countries: str
     rates: str
@@ -41,13 +43,18 @@ class Staged:
     skipped_countries: int
     newer_than: datetime | None
 
+    @property
+    def lines(self) -> int:
+        return self.counters["rows_in"]
+
 
 @dataclass(frozen=True)
 class Converted:
-    """The staged fact of the new lines; no path if there were none."""
+    """The staged fact of the new lines and its newest time in microseconds; no path if there were none."""
 
     lines: int = 0
     fact: str | None = None
+    newest: int | None = None
     quality: dict[str, Any] = field(default_factory=dict)
     metrics: dict[str, Any] = field(default_factory=dict)
 
@@ -86,17 +93,23 @@ def run_extract(
     mark = committed or get_last_watermark(spark, metadata_path)
     sales_path, countries_path, rates_path = (scratch_path(spark, n) for n in ("sales", "countries", "rates"))
     feed = read_sales_csv(spark, sales_csv, mark, multi_line=multi_line, **csv_options)
-    sales = check_sales(stage(feed, "sales", sales_path))
+    counters = stage_sales(feed, sales_path)
     countries = stage(read_countries(spark, countries_json, min_countries), "countries", countries_path)
     normalized = check_unique_countries(normalize_countries(countries))
-    lines = sales.count()
-    if lines:
+    if counters["rows_in"]:
         stage(read_fx_rates(spark, fx_json), "rates", rates_path)
     return Staged(
-        lines, sales_path, countries_path, rates_path, data_bytes(normalized), count_unnamed(spark, countries_json), mark
+        counters, sales_path, countries_path, rates_path, data_bytes(normalized), count_unnamed(spark, countries_json), mark
     )
 
 
+def stage_sales(feed: DataFrame, path: str) -> dict[str, int]:
+    """Stage new lines; what the cleaning will keep and drop of them, counted on the way."""
+    _, counters = stage_observed(feed, "sales", {**counter_metrics(), **gap_metrics()}, path)
+    check_gaps(counters)
+    return counters
+
+
 def run_transform(spark: SparkSession, staged: Staged) -> Converted:
     """Stage the fact of the extracted lines, hold it to its contracts and report on it; nothing without lines."""
     prepare(spark)
@@ -107,14 +120,28 @@ def run_transform(spark: SparkSession, staged: Staged) -> Converted:
     fx = spark.read.schema(FX_RATES).parquet(staged.rates)
     if fx.isEmpty():
         raise ValueError("there are sales to convert but no FX rates")
+    converted = convert(sales, staged.counters, countries, fx, staged.countries_bytes)
+    return replace(converted, metrics={**converted.metrics, "skipped_countries": staged.skipped_countries})
+
+
+def convert(
+    sales: DataFrame, counters: dict[str, int], countries: DataFrame, fx: DataFrame, countries_bytes: int
+) -> Converted:
+    """Stage the fact of staged lines, hold it to their counters and report on it.
+
+    The lines are read twice: for the fact, and for the metrics.
+    """
+    spark = sales.sparkSession
     path = scratch_path(spark, "fact")
-    fact = stage(without_key_text(to_fact(sales, countries, fx, staged.countries_bytes)), "fact", path)
-    counters = stage(clean_counters(sales), "counters")
-    lines = fact.count()
-    check_accounts(counters.first().asDict(), lines)
-    quality = build_quality_report(counters, fact).first().asDict()
-    noted = run_metrics(sales, normalize_countries(countries), fx, staged.countries_bytes).first().asDict()
-    return Converted(lines, path, quality, {**noted, "skipped_countries": staged.skipped_countries})
+    rows = without_key_text(to_fact(sales, countries, fx, countries_bytes))
+    wanted = {"lines": F.count(F.lit(1)), "newest": F.unix_micros(F.max("invoice_date"))}
+    fact, seen = stage_observed(rows, "fact", wanted, path)
+    check_accounts(counters, seen["lines"])
+    counted = T.StructType([T.StructField(name, T.LongType()) for name in counter_metrics()])
+    row = literal_row(spark, counted, *[counters[name] for name in counted.fieldNames()])
+    quality = build_quality_report(row, fact).first().asDict()
+    noted = run_metrics(sales, normalize_countries(countries), fx, countries_bytes).first().asDict()
+    return Converted(seen["lines"], path, seen["newest"], quality, noted)
 
 
 def run_load(
@@ -129,8 +156,7 @@ def run_load(
     counts = {"records": 0, "upserted": 0, "modified": 0}
     if converted.fact:
         fact = spark.read.schema(FACT).parquet(converted.fact)
-        newest = next_watermark(fact).select(F.unix_micros("invoice_date")).first()[0]
-        counts = upsert_into(spark, fact_path, fact, grain, newest)
+        counts = upsert_into(spark, fact_path, fact, grain, converted.newest)
     mark = from_micros(stored_mark(spark, fact_path))
     if mark is not None and mark != get_last_watermark(spark, metadata_path):
         update_watermark(spark, metadata_path, mark)

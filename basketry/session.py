@@ -6,9 +6,10 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -172,3 +173,16 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_observed(
+    df: DataFrame, name: str, metrics: dict[str, Column], path: str | None = None
+) -> tuple[DataFrame, dict[str, Any]]:
+    """``stage``, and aggregates of the rows, taken while these are written instead of by a scan of their own.
+
+    The tasks that write also count, and Spark takes up one success of each such task. So a task that runs again
+    after its executor was lost counts once, which would not hold for a task before a shuffle.
+    """
+    seen = Observation()
+    staged = stage(df.observe(seen, *[metric.alias(label) for label, metric in metrics.items()]), name, path)
+    return staged, dict(seen.get)

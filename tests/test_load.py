@@ -16,10 +16,10 @@ from basketry.operators.fact import without_key_text
 from basketry.operators.upsert import classify, deduplicate, upsert, upsert_counts
 from basketry.plans import runs
 from basketry.plans.transform import to_fact
-from basketry.schemas import FACT
-from basketry.session import list_names, scratch_dir, stage
+from basketry.schemas import FACT, SALES
+from basketry.session import list_names, run_scratch, scratch_dir, stage
 from basketry.sources.fact_table import read_fact, upsert_into
-from basketry.sources.sales import stream_sales_csv
+from basketry.sources.sales import read_sales_csv, read_sales_parquet, stream_sales_csv
 from basketry.sources.watermark import get_last_watermark
 from basketry.streaming.sales_stream import load_stream
 
@@ -540,5 +540,93 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     check_unique_key(read_fact(spark, fact))
 
 
+THIRD = ("3.csv", ["K1,M4,bowl,3,2.5,2011-01-01,c1,United Kingdom", "K6,M9,pan,2,4.0,2011-01-01,n3,Italy",
+                   "K5,M8,cup,1,8.0,2011-01-11, N5 , United Kingdom ", "K7,M9,pan,0,4.0,2011-01-12,n3,Italy"])
+
+
+def streamed(spark, folder, tmp_path, on_loaded=None):
+    lines = stream_sales_csv(spark, folder, max_files_per_trigger=1, multi_line=True)
+    listed, fx, checkpoint = countries(spark), rates(spark), str(tmp_path / "checkpoint")
+    query = load_stream(spark, lines, listed, fx, str(tmp_path / "fact"), checkpoint, on_loaded=on_loaded)
+    query.awaitTermination()
+
+
+def test_micro_batches_with_late_and_repeated_lines_equal_one_batch(spark, tmp_path):
+    folder = feeds(tmp_path, FIRST, SECOND, THIRD)[0]
+    seen = []
+    streamed(spark, folder, tmp_path, lambda n, converted, counts: seen.append((n, converted, counts)))
+    lines = read_sales_csv(spark, folder, multi_line=True)
+    upsert_into(spark, str(tmp_path / "whole"), stage(without_key_text(to_fact(lines, countries(spark), rates(spark))), "w"))
+    assert sorted_rows(read_fact(spark, str(tmp_path / "fact"))) == sorted_rows(read_fact(spark, str(tmp_path / "whole")))
+    assert [n for n, _, _ in seen] == [0, 1, 2]
+    assert sum(converted.quality["rows_input"] for _, converted, _ in seen) == 11
+    assert sum(counts["upserted"] for _, _, counts in seen) == read_fact(spark, str(tmp_path / "fact")).count() == 5
+    assert sum(counts["modified"] for _, _, counts in seen) == 0
+    assert sum(converted.metrics["unmatched_rows"] for _, converted, _ in seen) == 2
+
+
+def test_a_broken_micro_batch_stops_the_stream(spark, tmp_path, monkeypatch):
+    streamed(spark, feeds(tmp_path, FIRST)[0], tmp_path)
+    loaded = sorted_rows(read_fact(spark, str(tmp_path / "fact")))
+    before = scratch_names(spark)
+    # A join that multiplies lines.
+    monkeypatch.setattr(runs, "to_fact", lambda *args: to_fact(*args).union(to_fact(*args)))
+    with pytest.raises(Exception, match="2 lines kept, but 4 in the fact"):
+        streamed(spark, feeds(tmp_path, FIRST, SECOND)[0], tmp_path)
+    assert sorted_rows(read_fact(spark, str(tmp_path / "fact"))) == loaded and scratch_names(spark) == before
+    monkeypatch.undo()
+    # The micro-batch is still to be loaded.
+    streamed(spark, feeds(tmp_path, FIRST, SECOND)[0], tmp_path)
+    assert {r["invoice_no"] for r in read_fact(spark, str(tmp_path / "fact")).collect()} == {"K0", "K1", "K3", "K5"}
+
+
+def test_a_stream_needs_clean_reference_data(spark, tmp_path):
+    lines = stream_sales_csv(spark, feeds(tmp_path, FIRST)[0], multi_line=True)
+    twice = countries(spark, [("Norway", "Europe", 1), (" norway", "Europe", 1)])
+    with pytest.raises(ContractViolation, match="collide"):
+        load_stream(spark, lines, twice, rates(spark), str(tmp_path / "fact"), str(tmp_path / "checkpoint"))
+    with pytest.raises(ValueError, match="no FX rates"):
+        load_stream(spark, lines, countries(spark), rates(spark, []), str(tmp_path / "fact"), str(tmp_path / "checkpoint"))
+
+
+def counting(df, rows):
+    """``df``, and how many of its rows were read adds up in ``rows``."""
+    def count(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema)
+
+
+def test_a_run_reads_the_feed_once_and_the_staged_lines_twice(spark, tmp_path, monkeypatch):
+    inputs, meta = feeds(tmp_path, FIRST, SECOND), str(tmp_path / "meta")
+    fed, held = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(runs, "read_sales_csv", lambda *a, **k: counting(read_sales_csv(*a, **k), fed))
+    monkeypatch.setattr(runs, "read_sales_parquet", lambda *a: counting(read_sales_parquet(*a), held))
+    with run_scratch(spark, "run"):
+        staged = runs.run_extract(spark, *inputs, meta, min_countries=1, multi_line=True)
+        assert staged.lines == 7 and fed.value == 7 and held.value == 0
+        converted = runs.run_transform(spark, staged)
+        assert converted.lines == 5 and fed.value == 7 and held.value <= 14
+        assert converted.metrics["total_rows"] == 5 and converted.newest == 1_294_704_000_000_000
+
+
+def test_an_extract_without_lines_counts_none(spark, tmp_path):
+    with run_scratch(spark, "run"):
+        staged = runs.run_extract(
+            spark, *feeds(tmp_path, ("1.csv", [])), str(tmp_path / "meta"), min_countries=1, multi_line=False
+        )
+        assert staged.counters == {**dict.fromkeys(staged.counters, 0)} and staged.lines == 0
+        assert runs.run_transform(spark, staged) == runs.Converted()
+
+
+def test_lines_without_a_time_fail_the_extract(spark, tmp_path, monkeypatch):
+    gap = spark.createDataFrame([line("K9", InvoiceDate=None)], SALES)
+    monkeypatch.setattr(runs, "read_sales_csv", lambda *a, **k: gap)
+    with run_scratch(spark, "run"), pytest.raises(ContractViolation, match="InvoiceDate has missing values"):
+        runs.run_extract(spark, *feeds(tmp_path, FIRST), str(tmp_path / "meta"), min_countries=1, multi_line=True)
+
+
 def test_scratch_is_the_shared_folder(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
+def quoted(name: str) -> Column:
+    """A column by its exact name, whatever stands in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def strip_lower(col: Column) -> Column:
     return F.lower(F.btrim(col, F.lit(WHITESPACE)))
 

@@ -212,6 +212,11 @@ _SELECTS = {
         coalesce(fx_rate_gbp_eur, (select median(fx_rate_gbp_eur) from fx)) as fx_rate_gbp_eur,
         fx_rate_gbp_eur is null as is_fallback
       from days asof left join fx on invoice_day >= fx.date""",
+    "fx_asof_lines": """select InvoiceNo, StockCode, InvoiceDate, fx_rate_gbp_eur
+      from cleaned asof left join fx on cast(InvoiceDate as date) >= fx.date""",
+    "last_purchase": """select e.event_id, p.purchase_value
+      from events e asof left join (select user_id, ts, max(value) as purchase_value from events
+        where event_type = 'purchase' group by all) p on e.user_id = p.user_id and e.ts >= p.ts""",
     "fx_fallback_rows": """select count(*) filter (known_rate is null) as missing_rows,
       count(*) as total_rows, (select median(fx_rate_gbp_eur) from fx) as fallback_rate
       from fact_converted""",

@@ -129,15 +129,17 @@ def train(
     """Fit on a bounded sample: of each class the ``per_class`` labelled rows, not held out, that hash lowest.
 
     The features are made where the documents lie; what is gathered is the sample's features.
-    Rows with a null id or label, and labels without a document, are passed over. Without both classes the score is
-    0.5 for all.
+    Rows with a null id or label, ids labelled both ways, and labels without a document, are passed over. Of repeated
+    rows of one id one counts, combined before the shuffle, so the sample does not grow with copies. Without both
+    classes the score is 0.5 for all.
     """
     usable = labels.select(quoted("doc_id").cast("long").alias("doc_id"), quoted(label_column).alias("y")).filter(
         F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id"))
     )
+    agreed = usable.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("other")).filter("y = other").drop("other")
     low = F.xxhash64("doc_id")
-    chosen = [usable.filter(F.col("y") == y).orderBy(low, "doc_id").limit(per_class) for y in (0, 1)]
-    sample = chosen[0].union(chosen[1]).dropDuplicates(["doc_id"])  # at most twice ``per_class`` rows
+    chosen = [agreed.filter(F.col("y") == y).orderBy(low, "doc_id").limit(per_class) for y in (0, 1)]
+    sample = chosen[0].union(chosen[1])  # at most twice ``per_class`` rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,7 +157,8 @@ def train(
         return pd.DataFrame({"key": keys, "weight": np.append(found.values, found.bias)})
 
     # One group of bounded size: the sample.
-    grouped = rows.withColumn("sample", F.lit(0)).groupBy("sample")
+    once = rows.groupBy("doc_id").agg(F.min("y").alias("y"), F.min("keys").alias("keys"))
+    grouped = once.withColumn("sample", F.lit(0)).groupBy("sample")
     fitted = grouped.applyInPandas(fit_all, "key long, weight double").toPandas().sort_values("key")
     bias = fitted.loc[fitted["key"] == -1, "weight"]
     rest = fitted[fitted["key"] >= 0]

@@ -189,7 +189,7 @@ def train(
 
     Without ``findings``, those of ``df`` that ``label`` is sure of are taken. The dictionary is counted over all
     texts. Of each class at most ``per_class`` different findings are used, those that hash lowest; a finding with many
-    copies counts once. If a class is missing, there are no trees, and nothing passes for a secret.
+    copies counts once. If a class is missing, there are no trees, and only known formats pass for secrets.
     """
     rows = df.select(F.coalesce(quoted(text_column), F.lit("")).alias("text"))
     dictionary = common_words(rows)
@@ -224,13 +224,13 @@ def _with_secrets(df: DataFrame, forest: Forest, text_column: str) -> DataFrame:
     ))).drop("_contexts", "_valued")
 
 
-def _is_secret(judged: Column) -> Column:
-    return judged["votes"] >= 0.5
+def _is_secret(found: Column, votes: Column) -> Column:
+    return (votes >= 0.5) | found.rlike(KNOWN)
 
 
 def _redacted() -> Column:
     kept = F.transform("_judged", lambda j, i: F.concat(
-        F.get("_pieces", i), F.when(_is_secret(j), F.lit(MASK)).otherwise(j["found"])
+        F.get("_pieces", i), F.when(_is_secret(j["found"], j["votes"]), F.lit(MASK)).otherwise(j["found"])
     ))
     return F.concat(F.array_join(kept, ""), F.element_at("_pieces", -1))
 
@@ -238,7 +238,7 @@ def _redacted() -> Column:
 def scan(df: DataFrame, forest: Forest, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: ``doc_id``, ``n_candidates``, ``secrets`` (``secret``, ``at``, ``votes``) and ``redacted``, the text.
 
-    A candidate is a secret if at least half of the trees say so. ``at`` counts characters from 0. The trees are a
+    A candidate is a secret if at least half of the trees say so, or if it has a known format, whatever they say. ``at`` counts characters from 0. The trees are a
     column expression, so every text is judged where it lies; nothing is shuffled.
 
     Null or empty text: no candidates, an empty text. Null ids stay null; repeated rows: a row each; an empty table
@@ -252,7 +252,7 @@ def scan(df: DataFrame, forest: Forest, id_column: str = "doc_id", text_column:
     start = lambda s: F.aggregate(
         F.slice("_lengths", F.lit(1), s["i"]), F.lit(0), lambda total, n: total + n
     ) + F.length(F.get("_pieces", s["i"]))
-    secrets = F.transform(F.filter("_placed", _is_secret), lambda s: F.struct(
+    secrets = F.transform(F.filter("_placed", lambda s: _is_secret(s["secret"], s["votes"])), lambda s: F.struct(
         s["secret"].alias("secret"), start(s).alias("at"), s["votes"].alias("votes")
     ))
     return placed.select(

@@ -6,6 +6,7 @@ import argparse
 import json
 from dataclasses import asdict
 
+from basketry.plans.insight_state import rollups
 from basketry.plans.insights import HOME_MARKET, all_insights, constant_rate_lines
 from basketry.plans.runs import run_daily
 from basketry.schemas import CONSTANT_FX_RATE, MIN_COUNTRIES
@@ -35,10 +36,13 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     source.add_argument("--sales", help="sales feed, converted at one constant rate")
     insights.add_argument("--rate", type=float, default=CONSTANT_FX_RATE)
     insights.add_argument("--home", help="home market, spelled as in the source")
+    insights.add_argument("--state", help="with --fact: folder of roll-ups; only periods changed since are read")
     insights.add_argument("--out", required=True)
     args = parser.parse_args(argv)
     if args.sales and args.multi_line is None:
         parser.error("with --sales, say --one-line-per-row or --breaks-in-quotes")
+    if args.job == "insights" and args.state and not args.fact:
+        parser.error("--state goes with --fact")
     return args
 
 
@@ -62,7 +66,11 @@ def main(argv: list[str] | None = None) -> None:
             # Parse the text once; the report reads the lines twice.
             lines = stage(constant_rate_lines(sales, args.rate), "constant-rate-lines")
             home = args.home or HOME_MARKET.title()
-        for name, table in all_insights(lines, home).items():
+        if args.state:
+            tables = rollups(spark, args.fact, args.state).insights(home)
+        else:
+            tables = all_insights(lines, home)
+        for name, table in tables.items():
             table.write.mode("overwrite").parquet(f"{args.out}/{name}")
 
 

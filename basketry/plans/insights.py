@@ -60,6 +60,18 @@ def invoice_rollup(lines: DataFrame) -> DataFrame:
     )
 
 
+def day_rollup(lines: DataFrame) -> DataFrame:
+    """Lines or their invoice roll-up -> revenue per day and country, for insights that count neither invoices nor customers."""
+    day = utc_day("invoice_date").cast("timestamp").alias("invoice_date")
+    return lines.groupBy(day, "country").agg(_revenue(lines).alias("revenue_eur"))
+
+
+def product_rollup(lines: DataFrame, *keys: str) -> DataFrame:
+    """Revenue per product, within ``keys`` if there are any; lines without a code or a description are left out."""
+    named = lines.filter(F.col("stock_code").isNotNull() & F.col("description").isNotNull())
+    return named.groupBy(*keys, "stock_code", "description").agg(_revenue(named).alias("revenue_eur"))
+
+
 def _by(lines: DataFrame, key: str) -> DataFrame:
     """Revenue per key, exact; missing keys are left out."""
     return lines.filter(F.col(key).isNotNull()).groupBy(key).agg(_revenue(lines).alias("exact_revenue"))
@@ -202,10 +214,9 @@ def repeat_customers(lines: DataFrame) -> DataFrame:
 
 def top_products(lines: DataFrame, k: int = 10) -> DataFrame:
     """Best-selling products; lines without a code or a description are left out."""
-    named = lines.filter(F.col("stock_code").isNotNull() & F.col("description").isNotNull())
     return (
-        named.groupBy("stock_code", "description")
-        .agg(_revenue(named).cast("double").alias("revenue"))
+        product_rollup(lines)
+        .withColumn("revenue", F.col("revenue_eur").cast("double"))
         .orderBy(F.desc("revenue"), "stock_code", "description")
         .limit(k)
         .select(
@@ -273,17 +284,24 @@ def as_text(table: DataFrame, formats: dict[str, Callable[[Column], Column]]) ->
     return table.withColumns({name: show(F.col(name)) for name, show in formats.items()})
 
 
+def insights_of_rollups(
+    invoices: DataFrame, days: DataFrame, products: DataFrame, home: str = HOME_MARKET
+) -> dict[str, DataFrame]:
+    """Every insight of the report: from the invoice roll-up, and from revenue by day and country and by product."""
+    return {
+        "headline_metrics": headline_metrics(invoices),
+        "home_market_share": home_market_share(days, home),
+        "revenue_by_country": revenue_by_country(days),
+        "peak_month": peak_month(days),
+        "top_months": top_months(days),
+        "customer_concentration": customer_concentration(invoices),
+        "repeat_customers": repeat_customers(invoices),
+        "top_products": top_products(products),
+        "weekday_revenue": weekday_revenue(days, keep_absent=False),
+    }
+
+
 def all_insights(lines: DataFrame, home: str = HOME_MARKET) -> dict[str, DataFrame]:
     """Every insight of the report, from two scans of the lines: the staged roll-up and the products."""
     rollup = stage(invoice_rollup(lines), "invoice-rollup")
-    return {
-        "headline_metrics": headline_metrics(rollup),
-        "home_market_share": home_market_share(rollup, home),
-        "revenue_by_country": revenue_by_country(rollup),
-        "peak_month": peak_month(rollup),
-        "top_months": top_months(rollup),
-        "customer_concentration": customer_concentration(rollup),
-        "repeat_customers": repeat_customers(rollup),
-        "top_products": top_products(lines),
-        "weekday_revenue": weekday_revenue(rollup, keep_absent=False),
-    }
+    return insights_of_rollups(rollup, rollup, lines, home)

@@ -39,7 +39,7 @@ def _root(path: str) -> str:
     return path.rstrip("/")
 
 
-def _read_files(spark: SparkSession, path: str, listed: list[StoredFile], with_file: bool = False) -> DataFrame:
+def read_files(spark: SparkSession, path: str, listed: list[StoredFile], with_file: bool = False) -> DataFrame:
     """The rows of some files; ``with_file`` adds which one each row is from, as it is listed."""
     names = _STORED.fieldNames()
     if not listed:
@@ -69,7 +69,7 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
 
     Loads that commit later do not change what is read, as long as not more of them follow than versions are kept.
     """
-    return _read_files(spark, path, stored_files(spark, path))
+    return read_files(spark, path, stored_files(spark, path))
 
 
 def stored_mark(spark: SparkSession, path: str) -> int | None:
@@ -119,7 +119,7 @@ def _load_of(file: str) -> str:
 
 def _write_filters(spark: SparkSession, root: str, load: str, added: list[StoredFile]) -> None:
     """A Bloom filter of the keys of each new file."""
-    rows = _read_files(spark, root, added, with_file=True)
+    rows = read_files(spark, root, added, with_file=True)
     words = spark.createDataFrame([(f.file, key_filters.words_for(f.rows)) for f in added], "file string, words long")
     filters = key_filters.build(rows, _FILE, key_filters.key_hash(*KEY), words)
     filters.sortWithinPartitions("file", "word").write.parquet(_keys_path(root, load))
@@ -251,7 +251,7 @@ def _merged(
 ) -> tuple[Change, dict[str, int]]:
     """New keys and changed rows as new files, in place of the files that hold what changed; neither for a replay."""
     period = period_of(grain)
-    target = _read_files(spark, path, near, with_file=True)
+    target = read_files(spark, path, near, with_file=True)
     if len(found) <= _MAX_RANGES:
         moment = lambda micros: F.timestamp_micros(F.lit(micros))
         ranges = [F.col("invoice_date").between(moment(r["first"]), moment(r["last"])) for r in found]
@@ -263,7 +263,7 @@ def _merged(
     dirty = {file for kind, file in by_file if kind == UPDATE}
     rows = changes.filter(F.col("_change") == INSERT).select(*_STORED.fieldNames())
     if dirty:
-        held = _read_files(spark, path, [f for f in near if f.file in dirty])
+        held = read_files(spark, path, [f for f in near if f.file in dirty])
         rows = upsert(held, changes.filter(F.col("_change") == UPDATE)).withColumn(PERIOD, period).unionByName(rows)
     change = Change(_write(spark, path, _laid_out(rows)) if by_file else [], sorted(dirty))
     return change, {"upserted": counts[INSERT], "modified": counts[UPDATE]}
@@ -314,7 +314,7 @@ def compact(
     # One range of numbers for each bin, so no two of them become one file.
     number = {f.file: at for at, b in enumerate(bins) for f in b}
     numbers = spark.createDataFrame(list(number.items()), f"{_FILE} string, _bin int")
-    rows = _read_files(spark, path, old, with_file=True).join(F.broadcast(numbers), _FILE)
+    rows = read_files(spark, path, old, with_file=True).join(F.broadcast(numbers), _FILE)
     laid_out = rows.repartitionByRange(len(bins), "_bin").sortWithinPartitions(PERIOD, "invoice_date")
     added = _write(spark, path, laid_out)
     change = Change(added, [f.file for f in old], frozenset(f.period for f in old))

@@ -272,6 +272,8 @@ _SELECTS = {
         union all
         select 2, (select count(*) from fact where invoice_date > timestamp '{MARK}'),
           (select count(*) from fact_once where invoice_date > timestamp '{MARK}')) loads""",
+    "two_run_headline": _headline("fact_once"),
+    "two_run_products": _products("fact_once"),
     "stream_load": "select * from fact_once",
     "sales_csv_scan": f"select * from sales where InvoiceDate > timestamp '{MARK}'",
     "countries_json_scan": "select * from countries",

@@ -21,6 +21,8 @@ def test_load_then_insights(spark, tmp_path, capsys):
 
     main(["insights", "--fact", fact, "--out", out])
     assert spark.read.parquet(f"{out}/headline_metrics").first()["transactions"] == 4
+    main(["insights", "--fact", fact, "--state", f"{out}-state", "--out", f"{out}-kept"])
+    assert spark.read.parquet(f"{out}-kept/headline_metrics").first()["transactions"] == 4
     main(["insights", "--sales", sales, "--out", f"{out}-feed", "--breaks-in-quotes"])
     home = spark.read.parquet(f"{out}-feed/home_market_share").first()
     assert (home["home_market"], home["home_revenue"]) == ("United Kingdom", 8.775)
@@ -29,3 +31,5 @@ def test_load_then_insights(spark, tmp_path, capsys):
 def test_a_feed_needs_to_be_described(tmp_path):
     with pytest.raises(SystemExit):
         main(["insights", "--sales", str(tmp_path), "--out", str(tmp_path)])
+    with pytest.raises(SystemExit):
+        main(["insights", "--sales", str(tmp_path), "--out", str(tmp_path), "--one-line-per-row", "--state", "s"])

@@ -23,6 +23,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     lines = common.add_mutually_exclusive_group()
     lines.add_argument("--one-line-per-row", dest="multi_line", action="store_false", default=None, help="files split")
     lines.add_argument("--breaks-in-quotes", dest="multi_line", action="store_true", help="each file is one task")
+    common.add_argument("--strict-quotes", action="store_true", help="with --breaks-in-quotes: files split all the same")
 
     load = jobs.add_parser("load", parents=[common])
     for name in ("sales", "countries", "fx", "fact", "metadata"):
@@ -49,7 +50,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = job_session(f"basketry {args.job}")
-    csv = {"timestamp_format": args.timestamp_format, "multi_line": args.multi_line}
+    csv = {"timestamp_format": args.timestamp_format, "multi_line": args.multi_line, "strict_quotes": args.strict_quotes}
     if args.job == "load":
         result = run_daily(
             spark, args.sales, args.countries, args.fx, args.fact, args.metadata,

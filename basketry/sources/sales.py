@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from basketry.functions.text import missing_as_null
 from basketry.functions.times import as_utc
 from basketry.schemas import NA_TOKENS, SALES
+from basketry.sources.quoted_csv import read_quoted_csv
 
 ENCODING = "ISO-8859-1"
 
@@ -68,14 +69,18 @@ def read_sales_csv(
     mark: datetime | None = None,
     *,
     multi_line: bool,
+    strict_quotes: bool = False,
     timestamp_format: str | None = None,
 ) -> DataFrame:
     """Scan the sales feed by header name and keep the lines newer than ``mark``.
 
     ``multi_line`` has no default, as the feed decides: ``True`` keeps line breaks inside quotes but makes each
-    file one task; ``False`` splits large files, which must then hold one line per row.
+    file one task; ``False`` splits large files, which must then hold one line per row. ``strict_quotes`` says that all
+    quotes stand around a field or are doubled in one: then files with breaks in quotes are split too.
     """
     raw = spark.read.options(**_csv_options(multi_line)).csv(path)
+    if multi_line and strict_quotes:
+        raw = read_quoted_csv(spark, path, raw.columns, ENCODING)
     return newer_than(typed_sales(raw, timestamp_format), mark)
 
 

@@ -151,3 +151,15 @@ def test_hot_country_is_split_when_its_join_is_shuffled(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_landing_sorts_no_lines_by_folder(spark, tmp_path):
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    landed = star.land_sales(spark, SF_DIR, str(tmp_path), "1998-01-01")
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [runs.apply(i).physicalPlanDescription() for i in range(runs.size())]
+    plan = next(p for p in reversed(plans) if f"{tmp_path}/sales" in p)
+    assert not re.search(r"\[part#\d+ ASC", plan)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    found = spark.read.csv(list(landed.values()), header=True)
+    assert found.count() == star.sales(spark, SF_DIR).count()

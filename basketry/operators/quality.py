@@ -20,8 +20,8 @@ def _fact_metrics(fact: DataFrame) -> DataFrame:
     rollup = fact.groupBy("invoice_no", "customer_id", "country").agg(
         F.count_if(F.col("region") == UNMATCHED_REGION).alias("unknown"),
         exact_sum(revenue).alias("total"),
-        F.min(as_exact(revenue)).alias("low"),
-        F.max(as_exact(revenue)).alias("high"),
+        F.min(revenue).alias("low"),
+        F.max(revenue).alias("high"),
     )
     return one_row(
         rollup,
@@ -30,8 +30,8 @@ def _fact_metrics(fact: DataFrame) -> DataFrame:
         unique_invoices=F.count_distinct("invoice_no"),
         unique_countries=F.count_distinct("country"),
         revenue_eur_total=round_half_even(F.coalesce(F.sum("total").cast("double"), F.lit(0.0)), 2),
-        revenue_eur_min=round_half_even(F.min("low").cast("double"), 2),
-        revenue_eur_max=round_half_even(F.max("high").cast("double"), 2),
+        revenue_eur_min=round_half_even(as_exact(F.min("low")).cast("double"), 2),
+        revenue_eur_max=round_half_even(as_exact(F.max("high")).cast("double"), 2),
     )
 
 

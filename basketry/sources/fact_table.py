@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 from operator import or_
 
@@ -47,7 +48,7 @@ def read_files(spark: SparkSession, path: str, listed: list[StoredFile], with_fi
         return none.withColumn(_FILE, F.lit(None).cast("string")) if with_file else none
     paths = [f"{_root(path)}/{f.file}" for f in listed]
     rows = spark.read.schema(_STORED).option("basePath", _root(path)).parquet(*paths)
-    own = F.regexp_extract("_metadata.file_path", rf"({PERIOD}=[^/]+/{_LOAD}=[^/]+/[^/]+)$", 1)
+    own = F.substring_index("_metadata.file_path", "/", -3)  # period, load and name
     return rows.select(*names, own.alias(_FILE)) if with_file else rows.select(*names)
 
 
@@ -122,7 +123,7 @@ def _write_filters(spark: SparkSession, root: str, load: str, added: list[Stored
     rows = read_files(spark, root, added, with_file=True)
     words = spark.createDataFrame([(f.file, key_filters.words_for(f.rows)) for f in added], "file string, words long")
     filters = key_filters.build(rows, _FILE, key_filters.key_hash(*KEY), words)
-    filters.sortWithinPartitions("file", "word").write.parquet(_keys_path(root, load))
+    filters.write.parquet(_keys_path(root, load))
 
 
 def _that_may_hold(spark: SparkSession, path: str, near: list[StoredFile], batch: DataFrame, grain: str) -> list[StoredFile]:
@@ -162,6 +163,29 @@ def _may_match(listed: list[StoredFile], found: list[Row]) -> list[StoredFile]:
     ]
 
 
+# Repeated keys of a batch whose hashes are broadcast; with more of them all its rows are combined by key.
+_MANY_REPEATED = 1_000_000
+
+
+def one_row_per_key(batch: DataFrame, many: int = _MANY_REPEATED) -> DataFrame:
+    """``deduplicate`` of a staged batch, for which only 8-byte hashes of its keys and the rows of repeated ones are shuffled.
+
+    A hash that is there once belongs to a key that is there once, so its row stays as it is. A batch with many
+    repeated keys, which would not fit a broadcast, is combined by key as a whole.
+    """
+    counted = batch.groupBy(key_filters.key_hash(*KEY).alias("_hash")).agg(F.count(F.lit(1)).alias("n"))
+    repeated = stage(counted.filter("n > 1").select("_hash"), "repeated")
+    found = repeated.count()
+    if not found:
+        return batch.select(*FACT.fieldNames())
+    if found > many:
+        return deduplicate(batch)
+    hashed = batch.withColumn("_hash", key_filters.key_hash(*KEY))
+    alone = hashed.join(F.broadcast(repeated), "_hash", "left_anti").drop("_hash")
+    together = hashed.join(F.broadcast(repeated), "_hash", "left_semi").drop("_hash")
+    return alone.select(*FACT.fieldNames()).unionByName(deduplicate(together))
+
+
 def upsert_into(
     spark: SparkSession, path: str, batch: DataFrame, grain: str = "month", mark: int | None = None
 ) -> dict[str, int]:
@@ -181,10 +205,13 @@ def upsert_into(
     touch a period, it is worked out anew. A stored key that occurs twice fails the load.
     """
     period = period_of(grain)
-    # At most one row per calendar day, and one for undated rows.
+    # At most one row per calendar day, and one for undated rows. Days are cheaper to tell than names of periods.
+    days = batch.groupBy(F.to_date("invoice_date")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("invoice_date").alias("invoice_date"), F.max("invoice_date").alias("last")
+    )
     found = (
-        batch.groupBy(period.alias(PERIOD))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("invoice_date").alias("first"), F.max("invoice_date").alias("last"))
+        days.groupBy(period.alias(PERIOD))
+        .agg(F.sum("n").alias("n"), F.min("invoice_date").alias("first"), F.max("last").alias("last"))
         .select(PERIOD, "n", F.unix_micros("first").alias("first"), F.unix_micros("last").alias("last"))
         .orderBy(PERIOD)
         .collect()
@@ -199,12 +226,16 @@ def upsert_into(
         listed = snapshots.files(spark, _root(path), base)
         _check_grain(listed, grain)
         near = _may_match(listed, found)
-        near = _that_may_hold(spark, path, near, batch, grain) if near else near
+        # Rows added as they are may repeat a key, which shows only if all files that may hold it are read.
+        if near and not any(f.as_given for f in near):
+            near = _that_may_hold(spark, path, near, batch, grain)
         if near:
             with run_scratch(spark, "upsert"):
                 change, counts = _merged(spark, path, near, batch, found, grain)
         else:
-            change = Change(_write(spark, path, _laid_out(deduplicate(batch).withColumn(PERIOD, period))))
+            with run_scratch(spark, "add"):
+                rows = one_row_per_key(batch).withColumn(PERIOD, period)
+                change = Change(_write(spark, path, _laid_out(rows)))
             counts = {"upserted": sum(f.rows for f in change.added), "modified": 0}
         change.periods, change.mark = frozenset(r[PERIOD] for r in found), mark
         return change, counts
@@ -274,7 +305,8 @@ def append_rows(spark: SparkSession, path: str, rows: DataFrame, grain: str = "m
 
     def change_from(base: Version) -> tuple[Change, dict]:
         _check_grain(snapshots.files(spark, _root(path), base), grain)
-        return Change(_write(spark, path, _laid_out(rows.withColumn(PERIOD, period_of(grain))))), {}
+        added = _write(spark, path, _laid_out(rows.withColumn(PERIOD, period_of(grain))))
+        return Change([replace(f, as_given=True) for f in added]), {}
 
     _committed(spark, path, change_from)
 
@@ -316,7 +348,8 @@ def compact(
     numbers = spark.createDataFrame(list(number.items()), f"{_FILE} string, _bin int")
     rows = read_files(spark, path, old, with_file=True).join(F.broadcast(numbers), _FILE)
     laid_out = rows.repartitionByRange(len(bins), "_bin").sortWithinPartitions(PERIOD, "invoice_date")
-    added = _write(spark, path, laid_out)
+    given = {f.period for f in old if f.as_given}
+    added = [replace(f, as_given=f.period in given) for f in _write(spark, path, laid_out)]
     change = Change(added, [f.file for f in old], frozenset(f.period for f in old))
     if sum(f.rows for f in added) != sum(f.rows for f in old):
         _discard(spark, path, change)

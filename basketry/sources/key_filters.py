@@ -42,10 +42,15 @@ def _mask(hashed: Column) -> Column:
 
 
 def build(rows: DataFrame, file: str, hashed: Column, words: DataFrame) -> DataFrame:
-    """``FILTERS`` of the files in ``rows``; ``words`` has a row for each ``file`` with how many ``words`` it gets."""
-    keys = rows.select(F.col(file).alias("file"), hashed.alias("h")).join(F.broadcast(words), "file")
-    marked = keys.select("file", _word(F.col("h"), F.col("words")).alias("word"), _mask(F.col("h")).alias("bits"))
-    return marked.groupBy("file", "word").agg(F.bit_or("bits").alias("bits"))
+    """``FILTERS`` of the files in ``rows``; ``words`` has a row for each ``file`` with how many ``words`` it gets.
+
+    The words are grouped by a number of the file, which is turned into its name again once they are few.
+    """
+    numbered = words.withColumn("number", F.xxhash64("file"))
+    keys = rows.select(F.col(file).alias("file"), hashed.alias("h")).join(F.broadcast(numbered), "file")
+    marked = keys.select("number", _word(F.col("h"), F.col("words")).alias("word"), _mask(F.col("h")).alias("bits"))
+    grouped = marked.groupBy("number", "word").agg(F.bit_or("bits").alias("bits")).sortWithinPartitions("number", "word")
+    return grouped.join(F.broadcast(numbered.select("number", "file")), "number").select("file", "word", "bits")
 
 
 def may_hold(keys: DataFrame, filters: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from basketry.operators.contracts import check_unique_countries
 from basketry.operators.enrich import data_bytes, normalize_countries
 from basketry.plans.runs import Converted, convert, stage_sales
 from basketry.schemas import FACT
-from basketry.session import run_scratch, scratch_path
+from basketry.session import run_scratch, scratch_path, stage
 from basketry.sources.fact_table import upsert_into
 from basketry.sources.sales import read_sales_parquet
 
@@ -46,7 +46,8 @@ def load_stream(
             counters = stage_sales(lines, path)
             if not counters["rows_in"]:
                 return
-            converted = convert(read_sales_parquet(session, path), counters, countries, fx, size)
+            rates = stage(fx, "rates")  # as of now; read several times
+            converted = convert(read_sales_parquet(session, path), counters, countries, rates, size)
             fact = session.read.schema(FACT).parquet(converted.fact)
             counts = upsert_into(session, fact_path, fact, grain)
             if on_loaded:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.keys import float_text, time_text
 from basketry.functions.money import round_half_even
-from basketry.functions.text import euros, missing_as_null, percent, shorten, thousands
+from basketry.functions.text import WHITESPACE, euros, missing_as_null, percent, shorten, strip, thousands
 from basketry.functions.times import as_utc, from_micros, weekday_name
 from basketry.schemas import NA_TOKENS
 
@@ -66,3 +66,11 @@ def test_naive_times_are_utc():
 def test_weekday_names(spark):
     days = spark.createDataFrame([(datetime(2011, 1, d, tzinfo=timezone.utc),) for d in (2, 3)], "t timestamp")
     assert [r[0] for r in days.select(weekday_name(F.col("t"))).collect()] == ["Sunday", "Monday"]
+
+
+def test_strip_is_pythons(spark):
+    ends = ["", " ", "  ", *WHITESPACE, " \t", "\u00a0 ", "\x00", "é", "!", "~", "\x7f"]
+    values = [a + core + b for core in ("", "x", "a b", "ß\u3000ü") for a in ends for b in ends]
+    frame = spark.createDataFrame([(v,) for v in [*values, None]], "v string")
+    found = frame.select("v", strip(F.col("v")).alias("t")).collect()
+    assert [r for r in found if r["t"] != (None if r["v"] is None else r["v"].strip(WHITESPACE))] == []

@@ -229,6 +229,40 @@ def test_stored_key_held_twice_fails_the_load(spark, tmp_path):
         upsert_into(spark, path, stage(facts(spark, [fact_row(row_hash="new")]), "batch"))
 
 
+def test_files_put_together_still_hold_rows_added_as_they_are(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    upsert_into(spark, path, stage(facts(spark, [fact_row()]), "batch"))
+    fact_table.append_rows(spark, path, facts(spark, [fact_row(region="Asia")]))
+    assert fact_table.compact(spark, path, small_files=1) == 2
+    assert [f.as_given for f in fact_table.stored_files(spark, path)] == [True]
+    with pytest.raises(Exception, match="business key is not unique"):
+        upsert_into(spark, path, stage(facts(spark, [fact_row(row_hash="new")]), "batch"))
+
+
+def test_a_batch_without_repeated_keys_is_not_combined(spark):
+    rows = [fact_row(row_hash=f"h{i}") for i in range(5)] + [fact_row(row_hash=None), fact_row(stock_code=None)]
+    again = [fact_row(row_hash="h1", description="a"), fact_row(row_hash="h2"), fact_row(row_hash=None, country="a")]
+    alone, repeated = stage(facts(spark, rows), "alone"), stage(facts(spark, rows + again), "repeated")
+    for batch in (alone, repeated):
+        wanted = sorted_rows(deduplicate(batch))
+        assert len(wanted) == len(rows)
+        assert sorted_rows(fact_table.one_row_per_key(batch)) == wanted
+        assert sorted_rows(fact_table.one_row_per_key(batch, many=1)) == wanted
+    plan = fact_table.one_row_per_key(alone)._jdf.queryExecution().toString()
+    assert "Aggregate" not in plan and "Exchange" not in plan
+
+
+def test_a_micro_batch_reads_the_rates_once(spark, tmp_path, monkeypatch):
+    import basketry.streaming.sales_stream as streaming
+
+    seen, inner = [], streaming.convert
+    monkeypatch.setattr(streaming, "convert", lambda s, n, c, fx, size: seen.append(fx.inputFiles()) or inner(s, n, c, fx, size))
+    lines = stream_sales_csv(spark, feeds(tmp_path, FIRST)[0], multi_line=True)
+    fact, checkpoint = str(tmp_path / "fact"), str(tmp_path / "checkpoint")
+    load_stream(spark, lines, countries(spark), rates(spark), fact, checkpoint).awaitTermination()
+    assert len(seen) == 1 and seen[0]  # staged, not worked out again by everything that reads them
+
+
 MONTHS = [fact_row(row_hash=f"{m}{i}", invoice_date=utc(f"2011-{m}-0{i}")) for m in ("01", "02", "03") for i in (1, 2)]
 
 

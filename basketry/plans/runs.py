@@ -24,7 +24,7 @@ from basketry.operators.quality import build_quality_report
 from basketry.plans.metrics import run_metrics
 from basketry.plans.transform import to_fact
 from basketry.schemas import COUNTRIES, FACT, FX_RATES, MIN_COUNTRIES
-from basketry.session import fit_shuffles, prepare, run_scratch, scratch_path, stage, stage_observed
+from basketry.session import dropping_shuffles, fit_shuffles, prepare, run_scratch, scratch_path, stage, stage_observed
 from basketry.sources.fact_table import stored_mark, upsert_into
 from basketry.sources.reference import count_unnamed, read_countries, read_fx_rates
 from basketry.sources.sales import read_sales_csv, read_sales_parquet
@@ -139,8 +139,9 @@ def convert(
     check_accounts(counters, seen["lines"])
     counted = T.StructType([T.StructField(name, T.LongType()) for name in counter_metrics()])
     row = literal_row(spark, counted, *[counters[name] for name in counted.fieldNames()])
-    quality = build_quality_report(row, fact).first().asDict()
-    noted = run_metrics(sales, normalize_countries(countries), fx, countries_bytes).first().asDict()
+    with dropping_shuffles(spark):
+        quality = build_quality_report(row, fact).first().asDict()
+        noted = run_metrics(sales, normalize_countries(countries), fx, countries_bytes).first().asDict()
     return Converted(seen["lines"], path, seen["newest"], quality, noted)
 
 

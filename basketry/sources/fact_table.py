@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 from basketry.operators.contracts import ContractViolation
 from basketry.operators.upsert import INSERT, UPDATE, classify, deduplicate, upsert
 from basketry.schemas import FACT, KEY
-from basketry.session import delete_path, list_names, move_path, path_exists, run_scratch, stage
+from basketry.session import (
+    COMPRESSION, delete_path, dropping_shuffles, list_names, move_path, path_exists, run_scratch, stage,
+)
 from basketry.sources import key_filters, snapshots
 from basketry.sources.snapshots import Change, StoredFile, Version
 
@@ -90,7 +92,8 @@ def _write(spark: SparkSession, path: str, rows: DataFrame) -> list[StoredFile]:
     """
     root, load = _root(path), uuid.uuid4().hex
     incoming = f"{root}/_incoming/{load}"
-    rows.select(*_STORED.fieldNames()).write.partitionBy(PERIOD).parquet(incoming)
+    with dropping_shuffles(spark):
+        rows.select(*_STORED.fieldNames()).write.partitionBy(PERIOD).parquet(incoming, compression=COMPRESSION)
     folders = [n for n in list_names(spark, incoming) if n.startswith(f"{PERIOD}=")]
     for name in folders:
         move_path(spark, f"{incoming}/{name}", f"{root}/{name}/{_LOAD}={load}")
@@ -110,6 +113,37 @@ def _write(spark: SparkSession, path: str, rows: DataFrame) -> list[StoredFile]:
     return added
 
 
+# New rows are laid out some periods at a time, at most so many times, if there are more of them than this for each.
+_PASSES, _PASS_ROWS = 6, 4_000_000
+
+
+def _passes(found: list[Row], passes: int = _PASSES, rows: int = _PASS_ROWS) -> list[tuple[int, int]]:
+    """Ranges of time of neighbouring periods, in microseconds, of about as many rows each; no period is in two of them.
+
+    ``found``: number of rows, first and last time of each period of a batch, in order.
+    """
+    total = sum(r["n"] for r in found)
+    wanted = min(passes, -(-total // rows))
+    ranges: dict[int, tuple[int, int]] = {}
+    before = 0
+    for r in found:
+        at = (2 * before + r["n"]) * wanted // (2 * total)  # where the middle of the period falls
+        ranges[at] = (ranges[at][0] if at in ranges else r["first"], r["last"])
+        before += r["n"]
+    return list(ranges.values())
+
+
+def _write_new(spark: SparkSession, path: str, rows: DataFrame, found: list[Row]) -> list[StoredFile]:
+    """Lay out and write staged rows with the periods ``found``; the shuffle on disk is that of one pass only."""
+    ranges = _passes(found)
+    moment = lambda micros: F.timestamp_micros(F.lit(micros))
+    added = []
+    for first, last in ranges:
+        within = F.col("invoice_date").between(moment(first), moment(last))
+        added += _write(spark, path, _laid_out(rows.filter(within) if len(ranges) > 1 else rows))
+    return added
+
+
 def _keys_path(root: str, load: str) -> str:
     return f"{root}/_keys/{_LOAD}={load}"
 
@@ -123,7 +157,8 @@ def _write_filters(spark: SparkSession, root: str, load: str, added: list[Stored
     rows = read_files(spark, root, added, with_file=True)
     words = spark.createDataFrame([(f.file, key_filters.words_for(f.rows)) for f in added], "file string, words long")
     filters = key_filters.build(rows, _FILE, key_filters.key_hash(*KEY), words)
-    filters.write.parquet(_keys_path(root, load))
+    with dropping_shuffles(spark):
+        filters.write.parquet(_keys_path(root, load))
 
 
 def _that_may_hold(spark: SparkSession, path: str, near: list[StoredFile], batch: DataFrame, grain: str) -> list[StoredFile]:
@@ -171,7 +206,8 @@ def one_row_per_key(batch: DataFrame, many: int = _MANY_REPEATED) -> DataFrame:
     """``deduplicate`` of a staged batch, for which only 8-byte hashes of its keys and the rows of repeated ones are shuffled.
 
     A hash that is there once belongs to a key that is there once, so its row stays as it is. A batch with many
-    repeated keys, which would not fit a broadcast, is combined by key as a whole.
+    repeated keys, which would not fit a broadcast, is combined by key as a whole. What was combined is staged: the
+    rows are read once for each pass that writes them.
     """
     counted = batch.groupBy(key_filters.key_hash(*KEY).alias("_hash")).agg(F.count(F.lit(1)).alias("n"))
     repeated = stage(counted.filter("n > 1").select("_hash"), "repeated")
@@ -179,11 +215,11 @@ def one_row_per_key(batch: DataFrame, many: int = _MANY_REPEATED) -> DataFrame:
     if not found:
         return batch.select(*FACT.fieldNames())
     if found > many:
-        return deduplicate(batch)
+        return stage(deduplicate(batch), "combined")
     hashed = batch.withColumn("_hash", key_filters.key_hash(*KEY))
     alone = hashed.join(F.broadcast(repeated), "_hash", "left_anti").drop("_hash")
     together = hashed.join(F.broadcast(repeated), "_hash", "left_semi").drop("_hash")
-    return alone.select(*FACT.fieldNames()).unionByName(deduplicate(together))
+    return alone.select(*FACT.fieldNames()).unionByName(stage(deduplicate(together), "combined"))
 
 
 def upsert_into(
@@ -235,7 +271,7 @@ def upsert_into(
         else:
             with run_scratch(spark, "add"):
                 rows = one_row_per_key(batch).withColumn(PERIOD, period)
-                change = Change(_write(spark, path, _laid_out(rows)))
+                change = Change(_write_new(spark, path, rows, found))
             counts = {"upserted": sum(f.rows for f in change.added), "modified": 0}
         change.periods, change.mark = frozenset(r[PERIOD] for r in found), mark
         return change, counts

@@ -11,7 +11,7 @@ from basketry.operators.contracts import check_unique_countries
 from basketry.operators.enrich import data_bytes, normalize_countries
 from basketry.plans.runs import Converted, convert, stage_sales
 from basketry.schemas import FACT
-from basketry.session import run_scratch, scratch_path, stage
+from basketry.session import delete_path, run_scratch, scratch_path, stage
 from basketry.sources.fact_table import upsert_into
 from basketry.sources.sales import read_sales_parquet
 
@@ -36,7 +36,7 @@ def load_stream(
 
     Such a micro-batch upserts the same keys, so the fact holds each of them once, and a line that comes again
     in a later one changes nothing. Which files are new is the checkpoint's business; the high-water mark
-    filter belongs to the batch runs only. What a micro-batch stages goes once it is loaded. ``once`` stops when all landed files are loaded.
+    filter belongs to the batch runs only. What a micro-batch stages goes once it is loaded, its lines once they are converted. ``once`` stops when all landed files are loaded.
     """
 
     def load(lines: DataFrame, batch_id: int) -> None:
@@ -48,6 +48,7 @@ def load_stream(
                 return
             rates = stage(fx, "rates")  # as of now; read several times
             converted = convert(read_sales_parquet(session, path), counters, countries, rates, size)
+            delete_path(session, path)
             fact = session.read.schema(FACT).parquet(converted.fact)
             counts = upsert_into(session, fact_path, fact, grain)
             if on_loaded:

@@ -1,10 +1,12 @@
 import json
 import os
 import random
+import time
 from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from samples import RATES, countries, fact_row, facts, line, rates, sales, sorted_rows, utc
 
@@ -18,7 +20,7 @@ from basketry.plans import runs
 from basketry.plans.transform import to_fact
 from basketry.schemas import FACT, SALES
 from basketry.session import list_names, run_scratch, scratch_dir, stage
-from basketry.sources.fact_table import read_fact, upsert_into
+from basketry.sources.fact_table import one_row_per_key, read_fact, upsert_into
 from basketry.sources.sales import read_sales_csv, read_sales_parquet, stream_sales_csv
 from basketry.sources.watermark import get_last_watermark
 from basketry.streaming.sales_stream import load_stream
@@ -266,6 +268,61 @@ def test_a_micro_batch_reads_the_rates_once(spark, tmp_path, monkeypatch):
 MONTHS = [fact_row(row_hash=f"{m}{i}", invoice_date=utc(f"2011-{m}-0{i}")) for m in ("01", "02", "03") for i in (1, 2)]
 
 
+def test_a_micro_batch_drops_its_lines_once_they_are_converted(spark, tmp_path, monkeypatch):
+    import basketry.streaming.sales_stream as streaming
+
+    staged, left = [], []
+    stage_sales, upsert = streaming.stage_sales, streaming.upsert_into
+    monkeypatch.setattr(streaming, "stage_sales", lambda lines, path: staged.append(path) or stage_sales(lines, path))
+    monkeypatch.setattr(streaming, "upsert_into", lambda *args: left.extend(map(os.path.exists, staged)) or upsert(*args))
+    lines = stream_sales_csv(spark, feeds(tmp_path, FIRST)[0], multi_line=True)
+    fact, checkpoint = str(tmp_path / "fact"), str(tmp_path / "checkpoint")
+    load_stream(spark, lines, countries(spark), rates(spark), fact, checkpoint).awaitTermination()
+    assert left == [False] and read_fact(spark, fact).count()
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_a_staged_shuffle_leaves_no_files(spark):
+    before, rows = shuffle_files(spark), spark.range(1000)
+    kept = stage(rows.repartition(8, "id"), "ids")
+    for _ in range(100):  # they are dropped beside what runs next
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before and kept.count() == 1000
+
+
+def test_passes_take_neighbouring_periods_of_about_as_many_rows():
+    months = [Row(n=10, first=i * 100, last=i * 100 + 50) for i in range(6)]
+    assert fact_table._passes(months, 3, 20) == [(0, 150), (200, 350), (400, 550)]
+    assert fact_table._passes(months, 6, 60) == [(0, 550)]
+    assert fact_table._passes(months, 2, 1) == [(0, 250), (300, 550)]
+    large = [Row(n=1, first=0, last=5), Row(n=1000, first=10, last=15), Row(n=1, first=20, last=25)]
+    assert fact_table._passes(large, 6, 100) == [(0, 5), (10, 15), (20, 25)]
+
+
+def test_a_batch_laid_out_in_passes_is_one_version_with_the_same_rows(spark, tmp_path, monkeypatch):
+    again = [MONTHS[0], fact_row(row_hash="021", invoice_date=utc("2011-02-01"), description="0", region="Asia")]
+    collided = fact_row(row_hash="012", invoice_date=utc("2011-03-05"), description="b")  # a key of another month
+    batch = stage(facts(spark, MONTHS + again + [collided]), "batch")
+    whole, passes = str(tmp_path / "whole"), fact_table._passes
+    wanted = upsert_into(spark, whole, batch, mark=5)
+    monkeypatch.setattr(fact_table, "_passes", lambda found: passes(found, rows=1))
+    for many in (0, fact_table._MANY_REPEATED):
+        monkeypatch.setattr(fact_table, "one_row_per_key", lambda b, many=many: one_row_per_key(b, many))
+        path = str(tmp_path / f"passes{many}")
+        assert upsert_into(spark, path, batch, mark=5) == wanted == {"records": 9, "upserted": 6, "modified": 0}
+        assert stored(spark, path) == stored(spark, whole) == sorted_rows(deduplicate(batch))
+        files = fact_table.stored_files(spark, path)
+        assert len({fact_table._load_of(f.file) for f in files}) == 3 == len({f.period for f in files})
+        assert snapshots.current(spark, path).number == 1 and fact_table.stored_mark(spark, path) == 5
+
+
 def changed(row, region="Asia"):
     return tuple(region if n == "region" else v for n, v in zip(NAMES, row))
 

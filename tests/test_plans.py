@@ -12,7 +12,7 @@ from basketry.operators.enrich import enrich_with_countries, normalize_countries
 from basketry.operators.upsert import classify
 from basketry.plans.transform import to_fact
 from basketry import session
-from basketry.session import fit_shuffles, input_bytes, stage
+from basketry.session import fit_shuffles, input_bytes, list_names, stage
 from basketry.sources import star_schema as star
 from basketry.sources.fact_table import read_fact, upsert_into
 from basketry.sources.sales import newer_than
@@ -163,3 +163,27 @@ def test_landing_sorts_no_lines_by_folder(spark, tmp_path):
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
     found = spark.read.csv(list(landed.values()), header=True)
     assert found.count() == star.sales(spark, SF_DIR).count()
+
+
+def test_packed_landing_holds_the_same_lines_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(star, "_PACKED_LINES", 1000)
+    plain = star.land_sales(spark, SF_DIR, str(tmp_path / "plain"), "1998-01-01")
+    packed = star.land_sales(spark, SF_DIR, str(tmp_path / "packed"), "1998-01-01", packed=True)
+    for part in plain:
+        rows, wanted = (spark.read.csv(found[part], header=True) for found in (packed, plain))
+        assert sorted(rows.collect(), key=str) == sorted(wanted.collect(), key=str)
+        assert input_bytes(spark, [packed[part]]) < input_bytes(spark, [plain[part]]) / 2
+        assert max(r["count"] for r in rows.groupBy(F.input_file_name()).count().collect()) <= 1000
+        assert all(name.endswith(".csv.gz") for name in list_names(spark, packed[part]) if name.startswith("part-"))
+
+
+def test_stream_load_lands_packed_files(spark, monkeypatch):
+    landed, land = [], star.land_sales
+    monkeypatch.setattr(star, "land_sales", lambda *args: landed.append(land(*args)) or landed[-1])
+    found, read = [], registered.load_stream
+    monkeypatch.setattr(
+        registered, "load_stream", lambda *args: found.extend(n for p in landed[0].values() for n in list_names(spark, p)) or read(*args)
+    )
+    rows = registered.queries()["stream_load"](spark, SF_DIR)
+    assert found and all(n.endswith(".csv.gz") for n in found if n.startswith("part-"))
+    assert rows.count()

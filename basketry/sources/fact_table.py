@@ -210,16 +210,16 @@ def one_row_per_key(batch: DataFrame, many: int = _MANY_REPEATED) -> DataFrame:
     rows are read once for each pass that writes them.
     """
     counted = batch.groupBy(key_filters.key_hash(*KEY).alias("_hash")).agg(F.count(F.lit(1)).alias("n"))
-    repeated = stage(counted.filter("n > 1").select("_hash"), "repeated")
+    repeated = stage(counted.filter("n > 1").select("_hash"), "repeated", packed=True)
     found = repeated.count()
     if not found:
         return batch.select(*FACT.fieldNames())
     if found > many:
-        return stage(deduplicate(batch), "combined")
+        return stage(deduplicate(batch), "combined", packed=True)
     hashed = batch.withColumn("_hash", key_filters.key_hash(*KEY))
     alone = hashed.join(F.broadcast(repeated), "_hash", "left_anti").drop("_hash")
     together = hashed.join(F.broadcast(repeated), "_hash", "left_semi").drop("_hash")
-    return alone.select(*FACT.fieldNames()).unionByName(stage(deduplicate(together), "combined"))
+    return alone.select(*FACT.fieldNames()).unionByName(stage(deduplicate(together), "combined", packed=True))
 
 
 def upsert_into(
@@ -324,7 +324,7 @@ def _merged(
         ranges = [F.col("invoice_date").between(moment(r["first"]), moment(r["last"])) for r in found]
         target = target.filter(reduce(or_, ranges))
     changes = classify(target, batch, unique_target=True, carry=(_FILE,)).filter(F.col("_change").isin(INSERT, UPDATE))
-    changes = stage(changes.withColumn(PERIOD, period), "changes")
+    changes = stage(changes.withColumn(PERIOD, period), "changes", packed=True)
     by_file = {(r["_change"], r[_FILE]): r["count"] for r in changes.groupBy("_change", _FILE).count().collect()}
     counts = {kind: sum(n for (k, _), n in by_file.items() if k == kind) for kind in (INSERT, UPDATE)}
     dirty = {file for kind, file in by_file if kind == UPDATE}

@@ -289,7 +289,7 @@ def shuffle_files(spark):
 
 def test_a_staged_shuffle_leaves_no_files(spark):
     before, rows = shuffle_files(spark), spark.range(1000)
-    kept = stage(rows.repartition(8, "id"), "ids")
+    kept = stage(rows.repartition(8, "id"), "ids", packed=True)
     for _ in range(100):  # they are dropped beside what runs next
         if not shuffle_files(spark) - before:
             break
